@@ -20,6 +20,7 @@ from plantpulse.functions import clock
 RAW_PARTITIONS = ("factory_id", "source_type", "yyyy", "mm", "dd")
 PROCESSED_PARTITIONS = ("factory_id", "yyyy", "mm", "dd", "hh")
 PROCESSED_DATASETS = ("risk-score", "factory-state", "infra-state")
+JSON_TIMESTAMP = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 # Partition values stay text: `01` must not become 1.
 _PARTITION_FIELDS = [T.StructField(n, T.StringType()) for n in ("yyyy", "mm", "dd")]
 
@@ -30,7 +31,11 @@ def with_date_parts(df: DataFrame, ts, hours: bool = False) -> DataFrame:
 
 
 def _write(df: DataFrame, root: str, partitions, fmt: str, mode: str) -> None:
-    df.hint("rebalance", *[F.col(p) for p in partitions]).write.mode(mode).format(fmt).partitionBy(*partitions).save(root)
+    writer = df.hint("rebalance", *[F.col(p) for p in partitions]).write.mode(mode).format(fmt)
+    if fmt == "json":
+        # The default format would cut timestamps to milliseconds.
+        writer = writer.option("timestampFormat", JSON_TIMESTAMP).option("timeZone", "UTC")
+    writer.partitionBy(*partitions).save(root)
 
 
 def raw_rows(messages: DataFrame) -> DataFrame:
