@@ -17,6 +17,18 @@ from plantpulse.operators.directory import DRAFT_THRESHOLDS, with_thresholds
 from plantpulse.operators.sliced import Series, with_previous
 
 POINT_ORDER = ("timestamp", "message_id")
+# Absorbs binary noise in steps such as 0.7 - 0.4.
+STEP_NOISE = 1e-9
+RISK_TYPES = ("risk_level_changed", "risk_jump", "top_causes_changed")
+FACTORY_TYPES = ("temperature_rise", "ai_score_rise")
+INFRA_TYPES = (
+    "pipeline_changed",
+    "node_ready_changed",
+    "workload_unhealthy",
+    "device_unavailable",
+    "component_recovered",
+    "node_resource_high",
+)
 EVENT_COLUMNS = ("factory_id", "timestamp", "type", "severity", "title", "description", "source")
 
 
@@ -75,7 +87,7 @@ def risk_events(history: DataFrame, slice_seconds: int) -> DataFrame:
             _text("Risk ", _arrow(rules.level_label(col("prev_risk_level")), rules.level_label(col("risk_level")))),
             causes,
         ),
-        _event("risk_jump", jump >= C.RISK_JUMP, "warning", F.lit("Risk jump"), causes),
+        _event("risk_jump", jump >= C.RISK_JUMP - STEP_NOISE, "warning", F.lit("Risk jump"), causes),
         _event(
             "top_causes_changed",
             known & ~col("top_cause_names").eqNullSafe(col("prev_top_cause_names")),
@@ -98,7 +110,7 @@ def factory_events(history: DataFrame, thresholds: DataFrame, slice_seconds: int
     events = [
         _event(
             "temperature_rise",
-            (now - before >= C.TEMPERATURE_RISE) | crossed,
+            (now - before >= C.TEMPERATURE_RISE - STEP_NOISE) | crossed,
             F.when(now > F.col("temperature_critical"), "danger").otherwise("warning"),
             F.lit("Temperature rise"),
             F.format_string("%.1f -> %.1f", before, now),
@@ -109,8 +121,7 @@ def factory_events(history: DataFrame, thresholds: DataFrame, slice_seconds: int
         events.append(
             _event(
                 "ai_score_rise",
-                # a tenth of a billionth absorbs binary noise in steps of 0.1
-                value - prev >= C.AI_RISE - 1e-10,
+                value - prev >= C.AI_RISE - STEP_NOISE,
                 F.when(rules.ai_band(value) == "danger", "danger").otherwise("warning"),
                 F.lit(f"{s} rise"),
                 F.format_string("%.2f -> %.2f", prev, value),
@@ -201,36 +212,24 @@ def merge_histories(risk: DataFrame, factory: DataFrame, infra: DataFrame) -> Da
 
 
 def timeline(
-    risk: DataFrame,
-    factory: DataFrame,
-    infra: DataFrame,
+    risk: DataFrame | None,
+    factory: DataFrame | None,
+    infra: DataFrame | None,
     thresholds: DataFrame,
     slice_seconds: int,
     types: Sequence[str] | None = None,
 ) -> DataFrame:
-    """All events of the three histories, unordered.
+    """All events of the given histories, unordered; `types` narrows them.
 
-    `types` narrows the result; histories that cannot produce a wanted type
-    are not read at all.
+    A history may be left out (None) if none of its event types is wanted.
     """
-    made = {
-        risk_events: ("risk_level_changed", "risk_jump", "top_causes_changed"),
-        factory_events: ("temperature_rise", "ai_score_rise"),
-        infra_events: (
-            "pipeline_changed",
-            "node_ready_changed",
-            "workload_unhealthy",
-            "device_unavailable",
-            "component_recovered",
-            "node_resource_high",
-        ),
-    }
-    args = {risk_events: (risk,), factory_events: (factory, thresholds), infra_events: (infra,)}
-    parts = [
-        make(*args[make], slice_seconds)
-        for make, kinds in made.items()
-        if types is None or set(types) & set(kinds)
-    ]
+    parts = []
+    if risk is not None:
+        parts.append(risk_events(risk, slice_seconds))
+    if factory is not None:
+        parts.append(factory_events(factory, thresholds, slice_seconds))
+    if infra is not None:
+        parts.append(infra_events(infra, slice_seconds))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

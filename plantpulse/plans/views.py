@@ -335,3 +335,37 @@ def daily_ops_summary(scored: DataFrame, buckets: DataFrame, bucket_seconds: int
     )
     return days.join(gaps, ["factory_id", "day"], "left").fillna({"gap_seconds": 0})
 
+
+
+def risk_input_summary(
+    latest: DataFrame, inputs: DataFrame, gaps: DataFrame, factories: DataFrame, as_of_time, timing: Timing = Timing()
+) -> DataFrame:
+    """The seven inputs of a risk judgement, one row per site.
+
+    `latest` is the current state, `gaps` the longest empty run per site.
+    """
+    now = clock.as_timestamp(as_of_time)
+    status = with_delivery_status(inputs, as_of_time, timing).select("factory_id", F.col("status").alias("pipeline_status"))
+    spots = factories.select("factory_id", "preferred_node", "failover_node")
+
+    def all_on(node: str) -> Column:
+        return F.forall("workloads", lambda w: (w.status == "Running") & (w.node_id == F.col(node)))
+
+    rows = (
+        latest.join(status, "factory_id", "left")
+        .join(gaps.select("factory_id", F.col("max_empty_seconds").alias("data_gap_seconds")), "factory_id", "left")
+        .join(spots, "factory_id", "left")
+    )
+    return rows.select(
+        "factory_id",
+        clock.age_seconds(now, F.col("last_factory_state_at")).alias("sensor_freshness"),
+        F.col("workload_summary.unhealthy").alias("workload_health"),
+        F.when(all_on("preferred_node"), "preferred")
+        .when(all_on("failover_node"), "failover")
+        .otherwise("mixed")
+        .alias("failover_state"),
+        "pipeline_status",
+        "data_gap_seconds",
+        clock.age_seconds(now, F.col("last_infra_state_at")).alias("infra_state"),
+        F.concat_ws("/", F.col("node_summary.ready"), F.col("node_summary.total")).alias("edge_node_status"),
+    )
