@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantpulse.contract import Timing
@@ -44,8 +44,11 @@ def failover_timeline(
 
     fault first seen -> node not ready -> all targets on the failover node ->
     node ready -> all targets back.  A phase never seen leaves null, and so do
-    the phases after it.  Each step is a partial minimum per test, so an
-    observation table of any length reduces before it is shuffled.
+    the phases after it.
+
+    Observations are folded to one row per test and moment, then "phase
+    reached by now" is a chain of running maxima over one ordering: one scan
+    and one sort for all phases.  A drill lasts minutes, so its moments are few.
     """
     moments = _moments(phase_join(observations, tests), preferred, failover)
     conditions = {
@@ -55,19 +58,13 @@ def failover_timeline(
         "ready_again_at": F.col("ready"),
         "on_preferred_at": F.col("on_preferred") == F.col("targets"),
     }
-    found = tests
-    previous = "start"
+    so_far = Window.partitionBy("test_id").orderBy("ts").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    reached, steps = F.lit(True), moments
     for phase in PHASES:
-        first = (
-            moments.where(conditions[phase])
-            .join(found.select("test_id", F.col(previous).alias("_after")), "test_id")
-            .where(F.col("ts") >= F.col("_after"))
-            .groupBy("test_id")
-            .agg(F.min("ts").alias(phase))
-        )
-        found = found.join(first, "test_id", "left")
-        previous = phase
-    return found
+        steps = steps.withColumn(phase, F.max(conditions[phase] & reached).over(so_far))
+        reached = F.col(phase)
+    first = steps.groupBy("test_id").agg(*[F.min(F.when(F.col(p), F.col("ts"))).alias(p) for p in PHASES])
+    return tests.join(first, "test_id", "left")
 
 
 def phase_durations(timeline: DataFrame) -> DataFrame:
@@ -134,21 +131,24 @@ def gap_report(
 
     The spine covers the test intervals only, never the whole time range.
     """
-    bounds = tests.select("test_id", "start", "end")
+    names = list(measurements)
+    samples = [
+        df.select("factory_id", "ts", F.lit(name).alias("measurement"), F.col(value).cast("double").alias("value"))
+        for name, (df, value) in measurements.items()
+    ]
+    union = samples[0]
+    for more in samples[1:]:
+        union = union.unionByName(more)
+    keys = ["test_id", "measurement"]
+    inside = phase_join(union, tests).select(*keys, "ts", "value")
+    bounds = tests.select(
+        "test_id", F.explode(F.array(*[F.lit(n) for n in names])).alias("measurement"), "start", "end"
+    )
     parts = []
-    for name, (samples, value) in measurements.items():
-        inside = phase_join(samples, tests).select("test_id", "ts", value)
-        for interval in intervals:
-            buckets = bucket_series(inside, ["test_id"], value, interval, bounds=bounds)
-            parts.append(
-                max_empty_bucket_seconds(buckets, ["test_id"], interval).select(
-                    "test_id",
-                    F.lit(name).alias("measurement"),
-                    F.lit(interval).alias("bucket_seconds"),
-                    "buckets",
-                    "max_empty_seconds",
-                )
-            )
+    for interval in intervals:
+        buckets = bucket_series(inside, keys, "value", interval, bounds=bounds)
+        longest = max_empty_bucket_seconds(buckets, keys, interval)
+        parts.append(longest.withColumn("bucket_seconds", F.lit(interval)))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

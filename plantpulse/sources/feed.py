@@ -148,8 +148,7 @@ def _envelope() -> list:
     ]
 
 
-def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both source types, payload as one struct whose foreign sections are null."""
+def _with_payload(events: DataFrame) -> DataFrame:
     payload = F.struct(
         *[
             F.when(F.col("source_type") == source, expr).cast(PAYLOAD[name].dataType).alias(name)
@@ -157,22 +156,26 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
             for name, expr in sections.items()
         ]
     )
-    return _narrow(read_events(spark, sf_dir)).select(*_envelope(), payload.alias("payload"))
+    return _narrow(events).select(*_envelope(), payload.alias("payload"))
 
 
-def _load(spark: SparkSession, sf_dir: str, source_type: str) -> DataFrame:
+def _typed(events: DataFrame, source_type: str) -> DataFrame:
     sections = [expr.alias(name) for name, expr in _sections()[source_type].items()]
     infra = F.col("event_type").isin("error", "signup")
-    events = read_events(spark, sf_dir).where(infra if source_type == "infra_state" else ~infra)
-    return _narrow(events).select(*_envelope(), *sections)
+    return _narrow(events.where(infra if source_type == "infra_state" else ~infra)).select(*_envelope(), *sections)
+
+
+def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both source types, payload as one struct whose foreign sections are null."""
+    return _with_payload(read_events(spark, sf_dir))
 
 
 def load_factory_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load(spark, sf_dir, "factory_state")
+    return _typed(read_events(spark, sf_dir), "factory_state")
 
 
 def load_infra_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load(spark, sf_dir, "infra_state")
+    return _typed(read_events(spark, sf_dir), "infra_state")
 
 
 def with_repeats(messages: DataFrame) -> DataFrame:
@@ -233,3 +236,19 @@ def observations(rows: DataFrame) -> DataFrame:
         F.col("w.node_id").alias("pod_node"),
         "event_id",
     )
+
+
+# --- the same frames as streams -------------------------------------------------------------
+def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema = read_events(spark, sf_dir).schema
+    # A pattern, because a stream takes a plain path for a directory; it fits
+    # the table as one file or as a directory of files.
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.[p]arquet")
+
+
+def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _with_payload(_event_stream(spark, sf_dir))
+
+
+def stream_factory_states(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _typed(_event_stream(spark, sf_dir), "factory_state")
