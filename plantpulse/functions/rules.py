@@ -16,7 +16,8 @@ def _lookup(values: dict[str, str]) -> Column:
 
 
 def clamp(value: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(value, F.lit(low)), F.lit(high))
+    """Null stays null (least and greatest alone would skip it)."""
+    return F.when(value.isNotNull(), F.least(F.greatest(value, F.lit(low)), F.lit(high)))
 
 
 def normalised(value: Column, warning: Column, critical: Column) -> Column:

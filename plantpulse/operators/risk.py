@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,18 +21,37 @@ CAUSE_AXES = {code: axis for code, _, _, axis in C.CAUSES}
 SITE_READINGS = tuple(name for name, _ in C.MESSAGE_WEIGHTS)
 
 
-def _cause(name: str, value: Column, weight: Column, since: Column | None = None) -> Column:
-    return F.struct(
-        F.lit(name).alias("name"),
-        value.alias("value"),
-        weight.alias("weight"),
-        (value * weight).alias("contribution"),
-        (F.lit(None).cast("timestamp") if since is None else since).alias("since"),
-    )
-
-
-# --- three rule sets, one shape: an array of causes --------------------------------
-def weighted_contributions(df: DataFrame, weights: Mapping[str, float] | Sequence[tuple] = C.MESSAGE_WEIGHTS) -> DataFrame:
+@dataclass(frozen=True)
+class Cause:
+    """One term of a score: value x weight, if present."""
+
+    name: str
+    value: Column
+    weight: Column
+    since: Column | None = None
+    present: Column | None = None
+    part: Column | None = None
+
+    @property
+    def contribution(self) -> Column:
+        if self.part is not None:
+            return self.part
+        amount = self.value * self.weight
+        return amount if self.present is None else F.when(self.present, amount)
+
+    def fields(self) -> list[Column]:
+        since = F.lit(None).cast("timestamp") if self.since is None else self.since
+        return [
+            F.lit(self.name).alias("name"),
+            self.value.alias("value"),
+            self.weight.alias("weight"),
+            self.contribution.alias("contribution"),
+            since.alias("since"),
+        ]
+
+
+# --- three rule sets, one shape: a list of causes --------------------------------------
+def message_causes(weights: Mapping[str, float] | Sequence[tuple] = C.MESSAGE_WEIGHTS) -> list[Cause]:
     """Seven readings of a factory_state message, each normalised x weight.
 
     Needs the threshold columns; a site without thresholds gets 0 for
@@ -50,10 +70,13 @@ def weighted_contributions(df: DataFrame, weights: Mapping[str, float] | Sequenc
         "fire_score": F.coalesce(col("ai_result.fire_score"), F.lit(0.0)),
         "fall_score": F.coalesce(col("ai_result.fall_score"), F.lit(0.0)),
         "bend_score": F.coalesce(col("ai_result.bend_score"), F.lit(0.0)),
-        "abnormal_sound": F.when(F.coalesce(col("ai_result.abnormal_sound"), F.lit("")) != "", 1.0).otherwise(0.0),
+        "abnormal_sound": F.when(col("ai_result.abnormal_sound") != "", 1.0).otherwise(0.0),
     }
-    causes = [_cause(n, v, F.lit(float(weights[n]))) for n, v in values.items() if n in weights]
-    return df.withColumn("causes", F.array(*causes))
+    return [Cause(n, v, F.lit(float(weights[n]))) for n, v in values.items() if n in weights]
+
+
+def weighted_contributions(df: DataFrame, weights: Mapping[str, float] | Sequence[tuple] = C.MESSAGE_WEIGHTS) -> DataFrame:
+    return with_causes(df, message_causes(weights))
 
 
 def anomaly_flags(as_of_time: Column, timing: Timing = Timing()) -> dict[str, Column]:
@@ -108,25 +131,31 @@ def stale_causes(state: DataFrame, as_of_time, timing: Timing = Timing()) -> Dat
     )
 
 
-def additive_causes(state: DataFrame, as_of_time, timing: Timing = Timing(), weights: Mapping[str, float] = CAUSE_WEIGHTS) -> DataFrame:
+def anomaly_causes(as_of_time, timing: Timing = Timing(), weights: Mapping[str, float] = CAUSE_WEIGHTS) -> list[Cause]:
     """The fixed-weight rule set: every present anomaly adds its weight."""
     now = clock.as_timestamp(as_of_time)
-    since = {
-        "temp_high": "last_factory_state_at",
-        "humidity_high": "last_factory_state_at",
-        "sensor_no_data": "last_factory_state_at",
-    }
-    causes = [
-        F.when(flag, _cause(code, F.lit(1.0), F.lit(float(weights[code])), F.col(since.get(code, "last_infra_state_at"))))
+    on_site = ("temp_high", "humidity_high", "sensor_no_data")
+    return [
+        Cause(
+            code,
+            F.lit(1.0),
+            F.lit(float(weights[code])),
+            since=F.col("last_factory_state_at" if code in on_site else "last_infra_state_at"),
+            present=flag,
+        )
         for code, flag in anomaly_flags(now, timing).items()
     ]
-    return state.withColumn("causes", F.array_compact(F.array(*causes)))
 
 
-def config_contributions(state: DataFrame, as_of_time: Column, timing: Timing = Timing()) -> DataFrame:
+def additive_causes(state: DataFrame, as_of_time, timing: Timing = Timing()) -> DataFrame:
+    return with_causes(state, anomaly_causes(as_of_time, timing))
+
+
+def field_causes(as_of_time, timing: Timing = Timing()) -> list[Cause]:
     """The ten configured fields; needs rule_weights and the threshold columns.
 
-    `ai_events_per_hour` and `ai_event_baseline` feed the event-rate field.
+    `ai_events_per_hour` and `ai_event_baseline` feed the event-rate field.  A
+    field that is not enabled has no weight and drops out.
     """
     col = F.col
     now = clock.as_timestamp(as_of_time)
@@ -150,44 +179,66 @@ def config_contributions(state: DataFrame, as_of_time: Column, timing: Timing =
         "data_freshness": rules.status_value(status),
         "ai_event_rate": F.coalesce(rate, zero),
         "storage_pressure": rules.normalised(disk, F.lit(C.STORAGE_WARNING), F.lit(C.STORAGE_CRITICAL)),
-        "network_reachability": F.coalesce(
-            share(col("nodes"), lambda n: n.network_reachability != "ok"), zero
-        ),
+        "network_reachability": F.coalesce(share(col("nodes"), lambda n: n.network_reachability != "ok"), zero),
         "camera_snapshot": zero,
         "audio_level": zero,
     }
-    # A field that is not enabled has no weight and drops out.
-    causes = [_cause(n, v, col("rule_weights")[n]) for n, v in values.items()]
-    return state.withColumn("causes", F.filter(F.array(*causes), lambda c: c.weight.isNotNull()))
+    return [Cause(n, v, col("rule_weights")[n]) for n, v in values.items()]
 
 
 # --- from causes to a score -------------------------------------------------------------
-def risk_score_sum(causes: Column) -> Column:
-    total = F.aggregate(causes, F.lit(0.0), lambda acc, c: acc + c.contribution)
+def with_causes(df: DataFrame, causes: Sequence[Cause]) -> DataFrame:
+    """`causes`: every term that applies, in rule order."""
+    terms = F.array(*[F.when(c.contribution.isNotNull(), F.struct(*c.fields())) for c in causes])
+    return df.withColumn("causes", F.array_compact(terms))
+
+
+def risk_score_sum(causes: Sequence[Cause]) -> Column:
+    """Sum of the contributions, within 0..100: plain arithmetic, no arrays."""
+    total = F.lit(0.0)
+    for c in causes:
+        total = total + F.coalesce(c.contribution, F.lit(0.0))
     return rules.clamp(total, 0.0, 100.0)
 
 
-def rank_causes(causes: Column, n: int = C.TOP_CAUSES) -> Column:
-    """Highest contribution first, then the newest, then the rule order."""
-    present = F.filter(causes, lambda c: c.contribution > 0)
-    keyed = F.transform(
-        present,
-        lambda c, i: F.struct(
-            (-c.contribution).alias("a"),
-            (-F.coalesce(F.unix_micros(c.since), F.lit(0))).alias("b"),
-            i.alias("i"),
-            c.alias("cause"),
-        ),
+def rank_causes(causes: Sequence[Cause], n: int = C.TOP_CAUSES) -> Column:
+    """Highest contribution first, then the newest, then the rule order.
+
+    The sort key leads the struct, so the sort itself needs no comparator.
+    """
+    keyed = F.array(
+        *[
+            F.struct(
+                (-F.coalesce(c.contribution, F.lit(0.0))).alias("a"),
+                (F.lit(0) if c.since is None else -F.coalesce(F.unix_micros(c.since), F.lit(0))).alias("b"),
+                F.lit(i).alias("i"),
+                F.struct(*c.fields()).alias("cause"),
+            )
+            for i, c in enumerate(causes)
+        ]
     )
-    return F.transform(F.slice(F.array_sort(keyed), 1, n), lambda k: k.cause)
+    first = F.slice(F.sort_array(keyed), 1, n)
+    return F.transform(F.filter(first, lambda k: k.a < 0), lambda k: k.cause)
+
 
+def with_score(df: DataFrame, causes: Sequence[Cause]) -> DataFrame:
+    """risk_score, risk_level and top_causes; what is not used is pruned.
 
-def with_score(df: DataFrame) -> DataFrame:
-    """risk_score, risk_level and top_causes from `causes`."""
+    Values and contributions become columns first, so that the score and the
+    ranking refer to them instead of repeating their expressions.
+    """
+    names = [(f"_value_{i}", f"_part_{i}") for i in range(len(causes))]
+    parts = df.withColumns({v: c.value for (v, _), c in zip(names, causes)}).withColumns(
+        {
+            p: F.col(v) * c.weight if c.present is None else F.when(c.present, F.col(v) * c.weight)
+            for (v, p), c in zip(names, causes)
+        }
+    )
+    ready = [Cause(c.name, F.col(v), c.weight, c.since, part=F.col(p)) for (v, p), c in zip(names, causes)]
     return (
-        df.withColumn("risk_score", risk_score_sum(F.col("causes")))
-        .withColumn("risk_level", rules.risk_level(F.col("risk_score")))
-        .withColumn("top_causes", rank_causes(F.col("causes")))
+        parts.withColumn("risk_score", risk_score_sum(ready))
+        .withColumns({"risk_level": rules.risk_level(F.col("risk_score")), "top_causes": rank_causes(ready)})
+        .drop(*[n for pair in names for n in pair])
     )
 
 
@@ -204,19 +255,20 @@ def score_messages(
     so that a second run over the archive gives the same rows.
     """
     ready = with_thresholds(factory, thresholds, DRAFT_THRESHOLDS if defaults is None else defaults)
-    return (
-        with_score(weighted_contributions(ready, weights))
-        .withColumn("calculation_version", F.lit(calculation_version))
-        .withColumn("calculated_at", F.col("source_timestamp"))
-        .withColumn("event_timestamp", F.col("source_timestamp"))
-        .withColumn("processed_at", F.col("received_at"))
+    return with_score(ready, message_causes(weights)).withColumns(
+        {
+            "calculation_version": F.lit(calculation_version),
+            "calculated_at": F.col("source_timestamp"),
+            "event_timestamp": F.col("source_timestamp"),
+            "processed_at": F.col("received_at"),
+        }
     )
 
 
 def score_fleet(latest: DataFrame, thresholds: DataFrame, as_of_time, timing: Timing = Timing()) -> DataFrame:
     """Additive score of every site's current state."""
     ready = with_thresholds(latest, thresholds, DRAFT_THRESHOLDS)
-    return with_score(additive_causes(ready, as_of_time, timing))
+    return with_score(ready, anomaly_causes(as_of_time, timing))
 
 
 def score_configured(
@@ -228,7 +280,7 @@ def score_configured(
 ) -> DataFrame:
     """Score by the configured fields and the site's own weights."""
     ready = with_rule_weights(with_thresholds(state, thresholds, DRAFT_THRESHOLDS), rule_table)
-    return with_score(config_contributions(ready, as_of_time, timing))
+    return with_score(ready, field_causes(as_of_time, timing))
 
 
 # --- trend, axis, text ----------------------------------------------------------------

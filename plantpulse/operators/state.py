@@ -168,31 +168,39 @@ def collect_infra_state(nodes: DataFrame, workloads: DataFrame, window_seconds:
 
 
 # --- histories ------------------------------------------------------------------------
-def risk_history(scored: DataFrame, timing: Timing = Timing(), ttl_seconds: int = C.HISTORY_TTL_SECONDS) -> DataFrame:
-    """HISTORY#RISK: last score per bucket."""
-    cols = scored.select(
+def last_per_bucket(factory: DataFrame, timing: Timing = Timing()) -> DataFrame:
+    """The factory_state rows that history keeps: the last one per bucket.
+
+    Scoring is a function of one row, so it comes after this reduction: a
+    tenth of the messages at the published periods.
+    """
+    rows = factory.select("factory_id", *NEWEST, "received_at", "sensor", "ai_result")
+    return downsample_last(rows, ["factory_id"], "source_timestamp", NEWEST, timing.history_bucket)
+
+
+def risk_history(scored_last: DataFrame, timing: Timing = Timing(), ttl_seconds: int = C.HISTORY_TTL_SECONDS) -> DataFrame:
+    """HISTORY#RISK from scored rows of `last_per_bucket`."""
+    cols = scored_last.select(
         "factory_id",
-        "source_timestamp",
-        "published_at",
+        "bucket",
         "message_id",
         "risk_score",
         "risk_level",
         F.transform("top_causes", lambda c: c["name"]).alias("top_cause_names"),
     )
-    return _history(downsample_last(cols, ["factory_id"], "source_timestamp", NEWEST, timing.history_bucket), "RISK", timing.history_bucket, ttl_seconds)
+    return _history(cols, "RISK", timing.history_bucket, ttl_seconds)
 
 
-def factory_history(factory: DataFrame, timing: Timing = Timing(), ttl_seconds: int = C.HISTORY_TTL_SECONDS) -> DataFrame:
-    """HISTORY#FACTORY: last readings per bucket."""
-    cols = factory.select(
+def factory_history(last: DataFrame, timing: Timing = Timing(), ttl_seconds: int = C.HISTORY_TTL_SECONDS) -> DataFrame:
+    """HISTORY#FACTORY from rows of `last_per_bucket`."""
+    cols = last.select(
         "factory_id",
-        "source_timestamp",
-        "published_at",
+        "bucket",
         "message_id",
         *[F.col(f"sensor.{c}").alias(c) for c in C.SENSOR.names[1:]],
         *[F.col(f"ai_result.{c}").alias(c) for c in ("fire_score", "fall_score", "bend_score")],
     )
-    return _history(downsample_last(cols, ["factory_id"], "source_timestamp", NEWEST, timing.history_bucket), "FACTORY", timing.history_bucket, ttl_seconds)
+    return _history(cols, "FACTORY", timing.history_bucket, ttl_seconds)
 
 
 def infra_history(
@@ -231,9 +239,11 @@ def infra_history(
 
 def _history(df: DataFrame, kind: str, bucket_seconds: int, ttl_seconds: int) -> DataFrame:
     keyed = with_store_keys(df.withColumnRenamed("bucket", "timestamp"), kind)
-    return (
-        keyed.withColumn("schema_version", F.lit(C.SCHEMA_VERSION))
-        .withColumn("bucket_seconds", F.lit(bucket_seconds))
-        .withColumn("source", F.lit("as_received" if kind == "INFRA" else "last_value"))
-        .withColumn("ttl", clock.ttl("timestamp", ttl_seconds))
+    return keyed.withColumns(
+        {
+            "schema_version": F.lit(C.SCHEMA_VERSION),
+            "bucket_seconds": F.lit(bucket_seconds),
+            "source": F.lit("as_received" if kind == "INFRA" else "last_value"),
+            "ttl": clock.ttl("timestamp", ttl_seconds),
+        }
     )

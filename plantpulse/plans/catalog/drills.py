@@ -7,8 +7,8 @@ from datetime import datetime
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from plantpulse.operators import failover, retention, state
-from plantpulse.plans.catalog.ingest import _RISK_HISTORY, scored
+from plantpulse.operators import failover, retention
+from plantpulse.plans.catalog.ingest import _RISK_HISTORY, risk_history
 from plantpulse.plans.catalog.registry import (
     ENV,
     INF,
@@ -197,7 +197,7 @@ _TTL_AT = "2024-01-16 00:00:00"
 )
 def l1(spark, d):
     root = scratch(spark)
-    history = state.risk_history(scored(spark, d), TIMING, ttl_seconds=604800)
+    history = risk_history(spark, d, 604800)
     lake.append_history(history, root, "RISK")
     lake.rewrite_alive(spark, f"{root}/RISK", f"{root}/RISK-alive", _TTL_AT)
     alive = retention.expire_history(lake.read_history(spark, root, "RISK-alive", history.schema), _TTL_AT)

@@ -15,7 +15,7 @@ from plantpulse.plans.catalog.infrastructure import (
     fleet_state,
     infra_history,
 )
-from plantpulse.plans.catalog.ingest import _RISK_HISTORY, scored
+from plantpulse.plans.catalog.ingest import _RISK_HISTORY, risk_history, scored
 from plantpulse.plans.catalog.registry import (
     AS_OF,
     ENV,
@@ -209,12 +209,8 @@ def q9(spark, d):
 
 
 # --- histories ------------------------------------------------------------------------------------
-def risk_history(spark, d):
-    return state.risk_history(scored(spark, d), TIMING)
-
-
 def factory_history(spark, d):
-    return state.factory_history(factory(spark, d), TIMING)
+    return state.factory_history(state.last_per_bucket(factory(spark, d), TIMING), TIMING)
 
 
 _FACTORY_HISTORY = f"""

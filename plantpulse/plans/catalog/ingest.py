@@ -120,6 +120,11 @@ def scored(spark, d):
     return risk.score_messages(factory(spark, d), config(spark).thresholds)
 
 
+def risk_history(spark, d, ttl_seconds=86400):
+    last = state.last_per_bucket(factory(spark, d), TIMING)
+    return state.risk_history(risk.score_messages(last, config(spark).thresholds), TIMING, ttl_seconds)
+
+
 @query(
     "s6_write_processed",
     f"""WITH {SCORED} SELECT message_id, factory_id, strftime(source_timestamp, '%Y-%m-%d %H') AS hour,
@@ -237,7 +242,7 @@ rh AS (SELECT *, {bucket_sql('source_timestamp', TIMING.history_bucket)} + to_se
 )
 def s10(spark, d):
     root = scratch(spark)
-    history = state.risk_history(scored(spark, d), TIMING)
+    history = risk_history(spark, d)
     lake.append_history(history, root, "RISK")
     rows = lake.read_history(spark, root, "RISK", history.schema, start=DAY_FROM, end=DAY_TO)
     return rows.select("pk", "sk", r6("risk_score").alias("risk_score"), "risk_level", "ttl")
@@ -285,9 +290,8 @@ def s12(spark, d):
       WHERE source_timestamp <= TIMESTAMP '2024-01-30'""",
 )
 def s13(spark, d):
-    rows = scored(spark, d)
-    history = state.risk_history(rows, TIMING)
-    processed = rows.withColumn("timestamp", F.col("event_timestamp"))
+    history = risk_history(spark, d)
+    processed = scored(spark, d).withColumn("timestamp", F.col("event_timestamp"))
     out = lake.long_history(history, processed, AS_OF)
     return out.select("factory_id", iso("timestamp").alias("ts"), r6("risk_score").alias("risk_score"), "origin")
 

@@ -30,139 +30,100 @@ def _seconds(expr):
     return F.make_dt_interval(secs=expr.cast("decimal(18,6)"))
 
 
-def _double(expr):
-    return expr.cast("double")
+INFRA_EVENT = "event_type IN ('error', 'signup')"
 
 
 def _narrow(events: DataFrame) -> DataFrame:
     """The envelope facts of an event; everything else derives from these."""
-    is_infra = F.col("event_type").isin("error", "signup")
-    base = events.select(
+    return events.selectExpr(
         "event_id",
         "user_id",
-        F.col("ts").cast("timestamp").alias("source_timestamp"),
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.concat(F.lit("factory-"), F.char(F.lit(97) + F.col("user_id") % 3)).alias("factory_id"),
-        F.when(is_infra, "infra_state").otherwise("factory_state").alias("source_type"),
-        F.when(is_infra, "cluster")
-        .otherwise(F.concat(F.lit("worker"), (F.col("user_id") % 2 + 1).cast("string")))
-        .alias("node_id"),
-    )
-    return base.withColumn("published_at", F.col("source_timestamp") + _seconds(F.col("k") % 5)).withColumn(
-        "received_at", F.col("published_at") + _seconds(F.col("event_id") % 4)
+        "CAST(ts AS TIMESTAMP) AS source_timestamp",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        "concat('factory-', char(97 + user_id % 3)) AS factory_id",
+        f"CASE WHEN {INFRA_EVENT} THEN 'infra_state' ELSE 'factory_state' END AS source_type",
+        f"CASE WHEN {INFRA_EVENT} THEN 'cluster' ELSE concat('worker', CAST(user_id % 2 + 1 AS STRING)) END AS node_id",
+    ).selectExpr(
+        "*",
+        f"source_timestamp + {_seconds_sql('k % 5')} AS published_at",
+        f"source_timestamp + {_seconds_sql('k % 5')} + {_seconds_sql('event_id % 4')} AS received_at",
     )
 
 
-def _sections() -> dict:
-    """Payload sections as plain structs, so that reading one field costs one field."""
-    eid, k = F.col("event_id"), F.col("k")
-    unread = eid % 29 == 0
-    factory = {
-        "aggregation_window_seconds": F.lit(3),
-        "sensor": F.struct(
-            F.when(unread, 0).otherwise(5).alias("sample_count"),
-            F.when(~unread, 20 + k * 0.2).alias("temperature_celsius_avg"),
-            F.when(~unread, _double(40 + eid % 50)).alias("humidity_percent_avg"),
-            F.when(~unread, _double(1000 + F.col("user_id") % 30)).alias("pressure_hpa_avg"),
-        ),
-        "ai_result": F.struct(
-            F.lit(3).alias("sample_count"),
-            ((eid % 11) / 10).alias("fire_score"),
-            ((k % 11) / 10).alias("fall_score"),
-            (((eid + k) % 11) / 10).alias("bend_score"),
-            F.when(eid % 7 == 0, "impact").otherwise("").alias("abnormal_sound"),
-        ),
-    }
-    infra = {
-        "heartbeat": F.struct(
-            F.when(eid % 31 == 0, "stopped").otherwise("alive").alias("agent_status"),
-            F.col("published_at").alias("last_successful_publish_at"),
-            F.col("source_timestamp").alias("last_checkpoint_timestamp"),
-            eid.cast("bigint").alias("publish_sequence"),
-        ),
-        "cluster": F.struct(F.col("factory_id").alias("cluster_name"), F.lit("v1").alias("kubernetes_version")),
-        "nodes": F.array(
-            *[
-                F.struct(
-                    F.lit(name).alias("node_id"),
-                    F.lit(role).alias("role"),
-                    ((eid + i) % 17 != 0).alias("ready"),
-                    _double((k + 31 * i) % 100).alias("cpu_usage_percent"),
-                    _double((k + 47 * i) % 100).alias("memory_usage_percent"),
-                    _double((eid + 13 * i) % 100).alias("disk_usage_percent"),
-                    F.when((eid + i) % 37 == 0, "unreachable").otherwise("ok").alias("network_reachability"),
-                )
-                for name, role, i in NODE_ROLES
-            ]
-        ),
-        "workloads": F.array(
-            *[
-                F.struct(
-                    F.lit("edge-apps").alias("namespace"),
-                    F.lit(name).alias("name"),
-                    F.when((eid + i) % 13 == 0, "Pending").otherwise("Running").alias("status"),
-                    ((eid + i) % 13 != 0).alias("ready"),
-                    (eid % 3).cast("int").alias("restart_count"),
-                    F.when(eid % 5 == 0, "worker1").otherwise("worker2").alias("node_id"),
-                )
-                for name, i in WORKLOAD_NAMES
-            ]
-        ),
-        "devices": F.create_map(
-            *[
-                part
-                for name, mod in (("bme280", 19), ("camera", 23), ("microphone", 29))
-                for part in (
-                    F.lit(name),
-                    F.struct(
-                        (eid % mod != 0).alias("available"),
-                        F.col("source_timestamp").alias("last_seen_at"),
-                    ),
-                )
-            ]
-        ),
-    }
-    return {"factory_state": factory, "infra_state": infra}
-
-
-def _envelope() -> list:
-    factory = F.col("factory_id")
-    return [
-        F.lit(SCHEMA_VERSION).alias("schema_version"),
-        F.concat_ws(
-            ":", "factory_id", "source_type", "node_id", F.date_format("source_timestamp", ISO_MICROS)
-        ).alias("message_id"),
-        "factory_id",
-        "node_id",
-        F.when(factory == "factory-a", "physical-rpi")
-        .when(factory == "factory-b", "vm-mac")
-        .otherwise("vm-windows")
-        .alias("environment_type"),
-        F.when(factory == "factory-a", "sensor").otherwise("dummy").alias("input_module_type"),
-        "source_type",
-        "source_timestamp",
-        "published_at",
-        F.concat(F.lit("agent-"), factory).alias("agent_instance_id"),
-        "received_at",
-        "event_id",
-    ]
+def _seconds_sql(expr: str) -> str:
+    return f"make_dt_interval(0, 0, 0, CAST({expr} AS DECIMAL(18, 6)))"
+
+
+def _node(name: str, role: str, i: int) -> str:
+    return f"""named_struct('node_id', '{name}', 'role', '{role}', 'ready', (event_id + {i}) % 17 <> 0,
+      'cpu_usage_percent', CAST((k + {31 * i}) % 100 AS DOUBLE), 'memory_usage_percent', CAST((k + {47 * i}) % 100 AS DOUBLE),
+      'disk_usage_percent', CAST((event_id + {13 * i}) % 100 AS DOUBLE),
+      'network_reachability', CASE WHEN (event_id + {i}) % 37 = 0 THEN 'unreachable' ELSE 'ok' END)"""
+
+
+def _workload(name: str, i: int) -> str:
+    return f"""named_struct('namespace', 'edge-apps', 'name', '{name}',
+      'status', CASE WHEN (event_id + {i}) % 13 = 0 THEN 'Pending' ELSE 'Running' END, 'ready', (event_id + {i}) % 13 <> 0,
+      'restart_count', CAST(event_id % 3 AS INT), 'node_id', CASE WHEN event_id % 5 = 0 THEN 'worker1' ELSE 'worker2' END)"""
+
+
+def _device(name: str, every: int) -> str:
+    return f"'{name}', named_struct('available', event_id % {every} <> 0, 'last_seen_at', source_timestamp)"
+
+
+_READ = "event_id % 29 <> 0"
+# Payload sections as plain structs, so that reading one field costs one field.
+SECTIONS = {
+    "factory_state": {
+        "aggregation_window_seconds": "3",
+        "sensor": f"""named_struct('sample_count', CASE WHEN {_READ} THEN 5 ELSE 0 END,
+          'temperature_celsius_avg', CASE WHEN {_READ} THEN 20 + k * 0.2D END,
+          'humidity_percent_avg', CASE WHEN {_READ} THEN CAST(40 + event_id % 50 AS DOUBLE) END,
+          'pressure_hpa_avg', CASE WHEN {_READ} THEN CAST(1000 + user_id % 30 AS DOUBLE) END)""",
+        "ai_result": """named_struct('sample_count', 3, 'fire_score', (event_id % 11) / 10, 'fall_score', (k % 11) / 10,
+          'bend_score', ((event_id + k) % 11) / 10, 'abnormal_sound', CASE WHEN event_id % 7 = 0 THEN 'impact' ELSE '' END)""",
+    },
+    "infra_state": {
+        "heartbeat": """named_struct('agent_status', CASE WHEN event_id % 31 = 0 THEN 'stopped' ELSE 'alive' END,
+          'last_successful_publish_at', published_at, 'last_checkpoint_timestamp', source_timestamp,
+          'publish_sequence', CAST(event_id AS BIGINT))""",
+        "cluster": "named_struct('cluster_name', factory_id, 'kubernetes_version', 'v1')",
+        "nodes": f"array({', '.join(_node(*n) for n in NODE_ROLES)})",
+        "workloads": f"array({', '.join(_workload(*w) for w in WORKLOAD_NAMES)})",
+        "devices": f"map({_device('bme280', 19)}, {_device('camera', 23)}, {_device('microphone', 29)})",
+    },
+}
+
+ENVELOPE = (
+    f"'{SCHEMA_VERSION}' AS schema_version",
+    f"""concat_ws(':', factory_id, source_type, node_id, date_format(source_timestamp, "{ISO_MICROS}")) AS message_id""",
+    "factory_id",
+    "node_id",
+    """CASE factory_id WHEN 'factory-a' THEN 'physical-rpi' WHEN 'factory-b' THEN 'vm-mac' ELSE 'vm-windows' END
+      AS environment_type""",
+    "CASE WHEN factory_id = 'factory-a' THEN 'sensor' ELSE 'dummy' END AS input_module_type",
+    "source_type",
+    "source_timestamp",
+    "published_at",
+    "concat('agent-', factory_id) AS agent_instance_id",
+    "received_at",
+    "event_id",
+)
 
 
 def _with_payload(events: DataFrame) -> DataFrame:
-    payload = F.struct(
-        *[
-            F.when(F.col("source_type") == source, expr).cast(PAYLOAD[name].dataType).alias(name)
-            for source, sections in _sections().items()
-            for name, expr in sections.items()
-        ]
+    fields = ", ".join(
+        f"'{name}', CAST(CASE WHEN source_type = '{source}' THEN {expr} END AS {PAYLOAD[name].dataType.simpleString()})"
+        for source, sections in SECTIONS.items()
+        for name, expr in sections.items()
     )
-    return _narrow(events).select(*_envelope(), payload.alias("payload"))
+    return _narrow(events).selectExpr(*ENVELOPE, f"named_struct({fields}) AS payload")
 
 
 def _typed(events: DataFrame, source_type: str) -> DataFrame:
-    sections = [expr.alias(name) for name, expr in _sections()[source_type].items()]
-    infra = F.col("event_type").isin("error", "signup")
-    return _narrow(events.where(infra if source_type == "infra_state" else ~infra)).select(*_envelope(), *sections)
+    sections = [f"{expr} AS {name}" for name, expr in SECTIONS[source_type].items()]
+    wanted = INFRA_EVENT if source_type == "infra_state" else f"NOT {INFRA_EVENT}"
+    return _narrow(events.where(wanted)).selectExpr(*ENVELOPE, *sections)
 
 
 def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
