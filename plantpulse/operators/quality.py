@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from plantpulse.contract import Timing
 from plantpulse.functions import clock
 
+# Scores that differ by less are equal.
+SCORE_NOISE = 1e-9
+
 
 def payload_stats(df: DataFrame, body: str = "body", ts: str = "source_timestamp") -> DataFrame:
     """Message sizes and throughput per site and source type."""
@@ -104,14 +107,23 @@ def latency_stats(
 
 
 def except_messages(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Ids in `a` that are not in `b`."""
-    return a.select("message_id").distinct().join(b.select("message_id"), "message_id", "left_anti")
+    """Ids in `a` that are not in `b`; copies fold before the shuffle."""
+    return a.select("message_id").distinct().join(b.select("message_id").distinct(), "message_id", "left_anti")
+
+
+def one_per_id(df: DataFrame, fields: Sequence[str], out: str) -> DataFrame:
+    """One row per message_id, so that copies cannot multiply in a join.
+
+    Copies fold in the map tasks, and the join that follows reuses the
+    partitioning by message_id.
+    """
+    return df.groupBy("message_id").agg(F.min(F.struct(*fields)).alias(out))
 
 
 def reconcile(raw: DataFrame, processed: DataFrame, compare: Sequence[str]) -> DataFrame:
     """Per message: missing, extra, differing or equal, over a full outer join."""
-    left = raw.select("message_id", F.struct(*compare).alias("raw_values"))
-    right = processed.select("message_id", F.struct(*compare).alias("processed_values"))
+    left = one_per_id(raw, compare, "raw_values")
+    right = one_per_id(processed, compare, "processed_values")
     same = F.col("raw_values").eqNullSafe(F.col("processed_values"))
     return left.join(right, "message_id", "full_outer").select(
         "message_id",
@@ -121,3 +133,21 @@ def reconcile(raw: DataFrame, processed: DataFrame, compare: Sequence[str]) -> D
         .otherwise("equal")
         .alias("outcome"),
     )
+
+
+def compare_versions(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two calculations of the same messages, side by side per site."""
+    left = one_per_id(a, ("factory_id", "risk_score", "risk_level"), "a")
+    right = one_per_id(b, ("risk_score", "risk_level"), "b")
+    delta = F.col("b.risk_score") - F.col("a.risk_score")
+    return (
+        left.join(right, "message_id")
+        .groupBy(F.col("a.factory_id").alias("factory_id"))
+        .agg(
+            F.count(F.lit(1)).alias("messages"),
+            F.count_if(F.abs(delta) > SCORE_NOISE).alias("changed"),
+            F.count_if(F.col("a.risk_level") != F.col("b.risk_level")).alias("level_changed"),
+            F.avg(delta).alias("mean_delta"),
+            F.max(F.abs(delta)).alias("max_abs_delta"),
+        )
+    )

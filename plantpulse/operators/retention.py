@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.functions import clock
+from plantpulse.operators.sliced import Series, with_previous
 
 # Days of the life-cycle rules.
 RAW_ARCHIVE_DAYS = 90
@@ -60,13 +61,19 @@ def tier_bytes(tiered: DataFrame) -> DataFrame:
     )
 
 
-def with_noncurrent_since(inventory: DataFrame) -> DataFrame:
-    """An old version became non-current when the next version was written.
+def noncurrent_versions(inventory: DataFrame, slice_seconds: int = 86400) -> DataFrame:
+    """Every replaced version with the time its successor was written.
 
-    A key holds a handful of versions; keys spread over all tasks.
+    Seen from the successor: the row before it in the key's history became
+    non-current at that moment.  Time slices keep a key with very many
+    versions out of a single task.
     """
-    versions = Window.partitionBy("key").orderBy("last_modified", "version_id")
-    return inventory.withColumn("noncurrent_since", F.lead("last_modified").over(versions))
+    fields = ("version_id", "size", "last_modified")
+    series = Series(("key",), ("last_modified", "version_id"), slice_seconds)
+    rows = with_previous(inventory.select("key", *fields), series, fields)
+    return rows.where(F.col("prev_version_id").isNotNull()).select(
+        "key", *[F.col(f"prev_{f}").alias(f) for f in fields], F.col("last_modified").alias("noncurrent_since")
+    )
 
 
 def expire_noncurrent(
@@ -74,11 +81,12 @@ def expire_noncurrent(
     as_of_time,
     days: int = NONCURRENT_DAYS,
     latest_days: int = LATEST_NONCURRENT_DAYS,
+    slice_seconds: int = 86400,
 ) -> DataFrame:
     """Old versions that are due for deletion."""
     age = age_days(as_of_time, "noncurrent_since")
     limit = F.when(prefix() == "latest", latest_days).otherwise(days)
-    return with_noncurrent_since(inventory).where(age >= limit)
+    return noncurrent_versions(inventory, slice_seconds).where(age >= limit)
 
 
 def expire_snapshots(files: DataFrame, as_of_time, hours: int = SNAPSHOT_HOURS) -> DataFrame:

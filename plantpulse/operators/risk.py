@@ -342,24 +342,6 @@ def failed_heartbeat(infra: DataFrame, slice_seconds: int, timing: Timing = Timi
     )
 
 
-def compare_versions(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two calculations of the same messages, side by side per site."""
-    left = a.select("message_id", "factory_id", F.col("risk_score").alias("score_a"), F.col("risk_level").alias("level_a"))
-    right = b.select("message_id", F.col("risk_score").alias("score_b"), F.col("risk_level").alias("level_b"))
-    delta = F.col("score_b") - F.col("score_a")
-    return (
-        left.join(right, "message_id")
-        .groupBy("factory_id")
-        .agg(
-            F.count(F.lit(1)).alias("messages"),
-            F.count_if(delta != 0).alias("changed"),
-            F.count_if(F.col("level_a") != F.col("level_b")).alias("level_changed"),
-            F.avg(delta).alias("mean_delta"),
-            F.max(F.abs(delta)).alias("max_abs_delta"),
-        )
-    )
-
-
 def ai_event_rate(factory: DataFrame, window_seconds: int = 3600) -> DataFrame:
     """AI events (any score in the danger band) per site and hour."""
     hit = F.greatest("ai_result.fire_score", "ai_result.fall_score", "ai_result.bend_score") >= C.AI_DANGER_FROM

@@ -282,7 +282,7 @@ def d5(spark, d):
 # --- volume, rate, completeness, latency -----------------------------------------------------
 @query(
     "a15_payload_stats",
-    f"""WITH {MSG}, b AS (SELECT *, octet_length(encode(message_id || '|' || CAST(k AS VARCHAR))) AS size FROM msg)
+    f"""WITH {MSG}, b AS (SELECT *, octet_length(encode(message_id || '|' || CAST(event_id AS VARCHAR))) AS size FROM msg)
     SELECT factory_id, source_type, count(*) AS messages, CAST(sum(size) AS BIGINT) AS total_bytes, round(avg(size), 6) AS mean_bytes,
     max(size) AS max_bytes, round(sum(size) / 1000 / {age_sql('max(source_timestamp)', 'min(source_timestamp)')}, 6) AS kb_per_second,
     round(sum(size) / 1000000 / {age_sql('max(source_timestamp)', 'min(source_timestamp)')} * 86400, 6) AS mb_per_day
@@ -290,10 +290,8 @@ def d5(spark, d):
 )
 def a15(spark, d):
     # Both engines must see the same text, so the body is a short one here.
-    ev = feed.read_events(spark, d).select("event_id", F.get_json_object("props", "$.k").alias("k"))
-    rows = messages(spark, d).select("factory_id", "source_type", "source_timestamp", "message_id", "event_id")
-    body = rows.join(ev, "event_id").withColumn("body", F.concat_ws("|", "message_id", "k"))
-    out = quality.payload_stats(body)
+    body = F.concat_ws("|", "message_id", F.col("event_id").cast("string"))
+    out = quality.payload_stats(messages(spark, d).withColumn("body", body))
     return out.select(
         "factory_id",
         "source_type",
@@ -403,7 +401,7 @@ def r15(spark, d):
     # The archive is scored again under new weights and compared.
     weights = {**dict(C.MESSAGE_WEIGHTS), "fall_score": 20.0}
     again = risk.score_messages(factory(spark, d), config(spark).thresholds, weights, "risk-v0.2.0")
-    out = risk.compare_versions(scored(spark, d), again)
+    out = quality.compare_versions(scored(spark, d), again)
     return out.select(
         "factory_id",
         "messages",

@@ -43,6 +43,15 @@ def read_latest(spark: SparkSession, root: str, version: int | None = None) -> D
     return None if version is None else spark.read.parquet(f"{root}/v={version}")
 
 
+def write_version(df: DataFrame, root: str, version: int, keep: int = 3) -> None:
+    """Write a version and drop the oldest ones beyond `keep`."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{root}/v={version}")
+    fs = _file_system(spark, root)
+    for old in [v for v in versions(spark, root) if v < version][:-keep]:
+        fs.delete(_path(spark, f"{root}/v={old}"), True)
+
+
 def upsert_latest(
     updates: DataFrame,
     root: str,
@@ -54,7 +63,7 @@ def upsert_latest(
     """Merge a batch of messages into the table.
 
     Batch winners are reduced first, so what meets the stored table is one
-    row per key.  Old versions beyond `keep` are dropped.
+    row per key.
     """
     spark = updates.sparkSession
     before = [v for v in versions(spark, root) if v < batch_id]
@@ -62,9 +71,4 @@ def upsert_latest(
     if before:
         stored = spark.read.schema(winners.schema).parquet(f"{root}/v={before[-1]}")
         winners = latest_per_factory(stored.unionByName(winners), keys, order)
-    winners.write.mode("overwrite").parquet(f"{root}/v={batch_id}")
-    fs = _file_system(spark, root)
-    for old in before[: max(0, len(before) - keep)]:
-        fs.delete(_path(spark, f"{root}/v={old}"), True)
-
-
+    write_version(winners, root, batch_id, keep)

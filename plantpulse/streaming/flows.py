@@ -13,6 +13,7 @@ batch replaces its own output.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,6 +67,16 @@ def _batch_path(root: str, batch_id: int) -> str:
     return f"{root}/batch={batch_id}"
 
 
+@contextmanager
+def _kept(batch: DataFrame):
+    """Keep a micro-batch while a handler reads it more than once."""
+    batch.persist()
+    try:
+        yield batch
+    finally:
+        batch.unpersist()
+
+
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(_batch_path(root, batch_id))
 
@@ -96,13 +107,30 @@ def windowed_mean(df: DataFrame, value: str, seconds: int, timing: Timing = Timi
     )
 
 
-def stream_dedup(df: DataFrame, timing: Timing = Timing()) -> DataFrame:
-    """First copy of every message_id within the allowed lateness."""
-    return with_event_time(df, timing).dropDuplicatesWithinWatermark(["message_id"])
+def stream_dedup(df: DataFrame, timing: Timing = Timing(), salt: int = 16) -> DataFrame:
+    """First copy of every message_id within the allowed lateness.
+
+    A much repeated id would send all its copies to one task, so copies are
+    first dropped per (id, salt) and the few that remain per id.  The salt is
+    a hash of the copy's own times, hence the same on a retry; `salt=1` skips
+    that step.
+    """
+    timed = with_event_time(df, timing)
+    if salt > 1:
+        spread = F.pmod(F.xxhash64("published_at", "received_at"), F.lit(salt))
+        timed = (
+            timed.withColumn("_salt", spread).dropDuplicatesWithinWatermark(["message_id", "_salt"]).drop("_salt")
+        )
+    return timed.dropDuplicatesWithinWatermark(["message_id"])
 
 
 def arrival_sessions(df: DataFrame, gap_seconds: int, timing: Timing = Timing()) -> DataFrame:
-    """Stretches of continuous arrival; what lies between them is an outage."""
+    """Stretches of continuous arrival; what lies between them is an outage.
+
+    Sessions are merged inside each task before the shuffle, so a busy site
+    sends one row per stretch and task and not one per message.
+    """
+    df.sparkSession.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
     return (
         with_event_time(df, timing)
         .groupBy("factory_id", F.session_window("source_timestamp", f"{gap_seconds} seconds").alias("_s"))
@@ -136,13 +164,13 @@ def asof_writer(root: str, store: str, slice_seconds: int) -> Callable[[DataFram
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        infra = batch.where(F.col("source_type") == "infra_state")
-        stored = _stored(spark, store, batch_id)
-        known = infra if stored is None else infra.unionByName(stored)
-        factory = batch.where(F.col("source_type") == "factory_state").select("factory_id", *NEWEST)
-        write_batch(asof_infra(factory, known, slice_seconds), root, batch_id)
-        latest.upsert_latest(infra, store, batch_id)
+        stored = _stored(batch.sparkSession, store, batch_id)
+        with _kept(batch):
+            infra = batch.where(F.col("source_type") == "infra_state")
+            known = infra if stored is None else infra.unionByName(stored)
+            factory = batch.where(F.col("source_type") == "factory_state").select("factory_id", *NEWEST)
+            write_batch(asof_infra(factory, known, slice_seconds), root, batch_id)
+            latest.upsert_latest(infra, store, batch_id)
 
     return handle
 
@@ -190,10 +218,11 @@ def change_writer(root: str, store: str, slice_seconds: int, state: str = "risk_
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = _stored(batch.sparkSession, store, batch_id)
-        changes, now = state_changes(batch, stored, slice_seconds, state)
-        write_batch(changes, root, batch_id)
-        # `now` already merges the stored sites with those of the batch.
-        now.write.mode("overwrite").parquet(f"{store}/v={batch_id}")
+        with _kept(batch):
+            changes, now = state_changes(batch, stored, slice_seconds, state)
+            write_batch(changes, root, batch_id)
+            # `now` already merges the stored sites with those of the batch.
+            latest.write_version(now, store, batch_id)
 
     return handle
 
@@ -223,12 +252,13 @@ def late_writer(root: str, late_root: str, store: str, timing: Timing = Timing()
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = _stored(batch.sparkSession, store, batch_id)
         seen = stored.agg(F.max("source_timestamp")).first()[0] if stored is not None else None
-        if seen is None:
-            on_time, late = batch, batch.where(F.lit(False))
-        else:
-            on_time, late = split_late(batch, F.lit(seen), timing)
-        write_batch(on_time, root, batch_id)
-        write_batch(late, late_root, batch_id)
-        latest.upsert_latest(batch.select("factory_id", *NEWEST), store, batch_id)
+        with _kept(batch):
+            if seen is None:
+                on_time, late = batch, batch.where(F.lit(False))
+            else:
+                on_time, late = split_late(batch, F.lit(seen), timing)
+            write_batch(on_time, root, batch_id)
+            write_batch(late, late_root, batch_id)
+            latest.upsert_latest(batch.select("factory_id", *NEWEST), store, batch_id)
 
     return handle
