@@ -79,21 +79,13 @@ def with_rule_weights(df: DataFrame, rules: DataFrame, field_rules: Sequence[tup
 
 def with_thresholds(df: DataFrame, thresholds: DataFrame, defaults: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """Attach `<metric>_warning` and `<metric>_critical` of the row's site."""
-    metrics = ("temperature", "humidity")
-    defaults = defaults or {}
-    wide = thresholds.groupBy("factory_id").agg(
-        *[
-            F.max(F.when(F.col("metric") == m, F.col(level))).alias(f"{m}_{level}")
-            for m in metrics
-            for level in ("warning", "critical")
-        ]
-    )
-    out = df.join(wide, "factory_id", "left")
-    for m, (warning, critical) in defaults.items():
-        out = out.withColumn(f"{m}_warning", F.coalesce(f"{m}_warning", F.lit(warning))).withColumn(
-            f"{m}_critical", F.coalesce(f"{m}_critical", F.lit(critical))
-        )
-    return out
+    out = df.join(thresholds, "factory_id", "left")
+    filled = {
+        f"{m}_{level}": F.coalesce(f"{m}_{level}", F.lit(bound))
+        for m, bounds in (defaults or {}).items()
+        for level, bound in zip(("warning", "critical"), bounds)
+    }
+    return out.withColumns(filled) if filled else out
 
 
 # Bounds for sites whose configuration has none.

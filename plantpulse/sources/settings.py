@@ -47,13 +47,10 @@ _FACTORIES = pa.schema(
     )]
     + [("ai_event_baseline", pa.float64())]
 )
+METRICS = ("temperature", "humidity")
 _THRESHOLDS = pa.schema(
-    [
-        ("factory_id", pa.string()),
-        ("metric", pa.string()),
-        ("warning", pa.float64()),
-        ("critical", pa.float64()),
-    ]
+    [("factory_id", pa.string())]
+    + [(f"{m}_{level}", pa.float64()) for m in METRICS for level in ("warning", "critical")]
 )
 _CAUSES = pa.schema(
     [("code", pa.string()), ("label", pa.string()), ("weight", pa.float64()), ("axis", pa.string())]
@@ -67,9 +64,20 @@ def small_table(spark: SparkSession, rows: Iterable[tuple], schema: pa.Schema) -
     return spark.createDataFrame(pa.Table.from_arrays(arrays, schema=schema))
 
 
+def wide_thresholds(rows: Iterable[tuple]) -> list[tuple]:
+    """(site, metric, warning, critical) rows -> one row per site."""
+    sites: dict[str, dict[str, tuple]] = {}
+    for site, metric, warning, critical in rows:
+        sites.setdefault(site, {})[metric] = (warning, critical)
+    return [(site, *[b for m in METRICS for b in found.get(m, (None, None))]) for site, found in sites.items()]
+
+
 @dataclass(frozen=True)
 class Settings:
-    """field_rules, overrides, factories, thresholds and causes as DataFrames."""
+    """field_rules, overrides, factories, thresholds and causes as DataFrames.
+
+    `thresholds` has one row per site.
+    """
 
     field_rules: DataFrame
     overrides: DataFrame
@@ -90,6 +98,6 @@ def load_config(
         small_table(spark, field_rules, _RULES),
         small_table(spark, overrides, _OVERRIDES),
         small_table(spark, factories, _FACTORIES),
-        small_table(spark, thresholds, _THRESHOLDS),
+        small_table(spark, wide_thresholds(thresholds), _THRESHOLDS),
         small_table(spark, causes, _CAUSES),
     )
