@@ -189,15 +189,14 @@ def as_of(
     comes first.  `left_time` shifts the moment a left row asks about.
     """
     ts, rest = series.ts, series.order[1:]
-    asked = F.col(ts) if left_time is None else left_time
-    questions = left.select(
-        *series.keys,
-        asked.alias(ts),
-        F.lit(1).alias("_side"),
-        *rest,
-        F.struct(*left.columns).alias("_left"),
-    )
-    answers = right.select(*series.keys, ts, F.lit(0).alias("_side"), *rest, value)
+    questions = left.withColumn("_side", F.lit(1))
+    if left_time is not None:
+        questions = questions.withColumn("_own_time", F.col(ts)).withColumn(ts, left_time)
+    answers = right.select(*series.keys, ts, *rest, F.lit(0).alias("_side"), value)
+    # Left columns stay at top level, so that unused ones are pruned.
     both = questions.unionByName(answers, allowMissingColumns=True)
     sided = Series(series.keys, (ts, "_side", *rest), series.slice_seconds)
-    return fill_forward(both, sided, [value]).where(F.col("_side") == 1).select("_left.*", value)
+    out = fill_forward(both, sided, [value]).where(F.col("_side") == 1)
+    if left_time is not None:
+        out = out.withColumn(ts, F.col("_own_time"))
+    return out.select(*left.columns, value)

@@ -129,16 +129,27 @@ def last_known(df: DataFrame, series: Series, sections: Sequence[str]) -> DataFr
     return fill_forward(df, series, sections)
 
 
-def asof_infra(factory: DataFrame, infra: DataFrame, slice_seconds: int, tolerance_seconds: float | None = None) -> DataFrame:
-    """Every factory_state row with the newest infra state at or before it."""
+INFRA_FACTS = ("heartbeat", "nodes", "workloads", "devices")
+
+
+def asof_infra(
+    factory: DataFrame,
+    infra: DataFrame,
+    slice_seconds: int,
+    tolerance_seconds: float | None = None,
+    sections: Sequence[str] = INFRA_FACTS,
+) -> DataFrame:
+    """Every factory_state row with the newest infra state at or before it.
+
+    `infra` is a struct of the time (`at`) and the wanted sections; name only
+    those that are used, because a struct travels whole.
+    """
     series = Series(("factory_id",), ("source_timestamp", "message_id"), slice_seconds)
     facts = infra.select(
         "factory_id",
         "source_timestamp",
         "message_id",
-        F.struct(
-            F.col("source_timestamp").alias("at"), "heartbeat", "nodes", "workloads", "devices"
-        ).alias("infra"),
+        F.struct(F.col("source_timestamp").alias("at"), *sections).alias("infra"),
     )
     out = as_of(factory, facts, series, "infra")
     if tolerance_seconds is not None:

@@ -366,27 +366,39 @@ def a18(spark, d):
 
 @query(
     "u3_except_messages",
-    f"WITH {MSG} SELECT message_id FROM msg WHERE event_id % 12 = 0",
+    f"WITH {MSG} SELECT message_id FROM msg WHERE source_type = 'infra_state'",
 )
 def u3(spark, d):
-    every = messages(spark, d).select("message_id", "event_id")
-    return quality.except_messages(every, every.where(F.col("event_id") % 12 != 0))
+    # What is archived (with repeats) but was never scored.
+    archived = feed.with_repeats(messages(spark, d))
+    return quality.except_messages(archived, scored(spark, d))
+
+
+_REWEIGHTED = f"""{SCORED}, v AS (SELECT *, least(greatest(c1 + c2 + c4 + c5 / 35 * 20 + c6 + c7, 0), 100) AS s2 FROM leveled)"""
 
 
 @query(
     "j5_reconcile_raw_processed",
-    f"""WITH {SCORED} SELECT outcome, count(*) AS messages FROM (SELECT CASE WHEN event_id % 11 = 0 THEN 'missing'
-      WHEN event_id % 13 = 0 THEN 'extra' WHEN event_id % 17 = 0 THEN 'differing' ELSE 'equal' END AS outcome FROM leveled)
-    GROUP BY 1""",
+    f"""WITH {_REWEIGHTED}, o AS (SELECT CASE WHEN round(s2, 6) = round(risk_score, 6) THEN 'equal' ELSE 'differing' END AS outcome FROM v)
+    SELECT direction, outcome, count(*) AS messages FROM (
+      SELECT 'archive' AS direction, outcome FROM o UNION ALL SELECT 'archive', 'missing' FROM msg WHERE source_type = 'infra_state' UNION ALL
+      SELECT 'processed', outcome FROM o UNION ALL SELECT 'processed', 'extra' FROM msg WHERE source_type = 'infra_state') GROUP BY ALL""",
 )
 def j5(spark, d):
-    rows = scored(spark, d).select("message_id", "risk_score", "event_id")
-    raw = rows.where((F.col("event_id") % 13 != 0) | (F.col("event_id") % 11 == 0))
-    done = rows.where(F.col("event_id") % 11 != 0).withColumn(
-        "risk_score", F.when(F.col("event_id") % 17 == 0, F.col("risk_score") + 1).otherwise(F.col("risk_score"))
-    )
-    out = quality.reconcile(raw, done, ["risk_score"])
-    return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("messages"))
+    # The archive holds both source types, repeats and the old scores; the
+    # processed side holds factory messages under new weights.
+    score = F.round("risk_score", 6).alias("risk_score")
+    old = scored(spark, d).select("message_id", score)
+    archived = feed.with_repeats(messages(spark, d)).select("message_id").join(old, "message_id", "left")
+    new = risk.score_messages(factory(spark, d), config(spark).thresholds, NEW_WEIGHTS).select("message_id", score)
+    parts = [
+        quality.reconcile(a, b, ["risk_score"]).withColumn("direction", F.lit(name))
+        for name, a, b in (("archive", archived, new), ("processed", new, archived))
+    ]
+    return parts[0].unionByName(parts[1]).groupBy("direction", "outcome").agg(F.count(F.lit(1)).alias("messages"))
+
+
+NEW_WEIGHTS = {**dict(C.MESSAGE_WEIGHTS), "fall_score": 20.0}
 
 
 @query(
@@ -399,8 +411,7 @@ def j5(spark, d):
 )
 def r15(spark, d):
     # The archive is scored again under new weights and compared.
-    weights = {**dict(C.MESSAGE_WEIGHTS), "fall_score": 20.0}
-    again = risk.score_messages(factory(spark, d), config(spark).thresholds, weights, "risk-v0.2.0")
+    again = risk.score_messages(factory(spark, d), config(spark).thresholds, NEW_WEIGHTS, "risk-v0.2.0")
     out = quality.compare_versions(scored(spark, d), again)
     return out.select(
         "factory_id",
