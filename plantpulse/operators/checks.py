@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantpulse import contract as C
 from plantpulse.functions import clock, text
@@ -13,6 +14,7 @@ from plantpulse.operators.sliced import Series, state_runs
 from plantpulse.operators.timeseries import bucket_series
 
 CORRUPT = "corrupt_record"
+PARSED = T.StructType(C.RAW_MESSAGE.fields + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
 # --- topic rule ----------------------------------------------------------------------
@@ -50,8 +52,7 @@ def parse_messages(df: DataFrame, body: str = "body") -> DataFrame:
 
     Columns beside `body` pass through.  The corrupt text is in CORRUPT.
     """
-    schema = C.RAW_MESSAGE.add(CORRUPT, "string") if CORRUPT not in C.RAW_MESSAGE.names else C.RAW_MESSAGE
-    parsed = F.from_json(body, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    parsed = F.from_json(body, PARSED, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     others = [c for c in df.columns if c != body]
     return df.withColumn("_m", parsed).select(*others, "_m.*")
 

@@ -16,6 +16,7 @@ from plantpulse.operators.timeseries import downsample_last
 
 # The winner of two messages never depends on arrival order.
 NEWEST = ("source_timestamp", "published_at", "message_id")
+INFRA_FACTS = ("heartbeat", "nodes", "workloads", "devices")
 
 
 # --- summaries (column expressions, no shuffle) -------------------------------------
@@ -64,7 +65,8 @@ def latest_per_factory(
 
 def factory_section(factory: DataFrame) -> DataFrame:
     """Latest factory_state per site."""
-    last = latest_per_factory(factory, ("factory_id",))
+    # Selected first: what a struct winner holds cannot be pruned later.
+    last = latest_per_factory(factory.select("factory_id", *NEWEST, "sensor", "ai_result"), ("factory_id",))
     return last.select(
         "factory_id",
         F.col("source_timestamp").alias("last_factory_state_at"),
@@ -76,7 +78,7 @@ def factory_section(factory: DataFrame) -> DataFrame:
 
 def infra_section(infra: DataFrame) -> DataFrame:
     """Latest infra_state per site with its summaries."""
-    last = latest_per_factory(infra, ("factory_id",))
+    last = latest_per_factory(infra.select("factory_id", *NEWEST, *INFRA_FACTS), ("factory_id",))
     return last.select(
         "factory_id",
         F.col("source_timestamp").alias("last_infra_state_at"),
@@ -129,9 +131,6 @@ def last_known(df: DataFrame, series: Series, sections: Sequence[str]) -> DataFr
     return fill_forward(df, series, sections)
 
 
-INFRA_FACTS = ("heartbeat", "nodes", "workloads", "devices")
-
-
 def asof_infra(
     factory: DataFrame,
     infra: DataFrame,

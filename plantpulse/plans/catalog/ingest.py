@@ -133,7 +133,7 @@ def risk_history(spark, d, ttl_seconds=86400):
 def s6(spark, d):
     root = scratch(spark)
     rows = scored(spark, d).select("factory_id", "message_id", "event_timestamp", "risk_score", "risk_level")
-    lake.write_processed(rows, root, "risk-score")
+    lake.write_processed(rows, root, "risk-score", tasks=lake.backfill_tasks(spark))
     out = lake.read_processed(spark, root, "risk-score", rows.schema)
     return out.select(
         "message_id",
@@ -317,7 +317,7 @@ def u2(spark, d):
 def q13(spark, d):
     root = scratch(spark)
     rows = scored(spark, d).select("factory_id", "message_id", "event_timestamp", "risk_score", "risk_level")
-    lake.write_processed(rows, root, "risk-score")
+    lake.write_processed(rows, root, "risk-score", tasks=lake.backfill_tasks(spark))
     wanted = rows.agg(F.max("message_id")).first()[0]
     out = lake.processed_detail(lake.read_processed(spark, root, "risk-score", rows.schema), wanted)
     return out.select("message_id", r6("risk_score").alias("risk_score"), "risk_level")

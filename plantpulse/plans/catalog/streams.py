@@ -27,7 +27,7 @@ from plantpulse.plans.catalog.registry import (
     scratch,
 )
 from plantpulse.sources import feed, lake, latest
-from plantpulse.streaming import flows
+from plantpulse.streaming import flows, processor
 
 _MICROS = 1000000
 
@@ -232,3 +232,46 @@ def x10(spark, d):
     ).select("message_id", "risk_score", "risk_level", "calculation_version")
     done = _finish(spark, flows.run_to_files(scored, f"{root}/out", f"{root}/check"), f"{root}/out")
     return done.withColumn("risk_score", r6("risk_score"))
+
+
+@query(
+    "x9_data_processor",
+    f"""WITH {SCORED}, lf AS (SELECT factory_id, arg_max(message_id, source_timestamp) AS factory_message_id, round(arg_max(risk_score, source_timestamp), 6) AS risk_score,
+      count(DISTINCT epoch_us(source_timestamp) // {TIMING.history_bucket * _MICROS}) AS history_points FROM leveled GROUP BY 1),
+    li AS (SELECT factory_id, arg_max(message_id, source_timestamp) AS infra_message_id FROM msg WHERE source_type = 'infra_state' GROUP BY 1),
+    rj AS (SELECT factory_id, count(*) AS rejected FROM msg WHERE event_id % 53 = 0 GROUP BY 1)
+    SELECT 'valid' AS part, factory_id, factory_message_id, infra_message_id, risk_score, history_points FROM lf JOIN li USING (factory_id)
+    UNION ALL SELECT 'rejected', factory_id, NULL, NULL, NULL, rejected FROM rj""",
+)
+def x9_processor(spark, d):
+    # Every message arrives well-formed; one in 53 arrives once more, damaged.
+    root = scratch(spark)
+    m = feed.stream_messages(spark, d)
+    damaged = F.when(F.col("copy") == 1, "unknown").otherwise(F.col("environment_type"))
+    copies = F.when(F.col("event_id") % 53 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    arrivals = m.withColumn("copy", F.explode(copies)).withColumn("environment_type", damaged).drop("copy", "event_id")
+    for q in processor.run(
+        arrivals, root, config(spark), f"{root}/check", TIMING, lake.backfill_tasks(spark)
+    ):
+        q.awaitTermination()
+    points = processor.history(spark, root, "RISK", TIMING).groupBy("factory_id").agg(F.count(F.lit(1)).alias("history_points"))
+    now = processor.current_state(spark, root).join(points, "factory_id")
+    none = F.lit(None)
+    rejects = spark.read.parquet(f"{root}/rejects").groupBy("factory_id").agg(F.count(F.lit(1)).alias("history_points"))
+    return now.select(
+        F.lit("valid").alias("part"),
+        "factory_id",
+        "factory_message_id",
+        "infra_message_id",
+        r6("risk_score").alias("risk_score"),
+        "history_points",
+    ).unionByName(
+        rejects.select(
+            F.lit("rejected").alias("part"),
+            "factory_id",
+            none.cast("string").alias("factory_message_id"),
+            none.cast("string").alias("infra_message_id"),
+            none.cast("double").alias("risk_score"),
+            "history_points",
+        )
+    )

@@ -30,8 +30,24 @@ def with_date_parts(df: DataFrame, ts, hours: bool = False) -> DataFrame:
     return df.select("*", *[F.date_format(ts, fmt).alias(name) for name, fmt in parts.items()])
 
 
-def _write(df: DataFrame, root: str, partitions, fmt: str, mode: str) -> None:
-    writer = df.hint("rebalance", *[F.col(p) for p in partitions]).write.mode(mode).format(fmt)
+def spread_over_folders(df: DataFrame, partitions, tasks: int | None = None) -> DataFrame:
+    """Bring the rows of a folder together before a partitioned write.
+
+    Default: rebalance, which splits a folder that is large and merges folders
+    that are small into one task; right for a batch that touches few folders.
+    With `tasks`, folders are hashed over that many tasks; right for a backfill
+    into very many folders, where each folder is itself a small time slice.
+    """
+    columns = [F.col(p) for p in partitions]
+    return df.hint("rebalance", *columns) if tasks is None else df.repartition(tasks, *columns)
+
+
+def backfill_tasks(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _write(df: DataFrame, root: str, partitions, fmt: str, mode: str, tasks: int | None = None) -> None:
+    writer = spread_over_folders(df, partitions, tasks).write.mode(mode).format(fmt)
     if fmt == "json":
         # The default format would cut timestamps to milliseconds.
         writer = writer.option("timestampFormat", JSON_TIMESTAMP).option("timeZone", "UTC")
@@ -90,11 +106,13 @@ def read_raw(
     return df
 
 
-def write_processed(df: DataFrame, root: str, dataset: str, ts: str = "event_timestamp", mode: str = "append") -> None:
+def write_processed(
+    df: DataFrame, root: str, dataset: str, ts: str = "event_timestamp", mode: str = "append", tasks: int | None = None
+) -> None:
     """Append results of one of the three datasets, partitioned down to the hour."""
     if dataset not in PROCESSED_DATASETS:
         raise ValueError(f"unknown dataset: {dataset}")
-    _write(with_date_parts(df, ts, hours=True), f"{root}/{dataset}", PROCESSED_PARTITIONS, "parquet", mode)
+    _write(with_date_parts(df, ts, hours=True), f"{root}/{dataset}", PROCESSED_PARTITIONS, "parquet", mode, tasks)
 
 
 def read_processed(

@@ -68,7 +68,7 @@ def _batch_path(root: str, batch_id: int) -> str:
 
 
 @contextmanager
-def _kept(batch: DataFrame):
+def kept(batch: DataFrame):
     """Keep a micro-batch while a handler reads it more than once."""
     batch.persist()
     try:
@@ -165,7 +165,7 @@ def asof_writer(root: str, store: str, slice_seconds: int) -> Callable[[DataFram
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = _stored(batch.sparkSession, store, batch_id)
-        with _kept(batch):
+        with kept(batch):
             infra = batch.where(F.col("source_type") == "infra_state")
             known = infra if stored is None else infra.unionByName(stored)
             factory = batch.where(F.col("source_type") == "factory_state").select("factory_id", *NEWEST)
@@ -218,7 +218,7 @@ def change_writer(root: str, store: str, slice_seconds: int, state: str = "risk_
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = _stored(batch.sparkSession, store, batch_id)
-        with _kept(batch):
+        with kept(batch):
             changes, now = state_changes(batch, stored, slice_seconds, state)
             write_batch(changes, root, batch_id)
             # `now` already merges the stored sites with those of the batch.
@@ -252,7 +252,7 @@ def late_writer(root: str, late_root: str, store: str, timing: Timing = Timing()
     def handle(batch: DataFrame, batch_id: int) -> None:
         stored = _stored(batch.sparkSession, store, batch_id)
         seen = stored.agg(F.max("source_timestamp")).first()[0] if stored is not None else None
-        with _kept(batch):
+        with kept(batch):
             if seen is None:
                 on_time, late = batch, batch.where(F.lit(False))
             else:
