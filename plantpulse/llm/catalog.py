@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantpulse.llm.exact import exact_groups
 from plantpulse.llm.lines import drop_repeated_lines
+from plantpulse.llm.pieces import digest_documents
+from plantpulse.llm.simhash import hex_fingerprint, near_groups
 from plantpulse.llm.tables import load
 from plantpulse.llm.urls import LOWER, UPPER, judge_urls
+from plantpulse.llm.vectors import near_vectors
 
 #: Fixed values of the query: host, path, verdict.
 URL_RULES = (
@@ -19,9 +24,25 @@ URL_RULES = (
     ("example.com", "/de/", "block"),
     ("org", "/fr/", "allow"),
 )
+#: Where vocabulary files lie, if not where the package says.
+TOKENIZERS = "PLANTPULSE_TOKENIZERS"
 SPACE_SQL = r"[\x20\x09-\x0D]"
 
 
+def vocabulary(name: str) -> bytes:
+    """A public vocabulary file, read on the driver and sent to the tasks."""
+    folder = os.environ.get(TOKENIZERS)
+    if folder:
+        return Path(folder, name).read_bytes()
+    import public_tokenizers
+
+    return Path(public_tokenizers.path(name)).read_bytes()
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest_documents(load(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = drop_repeated_lines(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -40,6 +61,11 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_dropp
 FROM j GROUP BY doc_id"""
 
 
+def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_groups(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(load(spark, sf_dir, "documents")).drop("row_key")
 
@@ -52,6 +78,25 @@ w AS (SELECT doc_id, key, first_value(doc_id) OVER (PARTITION BY key ORDER BY po
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(key) AS text_sha256 FROM w"""
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(load(spark, sf_dir, "embeddings"))
+
+
+OP9_SQL = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM e a JOIN e b ON a.label = b.label AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.v, b.v) >= 0.98),
+r(node, seen) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.node, l.b FROM r JOIN l ON r.seen = l.a),
+c AS (SELECT node, min(seen) AS component_id FROM r GROUP BY node),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a)
+SELECT c.node AS vec_id, coalesce(n.n, 0) AS n_links, c.component_id, c.node = c.component_id AS kept
+FROM c LEFT JOIN n ON n.a = c.node"""
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     return judge_urls(load(spark, sf_dir, "pages"), rules)
@@ -70,11 +115,19 @@ QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rul
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_sentencepiece": op1_sentencepiece,
         "op2_line_dedup": op2_line_dedup,
+        "op6_simhash_dedup": op6_simhash_dedup,
         "op7_exact_dedup": op7_exact_dedup,
+        "op9_embedding_dedup": op9_embedding_dedup,
         "op10_url_filters": op10_url_filters,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_line_dedup": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op10_url_filters": OP10_SQL}
+    return {
+        "op2_line_dedup": OP2_SQL,
+        "op7_exact_dedup": OP7_SQL,
+        "op9_embedding_dedup": OP9_SQL,
+        "op10_url_filters": OP10_SQL,
+    }
