@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm.exact import exact_groups
 from plantpulse.llm.lines import drop_repeated_lines
+from plantpulse.llm.packing import pack
 from plantpulse.llm.pieces import digest_documents
 from plantpulse.llm.simhash import hex_fingerprint, near_groups
 from plantpulse.llm.tables import load
+from plantpulse.llm.token_counts import count_tokens, rank_scores
 from plantpulse.llm.urls import LOWER, UPPER, judge_urls
 from plantpulse.llm.vectors import near_vectors
 
@@ -61,6 +63,15 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_dropp
 FROM j GROUP BY doc_id"""
 
 
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(load(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json")).drop("row_key")
+
+
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores = rank_scores(vocabulary("piece_bpe_32k.model"))
+    return count_tokens(load(spark, sf_dir, "documents"), scores).drop("row_key")
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_groups(load(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
@@ -117,6 +128,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
         "op2_line_dedup": op2_line_dedup,
+        "op3_best_fit_packing": op3_best_fit_packing,
+        "op4_token_counts": op4_token_counts,
         "op6_simhash_dedup": op6_simhash_dedup,
         "op7_exact_dedup": op7_exact_dedup,
         "op9_embedding_dedup": op9_embedding_dedup,
