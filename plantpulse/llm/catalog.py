@@ -16,6 +16,7 @@ from plantpulse.llm.pieces import digest_documents
 from plantpulse.llm.simhash import hex_fingerprint, near_groups
 from plantpulse.llm.tables import load
 from plantpulse.llm.token_counts import count_tokens, rank_scores
+from plantpulse.llm.toxicity import judge
 from plantpulse.llm.urls import LOWER, UPPER, judge_urls
 from plantpulse.llm.vectors import near_vectors
 
@@ -89,6 +90,10 @@ w AS (SELECT doc_id, key, first_value(doc_id) OVER (PARTITION BY key ORDER BY po
 SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(key) AS text_sha256 FROM w"""
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels")).drop("row_key")
+
+
 def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(load(spark, sf_dir, "embeddings"))
 
@@ -132,6 +137,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_token_counts": op4_token_counts,
         "op6_simhash_dedup": op6_simhash_dedup,
         "op7_exact_dedup": op7_exact_dedup,
+        "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_url_filters": op10_url_filters,
     }
@@ -141,6 +147,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": OP2_SQL,
         "op7_exact_dedup": OP7_SQL,
+        "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": OP9_SQL,
         "op10_url_filters": OP10_SQL,
     }
