@@ -14,6 +14,7 @@ from plantpulse.llm.lines import drop_repeated_lines
 from plantpulse.llm.packing import pack
 from plantpulse.llm.pieces import digest_documents
 from plantpulse.llm.simhash import hex_fingerprint, near_groups
+from plantpulse.llm.suffixes import drop_repeats
 from plantpulse.llm.tables import load
 from plantpulse.llm.token_counts import count_tokens, rank_scores
 from plantpulse.llm.toxicity import judge
@@ -73,6 +74,28 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(load(spark, sf_dir, "documents"), scores).drop("row_key")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_repeats(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
+OP5_SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, pos, substr(h, 2 * pos + 1, 200) AS s
+      FROM (SELECT doc_id, h, unnest(range(CAST(length(h) // 2 - 99 AS BIGINT))) AS pos FROM d WHERE length(h) >= 200)),
+r AS (SELECT doc_id, pos FROM w
+      QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, pos) > 1),
+g AS (SELECT doc_id, pos, sum(fresh) OVER (PARTITION BY doc_id ORDER BY pos) AS run
+      FROM (SELECT *, CASE WHEN pos <= lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 100 THEN 0 ELSE 1 END AS fresh FROM r)),
+s AS (SELECT doc_id, min(pos) AS lo, max(pos) + 100 AS hi, lag(max(pos) + 100, 1, 0) OVER (PARTITION BY doc_id ORDER BY min(pos)) AS before
+      FROM g GROUP BY doc_id, run),
+k AS (SELECT s.doc_id, string_agg(substr(h, 2 * before + 1, 2 * (lo - before)), '' ORDER BY lo) AS heads,
+             max(hi) AS last, sum(hi - lo) AS removed, count(*) AS n FROM s JOIN d ON s.doc_id = d.doc_id GROUP BY s.doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, coalesce(n, 0) AS n_spans,
+       sha256(unhex(coalesce(heads, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN k ON d.doc_id = k.doc_id"""
+
+
 def op6_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_groups(load(spark, sf_dir, "documents"))
     return found.select("doc_id", hex_fingerprint("fingerprint").alias("fingerprint"), "component_id")
@@ -135,6 +158,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_line_dedup": op2_line_dedup,
         "op3_best_fit_packing": op3_best_fit_packing,
         "op4_token_counts": op4_token_counts,
+        "op5_suffix_dedup": op5_suffix_dedup,
         "op6_simhash_dedup": op6_simhash_dedup,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_toxicity": op8_toxicity,
@@ -146,6 +170,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_line_dedup": OP2_SQL,
+        "op5_suffix_dedup": OP5_SQL,
         "op7_exact_dedup": OP7_SQL,
         "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": OP9_SQL,
