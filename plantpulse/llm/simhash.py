@@ -8,9 +8,10 @@ So a key is (segment, its bits, a Golay key of the next segment): about 34 bits,
 verified by their differing bits.
 
 In a crowded key pairs would grow with the square of the group. There, every
-fingerprint is linked to the points one bit away from it instead: two
+fingerprint names the points one bit away from it and itself instead: two
 fingerprints at two or fewer bits share such a point, and two that share one are
-at two or fewer bits. That is 65 links each and exactly the same components.
+at two or fewer bits. All around a point are linked to the smallest of them;
+that is 65 points each and exactly the same components.
 
 Defined results. Null counts as empty; texts without words have fingerprint
 zero, which links like any other. Fewer words than a shingle: the whole sequence
@@ -102,7 +103,7 @@ def sign(docs: DataFrame, words_each: int = 3) -> DataFrame:
 def near_links(marks: DataFrame) -> DataFrame:
     """Links (a, b) whose components are those of fingerprints at MAX_BITS or fewer bits.
 
-    `marks` holds distinct fingerprints; ends may also be points between them.
+    `marks` holds distinct fingerprints.
     """
     keyed = marks.mapInArrow(_keyed, "key long, fingerprint long")
     sizes = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
@@ -113,13 +114,16 @@ def near_links(marks: DataFrame) -> DataFrame:
         .join(few.select("key", F.col("fingerprint").alias("b")), "key")
         .filter((F.col("a") < F.col("b")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS))
     )
-    points = F.array(*(F.lit(-(1 << 63) if bit == 63 else 1 << bit).cast("long") for bit in range(64)))
+    points = F.array(F.lit(0).cast("long"), *(F.lit(-(1 << 63) if bit == 63 else 1 << bit).cast("long") for bit in range(64)))
     crowd = met.filter(F.col("n") > CROWD).select("fingerprint").distinct()
     stars = crowd.select(
         F.col("fingerprint").alias("a"),
         F.explode(F.transform(points, lambda bit: F.col("fingerprint").bitwiseXOR(bit))).alias("b"),
     )
-    return pairs.select("a", "b").distinct().union(stars)
+    # Points with one fingerprint around them link nothing; the others link all of theirs to the smallest.
+    shared = stars.groupBy("b").agg(F.min("a").alias("first"), F.max("a").alias("last")).filter("first < last")
+    around = stars.join(shared, "b").filter("a <> first").select("a", F.col("first").alias("b"))
+    return pairs.select("a", "b").union(around).distinct()
 
 
 def near_groups(docs: DataFrame, words_each: int = 3) -> DataFrame:
