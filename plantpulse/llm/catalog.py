@@ -172,7 +172,6 @@ def oracle_sql() -> dict[str, str]:
         "op2_line_dedup": OP2_SQL,
         "op5_suffix_dedup": OP5_SQL,
         "op7_exact_dedup": OP7_SQL,
-        "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": OP9_SQL,
         "op10_url_filters": OP10_SQL,
     }

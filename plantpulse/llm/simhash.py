@@ -127,7 +127,7 @@ def near_links(marks: DataFrame) -> DataFrame:
 
 
 def near_groups(docs: DataFrame, words_each: int = 3) -> DataFrame:
-    """Every row's doc_id, row_key, fingerprint and component_id."""
+    """Every row's doc_id, row_key, fingerprint, component (a fingerprint) and component_id."""
     signed = sign(docs, words_each)
     marks = signed.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
     grouped = components(near_links(marks.select("fingerprint")))
@@ -135,8 +135,14 @@ def near_groups(docs: DataFrame, words_each: int = 3) -> DataFrame:
         "component", F.coalesce("component", "fingerprint")
     )
     smallest = known.groupBy("component").agg(F.min("first").alias("component_id"))
-    answers = known.join(smallest, "component").select("fingerprint", "component_id")
-    return signed.join(answers, "fingerprint").select("doc_id", "row_key", "fingerprint", "component_id")
+    answers = known.join(smallest, "component").select("fingerprint", "component", "component_id")
+    return signed.join(answers, "fingerprint").select("doc_id", "row_key", "fingerprint", "component", "component_id")
+
+
+def one_of_each(groups: DataFrame) -> DataFrame:
+    """row_key of the document with the smallest doc_id in each component."""
+    first = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row_key")
+    return groups.groupBy("component").agg(F.min(first).alias("first")).select("first.row_key")
 
 
 def hex_fingerprint(column: str):

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plantpulse.llm.tables import LAST, id_column, identified, kept, longs, slabs, texts
+from plantpulse.llm.tables import LAST, fresh, id_column, identified, kept, longs, row_key, slabs, texts
 
 LEAST = 100
 GRAM = 32
@@ -166,14 +166,14 @@ _SNIPPETS = pa.schema(
 SNIPPETS = "hash long, doc_id long, row_key long, start long, end long, snippet binary"
 
 
-def _snippets(least: int):
+def _snippets(least: int, key: str, found_in: str):
     """Text of the runs of windows; equal text of later documents is settled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = longs(batch, "doc_id").tolist(), longs(batch, "row_key").tolist()
+            ids, keys = longs(batch, "doc_id").tolist(), longs(batch, key).tolist()
             data = [text.encode() for text in texts(batch)]
-            marks = batch.column("marks")
+            marks = batch.column(found_in)
             for low, high in slabs(data, 8 * SLAB):
                 seen: dict[bytes, tuple[int, int]] = {}
                 rows = []
@@ -319,8 +319,10 @@ def _factors(least: int, block: int):
     return run
 
 
-def _base(docs: DataFrame) -> DataFrame:
-    return identified(docs).select("row_key", "doc_id", "text")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """All columns and the row key. Both joins use exactly this, so it is shuffled once."""
+    key = fresh(docs, "row_key")
+    return docs.withColumn(key, row_key()), key
 
 
 def repeated_spans(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
@@ -335,7 +337,10 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> D
         .mapInArrow(_repeated, "hash long, row_key long, place long")
     )
     marks = repeated.groupBy("row_key").agg(F.collect_list(F.struct("hash", "place")).alias("marks"))
-    snippets = _base(docs).join(marks, "row_key").mapInArrow(_snippets(least), SNIPPETS)
+    keyed, key = _keyed(docs)
+    found_in = fresh(keyed, "marks")
+    marked = keyed.join(marks.select(F.col("row_key").alias(key), F.col("marks").alias(found_in)), key)
+    snippets = marked.mapInArrow(_snippets(least, key, found_in), SNIPPETS)
     found = kept(
         snippets.repartition(n, "hash")
         .sortWithinPartitions("hash", F.col("doc_id").asc_nulls_last(), "row_key", "start")
@@ -360,26 +365,62 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, int]:
     return b"".join(rest), runs
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ranges(spans: pa.Scalar) -> list[tuple[int, int]]:
+    if not spans.is_valid:
+        return []
+    return list(zip(*(spans.values.field(f).to_pylist() for f in ("start", "end")), strict=True))
+
+
+def _cut(key: str, found_in: str):
     schema = pa.schema(
         [("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
          ("n_spans", pa.int64()), ("kept_bytes", pa.binary())]
     )
-    for batch in batches:
-        rows = []
-        for text, spans in zip(texts(batch), batch.column("spans"), strict=True):
-            data, ranges = text.encode(), []
-            if spans.is_valid:
-                ranges = list(zip(*(spans.values.field(f).to_pylist() for f in ("start", "end")), strict=True))
-            rest, runs = cut(data, ranges)
-            rows.append((len(data), len(data) - len(rest), runs, rest))
-        columns = list(zip(*rows, strict=True)) or [()] * 4
-        arrays = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row_key"), *arrays], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for text, spans in zip(texts(batch), batch.column(found_in), strict=True):
+                data = text.encode()
+                rest, runs = cut(data, _ranges(spans))
+                rows.append((len(data), len(data) - len(rest), runs, rest))
+            columns = list(zip(*rows, strict=True)) or [()] * 4
+            arrays = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:], strict=True)]
+            ids = batch.column("doc_id").cast(pa.int64())
+            yield pa.RecordBatch.from_arrays([ids, batch.column(key), *arrays], schema=schema)
+
+    return run
+
+
+def _replaced(names: list[str], found_in: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest = [
+                # A character that lost some of its bytes goes with them.
+                cut(text.encode(), ranges)[0].decode(errors="ignore") if (ranges := _ranges(spans)) else text
+                for text, spans in zip(batch.column("text").to_pylist(), batch.column(found_in), strict=True)
+            ]
+            columns = {name: batch.column(name) for name in names} | {"text": pa.array(rest, pa.string())}
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
+
+    return run
+
+
+def _with_spans(docs: DataFrame, least: int, block: int) -> tuple[DataFrame, str, str]:
+    keyed, key = _keyed(docs)
+    found_in = fresh(keyed, "spans")
+    spans = repeated_spans(docs, least, block).select(F.col("row_key").alias(key), F.col("spans").alias(found_in))
+    return keyed.join(spans, key, "left"), key, found_in
 
 
 def drop_repeats(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
     """Every row's doc_id, row_key, n_bytes, n_removed, n_spans and kept_bytes."""
-    joined = _base(docs).join(repeated_spans(docs, least, block), "row_key", "left")
+    joined, key, found_in = _with_spans(docs.select("doc_id", "text"), least, block)
     schema = "doc_id long, row_key long, n_bytes long, n_removed long, n_spans long, kept_bytes binary"
-    return joined.mapInArrow(_cut, schema)
+    return joined.mapInArrow(_cut(key, found_in), schema)
+
+
+def without_repeats(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+    """The rows and columns of docs, the repeats cut out of text."""
+    joined, _, found_in = _with_spans(docs, least, block)
+    return joined.mapInArrow(_replaced(docs.columns, found_in), docs.schema)

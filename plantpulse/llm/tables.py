@@ -13,7 +13,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Stands for a null doc_id inside tasks; sorts after every id.
@@ -50,24 +50,45 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """`name`, with underscores in front until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def row_key() -> Column:
+    return F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")))
+
+
+def keep_rows(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of docs whose row_key is in `keys`, one each, with their columns as they are."""
+    key = fresh(docs, "row_key")
+    found = docs.withColumn(key, row_key()).join(keys.select(F.col("row_key").alias(key)).distinct(), key, "left_semi")
+    number = fresh(found, "number")
+    first = Window.partitionBy(key).orderBy(key)
+    return found.withColumn(number, F.row_number().over(first)).filter(F.col(number) == 1).select(*docs.columns)
+
+
 def identified(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id, text (never null), row_key and the columns asked for."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
-        F.xxhash64(F.col("doc_id").cast("long"), text).alias("row_key"),
+        row_key().alias("row_key"),
         *more,
     )
 
 
 def texts(batch: pa.RecordBatch, column: str = "text") -> list[str]:
-    return batch.column(column).to_pylist()
+    return [text or "" for text in batch.column(column).to_pylist()]
 
 
 def longs(batch: pa.RecordBatch, column: str, null: int = LAST):
     """A whole-number column as numpy, with a stand-in for null."""
-    return batch.column(column).fill_null(null).to_numpy(zero_copy_only=False)
+    return batch.column(column).cast(pa.int64()).fill_null(null).to_numpy(zero_copy_only=False)
 
 
 def id_column(values) -> pa.Array:

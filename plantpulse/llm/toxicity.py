@@ -74,6 +74,10 @@ class Model:
     def key(self):
         return (tuple(self.words.items()), tuple(self.stems.items()), self.clean_forms)
 
+    def score(self, sums: list[list[float]]) -> np.ndarray:
+        x = (np.array(sums).reshape(len(sums), len(self.centre)) - self.centre) / np.array(self.scale)
+        return 1 / (1 + np.exp(-np.clip(x @ np.array(self.weights[:-1]) + self.weights[-1], -30, 30)))
+
 
 class Matcher:
     """Weights of words, remembered, and the sums of a document."""
@@ -274,23 +278,33 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """Every row's doc_id, row_key and score."""
     if not model.weights:
         return identified(docs).select("doc_id", "row_key", F.lit(float(model.base)).alias("score"))
-    centre, scale, weights = map(np.array, (model.centre, model.scale, model.weights))
-    key = model.key()
+    key, score = model.key(), model.score
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = matcher(*key).sums
         for batch in batches:
-            x = np.array([sums(text) for text in texts(batch)]).reshape(batch.num_rows, -1)
-            if not len(x):
-                continue
-            z = np.clip(((x - centre) / scale) @ weights[:-1] + weights[-1], -30, 30)
+            scores = pa.array(score([sums(text) for text in texts(batch)]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_key"), pa.array(1 / (1 + np.exp(-z)))], names=["doc_id", "row_key", "score"]
+                [batch.column("doc_id"), batch.column("row_key"), scores], names=["doc_id", "row_key", "score"]
             )
 
     return identified(docs).mapInArrow(run, "doc_id long, row_key long, score double")
 
 
+def accepted(docs: DataFrame, model: Model, limit: float = 0.5) -> DataFrame:
+    """The rows and columns of docs whose score is below `limit`, without a shuffle."""
+    if not model.weights:
+        return docs.filter(F.lit(float(model.base) < limit))
+    key, score = model.key(), model.score
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = matcher(*key).sums
+        for batch in batches:
+            yield batch.filter(pa.array(score([sums(text) for text in texts(batch)]) < limit))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every row's doc_id, row_key, held_out, score and predicted."""
     scored = score_texts(docs, fit(docs, labels))
