@@ -23,7 +23,10 @@ SITE_READINGS = tuple(name for name, _ in C.MESSAGE_WEIGHTS)
 
 @dataclass(frozen=True)
 class Cause:
-    """One term of a score: value x weight, if present."""
+    """One term of a score: value x weight, if present.
+
+    `value` lies between 0 and 1; `reading` is what was measured and is shown.
+    """
 
     name: str
     value: Column
@@ -31,6 +34,7 @@ class Cause:
     since: Column | None = None
     present: Column | None = None
     part: Column | None = None
+    reading: Column | None = None
 
     @property
     def contribution(self) -> Column:
@@ -43,7 +47,7 @@ class Cause:
         since = F.lit(None).cast("timestamp") if self.since is None else self.since
         return [
             F.lit(self.name).alias("name"),
-            self.value.alias("value"),
+            (self.value if self.reading is None else self.reading).alias("value"),
             self.weight.alias("weight"),
             self.contribution.alias("contribution"),
             since.alias("since"),
@@ -72,7 +76,8 @@ def message_causes(weights: Mapping[str, float] | Sequence[tuple] = C.MESSAGE_WE
         "bend_score": F.coalesce(col("ai_result.bend_score"), F.lit(0.0)),
         "abnormal_sound": F.when(col("ai_result.abnormal_sound") != "", 1.0).otherwise(0.0),
     }
-    return [Cause(n, v, F.lit(float(weights[n]))) for n, v in values.items() if n in weights]
+    readings = {n: col(f"sensor.{n}") for n in ("temperature_celsius_avg", "humidity_percent_avg", "pressure_hpa_avg")}
+    return [Cause(n, v, F.lit(float(weights[n])), reading=readings.get(n)) for n, v in values.items() if n in weights]
 
 
 def weighted_contributions(df: DataFrame, weights: Mapping[str, float] | Sequence[tuple] = C.MESSAGE_WEIGHTS) -> DataFrame:
@@ -234,7 +239,7 @@ def with_score(df: DataFrame, causes: Sequence[Cause]) -> DataFrame:
             for (v, p), c in zip(names, causes)
         }
     )
-    ready = [Cause(c.name, F.col(v), c.weight, c.since, part=F.col(p)) for (v, p), c in zip(names, causes)]
+    ready = [Cause(c.name, F.col(v), c.weight, c.since, part=F.col(p), reading=c.reading) for (v, p), c in zip(names, causes)]
     return (
         parts.withColumn("risk_score", risk_score_sum(ready))
         .withColumns({"risk_level": rules.risk_level(F.col("risk_score")), "top_causes": rank_causes(ready)})

@@ -17,6 +17,7 @@ from plantpulse.contract import Timing
 from plantpulse.operators.sliced import Series
 from plantpulse.sources import feed
 from plantpulse.sources.settings import Settings, load_config
+from plantpulse.sources.shared import shared_folder
 
 TIMING = Timing().scaled(60)
 SLICE = 86400
@@ -94,13 +95,8 @@ def sample_series(keys=("factory_id",)) -> Series:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder under the session's shared folder (a temporary one in tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = tempfile.mkdtemp(prefix="plantpulse-")
-    return f"{base.rstrip('/')}/plantpulse-{uuid.uuid4().hex}"
+    """A new folder under the session's shared folder."""
+    return f"{shared_folder(spark)}/plantpulse-{uuid.uuid4().hex}"
 
 
 # --- SQL side ------------------------------------------------------------------------------

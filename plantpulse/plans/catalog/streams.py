@@ -181,10 +181,9 @@ def x7(spark, d):
 
 @query(
     "x8_late_rows",
-    f"""WITH {MSG} SELECT message_id, 'late' AS outcome FROM msg WHERE event_id % 5 = 0 AND source_timestamp <
-      (SELECT max(source_timestamp) FROM msg WHERE event_id % 5 <> 0) - to_seconds({TIMING.lateness})
-    UNION ALL SELECT message_id, 'on_time' FROM msg WHERE NOT (event_id % 5 = 0 AND source_timestamp <
-      (SELECT max(source_timestamp) FROM msg WHERE event_id % 5 <> 0) - to_seconds({TIMING.lateness}))""",
+    f"""WITH {MSG}, seen AS (SELECT factory_id, max(source_timestamp) AS at FROM msg WHERE event_id % 5 <> 0 GROUP BY 1)
+    SELECT message_id, CASE WHEN event_id % 5 = 0 AND source_timestamp < seen.at - to_seconds({TIMING.lateness})
+      THEN 'late' ELSE 'on_time' END AS outcome FROM msg LEFT JOIN seen USING (factory_id)""",
 )
 def x8(spark, d):
     # A fifth of the messages arrives in a second delivery, long after its time.
@@ -275,3 +274,47 @@ def x9_processor(spark, d):
             "history_points",
         )
     )
+
+
+@query(
+    "x9_processor_late",
+    f"""WITH {MSG}, t AS (SELECT *, event_id % 5 = 0 AS second FROM msg),
+    seen AS (SELECT factory_id, max(source_timestamp) AS at FROM t WHERE NOT second GROUP BY 1),
+    o AS (SELECT factory_id, second AND source_timestamp < seen.at - to_seconds({TIMING.lateness}) AS late, source_type, event_id
+      FROM t LEFT JOIN seen USING (factory_id))
+    SELECT 'processed ' || source_type AS part, factory_id, count(*) AS messages FROM o GROUP BY ALL
+    UNION ALL SELECT 'late', factory_id, count(*) FROM o WHERE late GROUP BY ALL
+    UNION ALL SELECT 'rejected', factory_id, count(*) FROM o WHERE event_id % 53 = 0 GROUP BY ALL
+    UNION ALL SELECT 'infra history', factory_id, count(*) FROM o WHERE source_type = 'infra_state' GROUP BY ALL""",
+)
+def x9_late(spark, d):
+    # Two deliveries: the second holds a fifth of the messages, long after their
+    # time, and once more every seventh message of the first.
+    root = scratch(spark)
+    rows = messages(spark, d)
+    damaged = F.when(F.col("copy") == 1, "unknown").otherwise(F.col("environment_type"))
+    copies = F.when(F.col("event_id") % 53 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    second = F.col("event_id") % 5 == 0
+    again = (F.col("event_id") % 7 == 0) & (F.col("event_id") % 53 != 0)
+    for part in (~second, second | again):
+        sent = rows.where(part).withColumn("copy", F.explode(copies)).withColumn("environment_type", damaged)
+        sent = sent.where((F.col("copy") == 0) | ~again).drop("copy", "event_id")
+        sent.write.mode("append").parquet(f"{root}/in")
+        source = spark.readStream.schema(sent.schema).parquet(f"{root}/in")
+        for q in processor.run(source, root, config(spark), f"{root}/check", TIMING, lake.backfill_tasks(spark)):
+            q.awaitTermination()
+
+    def counted(path, part):
+        return spark.read.parquet(f"{root}/{path}").groupBy("factory_id").agg(F.count(F.lit(1)).alias("messages")).withColumn("part", F.lit(part))
+
+    found = [
+        counted("processed/factory-state", "processed factory_state"),
+        counted("processed/infra-state", "processed infra_state"),
+        counted("late", "late"),
+        counted("rejects", "rejected"),
+        processor.history(spark, root, "INFRA", TIMING).groupBy("factory_id").agg(F.count(F.lit(1)).alias("messages")).withColumn("part", F.lit("infra history")),
+    ]
+    out = found[0]
+    for more in found[1:]:
+        out = out.unionByName(more)
+    return out.select("part", "factory_id", "messages")

@@ -36,11 +36,9 @@ def resolve_window(
     end: datetime | None = None,
     now: datetime | None = None,
 ) -> tuple[datetime, datetime]:
-    """from/to win; else `now` minus 1h, 2h or 24h."""
-    if start is not None and end is not None:
-        return start, end
-    now = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    return now - timedelta(seconds=WINDOWS[window or "1h"]), now
+    """from and to win, each for itself; an end that is open is `now`, a start the window before the end."""
+    end = end or now or datetime.now(timezone.utc).replace(tzinfo=None)
+    return start or end - timedelta(seconds=WINDOWS[window or "1h"]), end
 
 
 def time_range(df: DataFrame, start: datetime, end: datetime, ts: str = "timestamp") -> DataFrame:

@@ -8,7 +8,7 @@ nor many tiny ones arise.
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,10 +73,32 @@ def raw_schema() -> T.StructType:
     return T.StructType(C.RAW_MESSAGE.fields + _PARTITION_FIELDS)
 
 
-def _day_predicate(start: datetime, end: datetime):
-    """Partition-column predicate for the days from `start` to `end`."""
-    day = F.concat_ws("-", "yyyy", "mm", "dd")
-    return day.between(start.strftime("%Y-%m-%d"), end.strftime("%Y-%m-%d"))
+def _days(day, start: datetime | None, end: datetime | None) -> list:
+    """Partition-column predicates for the days from `start` to `end`, either of which may be open."""
+    found = []
+    if start is not None:
+        found.append(day >= start.strftime("%Y-%m-%d"))
+    if end is not None:
+        found.append(day <= end.strftime("%Y-%m-%d"))
+    return found
+
+
+def between(df: DataFrame, ts: str, start: datetime | None, end: datetime | None) -> DataFrame:
+    """Closed interval; an end that is None is open."""
+    if start is not None:
+        df = df.where(F.col(ts) >= F.lit(start))
+    if end is not None:
+        df = df.where(F.col(ts) <= F.lit(end))
+    return df
+
+
+def _where(df: DataFrame, predicates) -> DataFrame:
+    for predicate in predicates:
+        df = df.where(predicate)
+    return df
+
+
+_DAY = ("yyyy", "mm", "dd")
 
 
 def read_raw(
@@ -86,24 +108,24 @@ def read_raw(
     source_type: str | None = None,
     start: datetime | None = None,
     end: datetime | None = None,
-    lateness_seconds: int = C.Timing().lateness,
+    received_until: datetime | None = None,
     fmt: str = "json",
 ) -> DataFrame:
     """Pruned scan of the archive.
 
-    `start` and `end` are source times (UTC); the day filter is wider by the
-    allowed lateness, because the archive is cut by receipt.
+    `start` and `end` are source times (UTC). The archive is cut by day of
+    receipt, and a message may be received long after its time, from a spool:
+    days before `start` are pruned, later ones only with `received_until`.
     """
     df = spark.read.schema(raw_schema()).format(fmt).load(root)
     if factory is not None:
         df = df.where(F.col("factory_id") == factory)
     if source_type is not None:
         df = df.where(F.col("source_type") == source_type)
-    if start is not None and end is not None:
-        df = df.where(_day_predicate(start, end + timedelta(seconds=lateness_seconds))).where(
-            F.col("source_timestamp").between(F.lit(start), F.lit(end))
-        )
-    return df
+    df = _where(df, _days(F.concat_ws("-", *_DAY), start, received_until))
+    if received_until is not None:
+        df = df.where(F.timestamp_millis("received_at") <= F.lit(received_until))
+    return between(df, "source_timestamp", start, end)
 
 
 def write_processed(
@@ -128,9 +150,17 @@ def read_processed(
     df = spark.read.schema(T.StructType(fields)).parquet(f"{root}/{dataset}")
     if factory is not None:
         df = df.where(F.col("factory_id") == factory)
-    if start is not None and end is not None:
-        df = df.where(_day_predicate(start, end)).where(F.col("event_timestamp").between(F.lit(start), F.lit(end)))
-    return df
+    return between(_where(df, _days(F.concat_ws("-", *_DAY), start, end)), "event_timestamp", start, end)
+
+
+def stored_batches(spark: SparkSession, root: str) -> DataFrame | None:
+    """What micro-batches have stored under `batch=<id>` folders; None before the first."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return None
+    fields = [T.StructField("message_id", T.StringType()), T.StructField("batch", T.LongType())]
+    fields += [T.StructField(n, T.StringType()) for n in PROCESSED_PARTITIONS]
+    return spark.read.schema(T.StructType(fields)).parquet(root)
 
 
 def processed_detail(processed: DataFrame, message_id: str) -> DataFrame:
@@ -189,10 +219,7 @@ def read_history(
     df = spark.read.schema(full).parquet(f"{root}/{kind}")
     if factory is not None:
         df = df.where(F.col("factory_id") == factory)
-    if start is not None and end is not None:
-        df = df.where(F.col("date").between(start.strftime("%Y-%m-%d"), end.strftime("%Y-%m-%d")))
-        df = df.where(F.col("timestamp").between(F.lit(start), F.lit(end)))
-    return df
+    return between(_where(df, _days(F.col("date"), start, end)), "timestamp", start, end)
 
 
 def rewrite_alive(spark: SparkSession, source: str, target: str, as_of_time, partitions=("factory_id", "date")) -> None:

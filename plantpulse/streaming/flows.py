@@ -150,11 +150,6 @@ def latest_writer(root: str, keys: Sequence[str] = ("factory_id",)) -> Callable[
     return lambda batch, batch_id: latest.upsert_latest(batch, root, batch_id, keys)
 
 
-def _stored(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
-    before = [v for v in latest.versions(spark, root) if v < batch_id]
-    return latest.read_latest(spark, root, before[-1]) if before else None
-
-
 def asof_writer(root: str, store: str, slice_seconds: int) -> Callable[[DataFrame, int], None]:
     """Join each factory message of a batch with the last infra state.
 
@@ -164,7 +159,7 @@ def asof_writer(root: str, store: str, slice_seconds: int) -> Callable[[DataFram
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = _stored(batch.sparkSession, store, batch_id)
+        stored = latest.read_before(batch, store, batch_id)
         with kept(batch):
             infra = batch.where(F.col("source_type") == "infra_state")
             known = infra if stored is None else infra.unionByName(stored)
@@ -217,7 +212,7 @@ def change_writer(root: str, store: str, slice_seconds: int, state: str = "risk_
     """Handler that appends state changes and keeps the running state."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = _stored(batch.sparkSession, store, batch_id)
+        stored = latest.read_before(batch, store, batch_id)
         with kept(batch):
             changes, now = state_changes(batch, stored, slice_seconds, state)
             write_batch(changes, root, batch_id)
@@ -236,29 +231,29 @@ def silent_sites(running: DataFrame, seen_until, timeout_seconds: int) -> DataFr
 
 
 # --- late rows ---------------------------------------------------------------------------------
-def split_late(batch: DataFrame, seen_until, timing: Timing = Timing()) -> tuple[DataFrame, DataFrame]:
-    """(on time, late) against the event time seen in earlier batches."""
-    limit = clock.plus_seconds(clock.as_timestamp(seen_until), -timing.lateness)
-    return batch.where(F.col("source_timestamp") >= limit), batch.where(F.col("source_timestamp") < limit)
+def split_late(batch: DataFrame, seen: DataFrame, timing: Timing = Timing()) -> tuple[DataFrame, DataFrame]:
+    """(on time, late) against the newest event time of each site in earlier batches.
+
+    `seen` has factory_id and source_timestamp, one row per site. A site that is
+    new is on time; a row without an event time is late.
+    """
+    limits = seen.select("factory_id", clock.plus_seconds("source_timestamp", -timing.lateness).alias("_limit"))
+    known = batch.join(limits, "factory_id", "left")
+    late = F.col("source_timestamp").isNull() | F.coalesce(F.col("source_timestamp") < F.col("_limit"), F.lit(False))
+    return known.where(~late).drop("_limit"), known.where(late).drop("_limit")
 
 
 def late_writer(root: str, late_root: str, store: str, timing: Timing = Timing()) -> Callable[[DataFrame, int], None]:
-    """Handler that sends late rows to a table of their own.
-
-    The only value that reaches the driver is the newest event time of the
-    stored state, one row per site reduced to one timestamp.
-    """
+    """Handler that sends late rows to a table of their own."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        stored = _stored(batch.sparkSession, store, batch_id)
-        seen = stored.agg(F.max("source_timestamp")).first()[0] if stored is not None else None
+        stored = latest.read_before(batch, store, batch_id)
         with kept(batch):
-            if seen is None:
-                on_time, late = batch, batch.where(F.lit(False))
-            else:
-                on_time, late = split_late(batch, F.lit(seen), timing)
+            seen = batch.where(F.lit(False)) if stored is None else stored
+            on_time, late = split_late(batch, seen, timing)
             write_batch(on_time, root, batch_id)
             write_batch(late, late_root, batch_id)
-            latest.upsert_latest(batch.select("factory_id", *NEWEST), store, batch_id)
+            timed = batch.where(F.col("source_timestamp").isNotNull())
+            latest.upsert_latest(timed.select("factory_id", *NEWEST), store, batch_id)
 
     return handle

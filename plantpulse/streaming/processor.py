@@ -1,11 +1,16 @@
 """The data processor: messages in, processed results, current state, histories out.
 
-    messages -> checked -> rejects
-                        -> valid, deduplicated -> per micro-batch:
+    messages -> checked -> rejects (rows without an event time among them)
+                        -> valid -> per micro-batch, first copy of each message:
                              score -> processed/risk-score, processed/factory-state
                              infra -> processed/infra-state
                              current state of both sections
-                             winners per bucket -> history
+                             winners per bucket -> history; every infra message -> history
+                             messages behind their site's time -> late, besides all that
+
+No message is lost for coming late. Copies are recognised by the ids stored in
+the hours that a batch touches: an id holds its message's time, so copies of a
+message lie in the same hour of the same site.
 
 All results of a micro-batch lie in folders of its own, so running a batch
 again replaces them.
@@ -15,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -54,17 +59,37 @@ def results(messages: DataFrame, thresholds: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def first_copies(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """Messages of the batch that no earlier batch has stored, one copy each.
+
+    Of copies inside the batch the one received first stays. Only the hours
+    that the batch touches are read of what is stored, and only their ids.
+    """
+    order = F.struct("received_at", "published_at")
+    number = Window.partitionBy("message_id").orderBy(order)
+    found = batch.withColumn("_copy", F.row_number().over(number)).where("_copy = 1").drop("_copy")
+    parts = lake.with_date_parts(found, "source_timestamp", hours=True)
+    touched = parts.select(*lake.PROCESSED_PARTITIONS).distinct()
+    for name in ("factory-state", "infra-state"):
+        known = lake.stored_batches(batch.sparkSession, f"{root}/processed/{name}")
+        if known is not None:
+            stored = known.where(F.col("batch") != batch_id).join(touched, list(lake.PROCESSED_PARTITIONS), "left_semi")
+            found = found.join(stored.select("message_id"), "message_id", "left_anti")
+    return found.select(*batch.columns)
+
+
 def batch_writer(
     root: str, settings: Settings, timing: Timing = Timing(), tasks: int | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """Handler of one micro-batch of valid, deduplicated messages.
+    """Handler of one micro-batch of valid messages.
 
     Give `tasks` for a replay whose batches span very many hours.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        with flows.kept(batch):
-            found = results(batch, settings.thresholds)
+        seen = latest.read_before(batch, f"{root}/latest/seen", batch_id)
+        with flows.kept(first_copies(batch, root, batch_id)) as messages:
+            found = results(messages, settings.thresholds)
             for name, rows in found.items():
                 parts = lake.with_date_parts(rows, "event_timestamp", hours=True)
                 (
@@ -78,11 +103,17 @@ def batch_writer(
                     found[name], ["factory_id"], "source_timestamp", state.NEWEST, timing.history_bucket
                 )
                 flows.write_batch(winners, f"{root}/history/{kind}", batch_id)
-            both = found["risk-score"].join(
-                found["factory-state"].select("message_id", "sensor", "ai_result"), "message_id"
-            )
-            latest.upsert_latest(both, f"{root}/latest/factory", batch_id)
+            infra = found["infra-state"].select("factory_id", *state.NEWEST, "nodes", "workloads", "devices")
+            flows.write_batch(infra, f"{root}/history/INFRA", batch_id)
+            times = messages.select("factory_id", *state.NEWEST)
+            _, late = flows.split_late(messages, times.limit(0) if seen is None else seen, timing)
+            flows.write_batch(late, f"{root}/late", batch_id)
+            scored = risk.score_messages(
+                checks.apply_null_policy(checks.factory_rows(messages)), settings.thresholds
+            ).select("factory_id", *state.NEWEST, *SCORED, "sensor", "ai_result")
+            latest.upsert_latest(scored, f"{root}/latest/factory", batch_id)
             latest.upsert_latest(found["infra-state"], f"{root}/latest/infra", batch_id)
+            latest.upsert_latest(times, f"{root}/latest/seen", batch_id)
 
     return handle
 
@@ -97,17 +128,15 @@ def run(
 ) -> list[StreamingQuery]:
     """Start the processor on a stream of parsed messages.
 
-    Rejected rows have a query of their own: they may lack the event time that
-    deduplication needs.
+    Rejected rows have a query of their own: they may lack all that the
+    processor goes by.
     """
     checked = checks.with_errors(messages)
     good = checks.valid(checked).drop("errors", checks.CORRUPT)
     rejects = flows.run_to_files(checks.rejected(checked), f"{root}/rejects", f"{checkpoint}/rejects")
     return [
         rejects,
-        flows.run_batches(
-            flows.stream_dedup(good, timing), batch_writer(root, settings, timing, tasks), f"{checkpoint}/processor"
-        ),
+        flows.run_batches(good, batch_writer(root, settings, timing, tasks), f"{checkpoint}/processor"),
     ]
 
 
@@ -142,8 +171,13 @@ def current_state(spark: SparkSession, root: str) -> DataFrame:
 
 
 def history(spark: SparkSession, root: str, kind: str, timing: Timing = Timing()) -> DataFrame:
-    """RISK or FACTORY history; a bucket cut by a batch border has one winner."""
+    """RISK, FACTORY or INFRA history.
+
+    A bucket cut by a batch border has one winner; INFRA holds every message.
+    """
     rows = spark.read.parquet(f"{root}/history/{kind}").drop("batch", "bucket")
+    if kind == "INFRA":
+        return state.infra_history(rows, timing, slice_seconds=timing.history_bucket * 120)
     last = downsample_last(rows, ["factory_id"], "source_timestamp", state.NEWEST, timing.history_bucket)
     make = state.risk_history if kind == "RISK" else state.factory_history
     return make(last, timing)
