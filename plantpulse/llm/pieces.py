@@ -33,13 +33,13 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 
-from plantpulse.llm.tables import identified, texts
+from plantpulse.llm.tables import forget, identified, texts
 
 #: The visible space, and what a byte that is no text decodes to.
 SPACE = "▁"
 UNREADABLE = "�"
 #: Segments kept by a task, the longest segment that is kept, symbols advanced at once.
-CACHED = 400_000
+CACHED = 1_000_000
 LONGEST = 48
 TOGETHER = 1 << 18
 
@@ -65,6 +65,10 @@ class Pieces:
         self.bytes = dict(zip(self.byte_ids, range(256), strict=True))
         self.text = [name if plain[i] else "" for i, name in enumerate(names)]
         self.text[self.library.unk_id()] = " ⁇ "
+        # A byte below 128 is a character wherever it stands; the others need their neighbours.
+        for byte, i in enumerate(self.byte_ids[:128]):
+            self.text[i] = chr(byte)
+        self.high_bytes = frozenset(self.byte_ids[128:])
         self.decimal = [str(i) for i in range(size)]
         #: Whether cutting a text into segments changes nothing: no piece spans a border.
         self.cuts = not any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.ids)
@@ -221,7 +225,7 @@ class Pieces:
 
     def decode(self, ids: list[int]) -> str:
         pieces, names = [], self.text
-        if any(i in self.bytes for i in ids):
+        if not self.high_bytes.isdisjoint(ids):
             run = bytearray()
             for i in ids:
                 value = self.bytes.get(i)
@@ -258,25 +262,19 @@ class Encoder:
         self.pieces, self.check, self.memory = pieces, check, {}
 
     def __call__(self, batch: list[str]) -> Iterator[list[int]]:
-        if len(self.memory) > CACHED:
-            self.memory.clear()
+        memory = self.memory
         for start in range(0, len(batch), 256):
             part = [self.pieces.segments(text) for text in batch[start : start + 256]]
-            new = list({s for segments in part for s in segments if s not in self.memory})
-            fresh = self._encode(new)
+            forget(memory, CACHED)
+            fresh = self._encode(list({s for segments in part for s in segments if s not in memory}))
             if self.check:
                 self._compare(fresh)
-            short = {s: ids for s, ids in fresh.items() if len(s) <= LONGEST}
-            self.memory |= short
-            if len(short) < len(fresh):
-                fresh = {**fresh}
-                lookup = lambda s: self.memory.get(s) or fresh[s]
-            else:
-                lookup = self.memory.__getitem__
+            memory.update((s, np.array(ids, dtype=np.uint32).tobytes()) for s, ids in fresh.items())
             for segments in part:
-                yield list(chain.from_iterable(map(lookup, segments)))
-            if len(self.memory) > CACHED:
-                self.memory.clear()
+                yield np.frombuffer(b"".join(map(memory.__getitem__, segments)), dtype=np.uint32).tolist()
+            for s in fresh:
+                if len(s) > LONGEST:
+                    del memory[s]
 
     def _encode(self, new: list[str]) -> dict[str, list[int]]:
         found = {s: self.pieces.heap_ids(s) for s in new if len(s) > LONGEST}

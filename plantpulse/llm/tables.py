@@ -97,6 +97,15 @@ def id_column(values) -> pa.Array:
     return pa.compute.if_else(pa.compute.equal(found, LAST), pa.scalar(None, pa.int64()), found)
 
 
+def forget(memory: dict, most: int) -> None:
+    """Keeps a task's memory of words bounded: beyond `most` only short ones stay, which come most often."""
+    if len(memory) > most:
+        short = {word: found for word, found in memory.items() if len(word) <= 7}
+        memory.clear()
+        if len(short) <= most // 2:
+            memory.update(short)
+
+
 def slabs(items: list[bytes], most: int) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive items of at most `most` bytes together, one item at least."""
     start = total = 0
