@@ -34,13 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from plantpulse.llm.tables import OUT_ROWS, identified, kept, texts
+from plantpulse.llm.tables import OUT_ROWS, forget, identified, kept, texts
 
 LENGTH = 2048
 END = 0
-#: Bins open at once in a task; units remembered by a worker.
+#: Bins open at once in a task; units remembered by a worker, and the longest of them.
 OPEN = 1 << 16
-CACHED = 600_000
+CACHED = 1_000_000
+LONGEST = 48
 #: Fixed value: how the byte-level vocabulary splits text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -71,12 +72,13 @@ class Units:
             return _packed(self.whole.encode(text, add_special_tokens=False).ids)
         first, rest = units[0], units[1:]
         memory, out = self.memory, [self._ids(first)]
-        if len(memory) > CACHED:
-            memory.clear()
+        forget(memory, CACHED)
         for unit in rest:
             ids = memory.get(unit)
             if ids is None:
-                ids = memory[unit] = self._ids(" " + unit)
+                ids = self._ids(" " + unit)
+                if len(unit) <= LONGEST:
+                    memory[unit] = ids
             out.append(ids)
         return b"".join(out)
 

@@ -26,11 +26,11 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from plantpulse.llm.pieces import SEGMENT, SPACE
-from plantpulse.llm.tables import identified, texts
+from plantpulse.llm.tables import forget, identified, texts
 
 #: Counts remembered by a worker, the longest word among them, and what an
 #: unknown character scores below the worst piece.
-WORDS = 600_000
+WORDS = 1_000_000
 LONGEST = 48
 UNKNOWN = 10.0
 
@@ -105,8 +105,7 @@ class Trie:
         out = []
         for start in range(0, len(texts), 256):
             part = texts[start : start + 256]
-            if len(self.terminal) > self.most:
-                self.terminal.clear()
+            forget(self.terminal, self.most)
             new = {w for words in part for w in words if w not in self.terminal}
             fresh = self.insert(list(new))
             self.terminal |= {w: n for w, n in fresh.items() if len(w) <= LONGEST}

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse.llm.lexicon import Automaton
-from plantpulse.llm.tables import identified, kept, texts
+from plantpulse.llm.tables import forget, identified, kept, texts
 
 #: Labelled rows that the lexicon and the regression are fitted on, at most.
 FIT_ROWS = 20_000
@@ -46,8 +46,9 @@ STEM_LETTERS = (4, 5, 6, 7)
 #: Words of context on either side, and what a hit counts by its context.
 WINDOW = 6
 QUOTED, PLAIN, ADDRESSED = 0.2, 1.0, 1.5
-#: Words remembered by a worker.
-CACHED = 600_000
+#: Words remembered by a worker, and the longest of them.
+CACHED = 1_000_000
+LONGEST = 48
 
 WORD = re.compile(r"[^\W_]+")
 QUOTES = re.compile("[\"“”„«»‹›]")
@@ -101,9 +102,11 @@ class Matcher:
 
     def known(self, word: str) -> tuple[int, float] | None:
         if word not in self.memory:
-            if len(self.memory) > CACHED:
-                self.memory.clear()
-            self.memory[word] = self.hit(word)
+            found = self.hit(word)
+            if len(word) > LONGEST:
+                return found
+            forget(self.memory, CACHED)
+            self.memory[word] = found
         return self.memory[word]
 
     def sums(self, text: str) -> list[float]:
