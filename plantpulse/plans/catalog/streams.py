@@ -1,7 +1,9 @@
 """Streaming flows over the whole event table, run until the input is used up (X).
 
-Results are read back from the sink.  Windows still open at the end are not
-emitted in append mode, so the twins compare closed windows.
+The events arrive in three deliveries, cut by time and read file by file, so
+state is carried from batch to batch.  Results are read back from the sink.
+Windows still open at the end are not emitted in append mode, so the twins
+compare closed windows.
 """
 
 from __future__ import annotations
@@ -50,7 +52,7 @@ def _finish(spark, query_, path):
 )
 def x1(spark, d):
     root = scratch(spark)
-    rows = feed.stream_factory_states(spark, d).select(
+    rows = feed.stream_factory_states(spark, d, feed.deliver(spark, d, f"{root}/events")).select(
         "factory_id", "source_timestamp", F.col("sensor.temperature_celsius_avg").alias("temperature")
     )
     out = flows.windowed_mean(rows, "temperature", TIMING.infra_period, TIMING)
@@ -68,7 +70,7 @@ def x1(spark, d):
 )
 def x2(spark, d):
     root = scratch(spark)
-    rows = feed.stream_factory_states(spark, d).select(
+    rows = feed.stream_factory_states(spark, d, feed.deliver(spark, d, f"{root}/events")).select(
         "factory_id", *state.NEWEST, F.col("ai_result.fall_score").alias("fall_score")
     )
     out = flows.windowed_last(rows, TIMING.history_bucket, TIMING)
@@ -82,7 +84,7 @@ def x2(spark, d):
 )
 def x3(spark, d):
     root = scratch(spark)
-    rows = feed.with_repeats(feed.stream_messages(spark, d)).select(
+    rows = feed.with_repeats(feed.stream_messages(spark, d, feed.deliver(spark, d, f"{root}/events"))).select(
         "message_id", "factory_id", "source_timestamp", "published_at", "received_at"
     )
     out = flows.stream_dedup(rows, TIMING)
@@ -97,7 +99,7 @@ def x3(spark, d):
 )
 def x4(spark, d):
     root = scratch(spark)
-    rows = feed.stream_messages(spark, d).select("factory_id", "source_type", *state.NEWEST)
+    rows = feed.stream_messages(spark, d, feed.deliver(spark, d, f"{root}/events")).select("factory_id", "source_type", *state.NEWEST)
     keep = flows.latest_writer(f"{root}/latest", ("factory_id", "source_type"))
     flows.run_batches(rows, keep, f"{root}/check").awaitTermination()
     return latest.read_latest(spark, f"{root}/latest").select("factory_id", "source_type", "message_id")
@@ -112,7 +114,7 @@ def x4(spark, d):
 )
 def x5(spark, d):
     root = scratch(spark)
-    scored = risk.score_messages(feed.stream_factory_states(spark, d), config(spark).thresholds)
+    scored = risk.score_messages(feed.stream_factory_states(spark, d, feed.deliver(spark, d, f"{root}/events")), config(spark).thresholds)
     rows = scored.select("factory_id", *state.NEWEST, "risk_level")
     handle = flows.change_writer(f"{root}/changes", f"{root}/running", SLICE)
     flows.run_batches(rows, handle, f"{root}/check").awaitTermination()
@@ -128,7 +130,7 @@ def x5(spark, d):
 )
 def x5_silent(spark, d):
     root = scratch(spark)
-    rows = feed.stream_factory_states(spark, d).select("factory_id", *state.NEWEST)
+    rows = feed.stream_factory_states(spark, d, feed.deliver(spark, d, f"{root}/events")).select("factory_id", *state.NEWEST)
     flows.run_batches(rows, flows.latest_writer(f"{root}/latest"), f"{root}/check").awaitTermination()
     running = latest.read_latest(spark, f"{root}/latest")
     out = flows.silent_sites(running, "2024-02-01 00:00:00", TIMING.risk_sensor_after)
@@ -143,7 +145,7 @@ def x5_silent(spark, d):
 )
 def x6(spark, d):
     root = scratch(spark)
-    rows = feed.stream_messages(spark, d).select(
+    rows = feed.stream_messages(spark, d, feed.deliver(spark, d, f"{root}/events")).select(
         "factory_id",
         "source_type",
         *state.NEWEST,
@@ -171,7 +173,7 @@ _GAP = TIMING.infra_period
 )
 def x7(spark, d):
     root = scratch(spark)
-    rows = feed.stream_messages(spark, d).select("factory_id", "source_timestamp")
+    rows = feed.stream_messages(spark, d, feed.deliver(spark, d, f"{root}/events")).select("factory_id", "source_timestamp")
     out = flows.arrival_sessions(rows, _GAP, TIMING)
     done = _finish(spark, flows.run_to_files(out, f"{root}/out", f"{root}/check"), f"{root}/out")
     return done.select(
@@ -210,7 +212,7 @@ def x9(spark, d):
     def handle(batch, batch_id):
         keep(batch.select("factory_id", "source_type", *state.NEWEST), batch_id)
 
-    for q in flows.both_sinks(feed.stream_messages(spark, d), f"{root}/raw", handle, f"{root}/check"):
+    for q in flows.both_sinks(feed.stream_messages(spark, d, feed.deliver(spark, d, f"{root}/events")), f"{root}/raw", handle, f"{root}/check"):
         q.awaitTermination()
     raw = lake.read_raw(spark, f"{root}/raw", fmt="parquet").select("factory_id", F.lit("raw").alias("sink"))
     now = latest.read_latest(spark, f"{root}/latest").select("factory_id", F.lit("latest").alias("sink"))
@@ -245,7 +247,7 @@ def x10(spark, d):
 def x9_processor(spark, d):
     # Every message arrives well-formed; one in 53 arrives once more, damaged.
     root = scratch(spark)
-    m = feed.stream_messages(spark, d)
+    m = feed.stream_messages(spark, d, feed.deliver(spark, d, f"{root}/events"))
     damaged = F.when(F.col("copy") == 1, "unknown").otherwise(F.col("environment_type"))
     copies = F.when(F.col("event_id") % 53 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     arrivals = m.withColumn("copy", F.explode(copies)).withColumn("environment_type", damaged).drop("copy", "event_id")

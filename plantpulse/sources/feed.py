@@ -200,16 +200,35 @@ def observations(rows: DataFrame) -> DataFrame:
 
 
 # --- the same frames as streams -------------------------------------------------------------
-def _event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def deliver(spark: SparkSession, sf_dir: str, folder: str, parts: int = 3) -> str:
+    """The event table written to `folder` in consecutive deliveries of about equal size, cut by time."""
+    events = read_events(spark, sf_dir)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    cuts = events.select(F.percentile_approx(at, [n / parts for n in range(1, parts)], 1000)).first()[0] or []
+    ends = [None, *cuts, None]
+    for low, high in zip(ends, ends[1:]):
+        part = events
+        if low is not None:
+            part = part.where(at > low)
+        if high is not None:
+            part = part.where(at <= high)
+        part.write.mode("append").parquet(folder)
+    return folder
+
+
+def _event_stream(spark: SparkSession, sf_dir: str, folder: str | None) -> DataFrame:
     schema = read_events(spark, sf_dir).schema
+    if folder is not None:
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
     # A pattern, because a stream takes a plain path for a directory; it fits
     # the table as one file or as a directory of files.
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.[p]arquet")
 
 
-def stream_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _with_payload(_event_stream(spark, sf_dir))
+def stream_messages(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    """The table as one delivery, or what `deliver` wrote to `folder` file by file."""
+    return _with_payload(_event_stream(spark, sf_dir, folder))
 
 
-def stream_factory_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(_event_stream(spark, sf_dir), "factory_state")
+def stream_factory_states(spark: SparkSession, sf_dir: str, folder: str | None = None) -> DataFrame:
+    return _typed(_event_stream(spark, sf_dir, folder), "factory_state")
