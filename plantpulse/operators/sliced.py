@@ -7,8 +7,8 @@ before its start is carried over in a small context relation: the last rows
 (or last known values) of each slice, a few rows per slice, taken with map-side
 pre-selection.  The context rows are unioned with the data before the one
 shuffle on (keys, slice), so no join and no second shuffle of the data is
-needed.  Choose `slice_seconds` so that one slice of the busiest series fits a
-task; the result does not depend on it.
+needed.  `fitting_seconds` takes the width from the data, so that one slice of
+the busiest series fits a task; the result does not depend on it.
 """
 
 from __future__ import annotations
@@ -43,6 +43,17 @@ class Series:
         return Window.partitionBy(*self.keys, SLICE).orderBy(F.col(CONTEXT).desc(), *self.order)
 
 
+def fitting_seconds(df: DataFrame, keys: Sequence[str], ts: str, rows: int = 2_000_000) -> int:
+    """Slice width at which the densest minute of any series gives about `rows` rows a slice.
+
+    Between a minute and a week.  One count per series and minute, with map-side
+    combine; a single number reaches the driver.
+    """
+    minutes = df.groupBy(*keys, F.floor(F.unix_seconds(ts) / 60).alias("_minute")).count()
+    densest = minutes.agg(F.max("count")).first()[0] or 1
+    return max(60, min(7 * 86400, 60 * rows // densest))
+
+
 def _with_slice(df: DataFrame, series: Series) -> DataFrame:
     return df.withColumn(SLICE, series.slice_column())
 

@@ -275,7 +275,7 @@ def d4(spark, d):
 )
 def d5(spark, d):
     rows = messages(spark, d).select("factory_id", "source_timestamp", "event_id")
-    out = checks.continuity_check(rows, message_series(), TIMING.infra_period, TIMING.continuity_window)
+    out = checks.continuity_check(rows, message_series(spark, d), TIMING.infra_period, TIMING.continuity_window)
     return out.select("factory_id", r6("longest_seconds").alias("longest_seconds"), "continuous")
 
 

@@ -23,7 +23,6 @@ from plantpulse.plans.catalog.registry import (
     INF,
     MSG,
     SCORED,
-    SLICE,
     TIMING,
     age_sql,
     bucket_sql,
@@ -37,6 +36,7 @@ from plantpulse.plans.catalog.registry import (
     messages,
     query,
     r6,
+    slice_seconds,
 )
 
 _NOW = f"TIMESTAMP '{AS_OF}'"
@@ -287,7 +287,7 @@ def events(spark, d, *types):
         wanted(factory_history, timeline.FACTORY_TYPES),
         wanted(infra_history, timeline.INFRA_TYPES),
         config(spark).thresholds,
-        SLICE,
+        slice_seconds(spark, d),
         types or None,
     )
     return out.withColumn("timestamp", iso("timestamp")).drop("source")
@@ -418,7 +418,7 @@ def e12(spark, d):
 
 def _raw_events(spark, d):
     return timeline.timeline(
-        risk_history(spark, d), factory_history(spark, d), infra_history(spark, d), config(spark).thresholds, SLICE
+        risk_history(spark, d), factory_history(spark, d), infra_history(spark, d), config(spark).thresholds, slice_seconds(spark, d)
     )
 
 
@@ -467,7 +467,7 @@ def q11(spark, d):
 )
 def a23(spark, d):
     buckets = ts.bucket_count(environment(spark, d), ["factory_id"], "temperature", 600)
-    out = views.daily_ops_summary(scored(spark, d), buckets, 600, TIMING.factory_period, SLICE)
+    out = views.daily_ops_summary(scored(spark, d), buckets, 600, TIMING.factory_period, slice_seconds(spark, d))
     scores = ("min_score", "mean_score", "max_score", "safe_minutes", "danger_minutes")
     return out.select(
         "factory_id",

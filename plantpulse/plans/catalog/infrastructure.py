@@ -15,7 +15,6 @@ from plantpulse.plans.catalog.registry import (
     FS,
     INF,
     MSG,
-    SLICE,
     TIMING,
     age_sql,
     bucket_sql,
@@ -27,6 +26,7 @@ from plantpulse.plans.catalog.registry import (
     messages,
     query,
     r6,
+    slice_seconds,
 )
 
 _AS_OF = f"TIMESTAMP '{AS_OF}'"
@@ -182,7 +182,7 @@ ASOF = INF + FS[len(MSG):] + """, aso AS (SELECT fs.*, inf.event_id AS infra_eve
     f"""WITH {ASOF} SELECT event_id, {iso_sql('infra_at')} AS infra_at, ready FROM aso""",
 )
 def j3(spark, d):
-    out = state.asof_infra(factory(spark, d), infra(spark, d), SLICE, sections=("nodes",))
+    out = state.asof_infra(factory(spark, d), infra(spark, d), slice_seconds(spark, d), sections=("nodes",))
     return out.select(
         "event_id",
         iso("infra.at").alias("infra_at"),
@@ -196,7 +196,7 @@ def j3(spark, d):
     THEN {iso_sql('infra_at')} END AS infra_at FROM aso""",
 )
 def j3_tolerance(spark, d):
-    out = state.asof_infra(factory(spark, d), infra(spark, d), SLICE, TIMING.status_critical_after, ())
+    out = state.asof_infra(factory(spark, d), infra(spark, d), slice_seconds(spark, d), TIMING.status_critical_after, ())
     return out.select("event_id", iso("infra.at").alias("infra_at"))
 
 
@@ -323,7 +323,7 @@ def j7(spark, d):
       WHEN age IS NOT NULL THEN 'normal' END AS status FROM a""",
 )
 def r9(spark, d):
-    out = state.asof_infra(factory(spark, d), infra(spark, d), SLICE, sections=())
+    out = state.asof_infra(factory(spark, d), infra(spark, d), slice_seconds(spark, d), sections=())
     age = clock.age_seconds("source_timestamp", "infra.at")
     return out.select(
         "event_id",
@@ -374,7 +374,7 @@ def r10(spark, d):
       WHEN {age_sql('source_timestamp', 'infra_at')} > {TIMING.infra_stale_after} THEN 'warning' ELSE 'fresh' END AS staleness FROM aso""",
 )
 def r12(spark, d):
-    out = state.asof_infra(factory(spark, d), infra(spark, d), SLICE, sections=())
+    out = state.asof_infra(factory(spark, d), infra(spark, d), slice_seconds(spark, d), sections=())
     now, at = F.col("source_timestamp"), F.col("infra.at")
     return out.select(
         "event_id",
@@ -391,7 +391,7 @@ def r12(spark, d):
     WHERE gap > {3 * TIMING.infra_period}""",
 )
 def r16(spark, d):
-    out = risk.failed_heartbeat(infra(spark, d), SLICE, TIMING)
+    out = risk.failed_heartbeat(infra(spark, d), slice_seconds(spark, d), TIMING)
     return out.select("factory_id", "message_id", r6("gap_seconds").alias("gap_seconds"), "missed")
 
 
@@ -403,7 +403,7 @@ INFRA_HISTORY = INF + f""", ih AS (SELECT *, {age_sql('source_timestamp', 'lag(s
 
 
 def infra_history(spark, d):
-    return state.infra_history(infra(spark, d), TIMING, slice_seconds=SLICE)
+    return state.infra_history(infra(spark, d), TIMING, slice_seconds=slice_seconds(spark, d))
 
 
 @query(

@@ -14,18 +14,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plantpulse.contract import Timing
-from plantpulse.operators.sliced import Series
+from plantpulse.operators.sliced import Series, fitting_seconds
 from plantpulse.sources import feed
 from plantpulse.sources.settings import Settings, load_config
 from plantpulse.sources.shared import shared_folder
 
 TIMING = Timing().scaled(60)
-SLICE = 86400
 AS_OF = "2024-01-31 00:00:00"
 TOPIC_ROOT = "fleet"
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _ORACLES: dict[str, str] = {}
+_SLICES: dict[tuple[str, str], int] = {}
 
 
 def query(name: str, sql: str | None = None):
@@ -86,12 +86,21 @@ def config(spark: SparkSession) -> Settings:
     return load_config(spark)
 
 
-def message_series(keys=("factory_id",)) -> Series:
-    return Series(tuple(keys), ("source_timestamp", "event_id"), SLICE)
+def slice_seconds(spark: SparkSession, d: str) -> int:
+    """Slice width for the messages of this table, counted once per session."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _SLICES:
+        rows = messages(spark, d).select("factory_id", "source_timestamp")
+        _SLICES[key] = fitting_seconds(rows, ["factory_id"], "source_timestamp")
+    return _SLICES[key]
 
 
-def sample_series(keys=("factory_id",)) -> Series:
-    return Series(tuple(keys), ("ts", "event_id"), SLICE)
+def message_series(spark: SparkSession, d: str, keys=("factory_id",)) -> Series:
+    return Series(tuple(keys), ("source_timestamp", "event_id"), slice_seconds(spark, d))
+
+
+def sample_series(spark: SparkSession, d: str, keys=("factory_id",)) -> Series:
+    return Series(tuple(keys), ("ts", "event_id"), slice_seconds(spark, d))
 
 
 def scratch(spark: SparkSession) -> str:

@@ -15,7 +15,6 @@ from plantpulse.plans.catalog.registry import (
     INF,
     MSG,
     SCORED,
-    SLICE,
     TIMING,
     age_sql,
     bucket_sql,
@@ -31,6 +30,7 @@ from plantpulse.plans.catalog.registry import (
     query,
     r6,
     sample_series,
+    slice_seconds,
     sounds,
 )
 
@@ -191,7 +191,7 @@ def w1(spark, d):
     rows = factory(spark, d).select(
         "factory_id", "source_timestamp", "event_id", "message_id", F.col("sensor.temperature_celsius_avg").alias("temperature")
     )
-    out = sliced.with_previous(rows, message_series(), ["message_id", "temperature"])
+    out = sliced.with_previous(rows, message_series(spark, d), ["message_id", "temperature"])
     return out.select("event_id", "prev_message_id", r6("prev_temperature").alias("prev_temperature"))
 
 
@@ -203,7 +203,7 @@ _DELTA = f"""WITH {SCORED}, dl AS (SELECT l.event_id, l.factory_id, l.risk_score
 @query("w2_score_delta", f"{_DELTA} SELECT event_id, round(risk_score, 6) AS risk_score, round(delta, 6) + 0 AS score_delta FROM dl")
 def w2(spark, d):
     rows = scored(spark, d).select("factory_id", "source_timestamp", "message_id", "event_id", "risk_score")
-    out = risk.score_delta(rows, SLICE, TIMING.delta_window)
+    out = risk.score_delta(rows, slice_seconds(spark, d), TIMING.delta_window)
     return out.select("event_id", r6("risk_score").alias("risk_score"), r6("score_delta").alias("score_delta"))
 
 
@@ -216,7 +216,7 @@ def w3(spark, d):
     rows = scored(spark, d).select("factory_id", "source_timestamp", "message_id", "risk_score")
     trend = risk.trend_direction(F.round("score_delta", 6))
     return (
-        risk.score_delta(rows, SLICE, TIMING.delta_window)
+        risk.score_delta(rows, slice_seconds(spark, d), TIMING.delta_window)
         .groupBy("factory_id", trend.alias("trend"))
         .agg(F.count(F.lit(1)).alias("messages"))
     )
@@ -232,7 +232,7 @@ def w3(spark, d):
     FROM r GROUP BY factory_id, run, risk_level""",
 )
 def w5(spark, d):
-    out = views.level_minutes(scored(spark, d), SLICE)
+    out = views.level_minutes(scored(spark, d), slice_seconds(spark, d))
     return out.select(
         "factory_id",
         "risk_level",
@@ -259,7 +259,7 @@ def w7(spark, d):
 )
 def w7_moving(spark, d):
     rows = environment(spark, d).select("factory_id", "ts", "event_id", "temperature")
-    return ts.moving_mean(rows, sample_series(), "temperature", 10).select("event_id", r6("moving_mean").alias("moving_mean"))
+    return ts.moving_mean(rows, sample_series(spark, d), "temperature", 10).select("event_id", r6("moving_mean").alias("moving_mean"))
 
 
 @query(
@@ -271,7 +271,7 @@ def w9(spark, d):
     rows = infra(spark, d).select(
         "factory_id", "source_timestamp", "event_id", F.col("heartbeat.publish_sequence").alias("publish_sequence")
     )
-    return ts.sequence_gaps(rows, message_series(), "publish_sequence").select("factory_id", "event_id", "missing")
+    return ts.sequence_gaps(rows, message_series(spark, d), "publish_sequence").select("factory_id", "event_id", "missing")
 
 
 @query(
@@ -281,7 +281,7 @@ def w9(spark, d):
 )
 def w10(spark, d):
     rows = messages(spark, d).select("factory_id", "source_type", "source_timestamp", "event_id")
-    out = ts.inter_arrival(rows, message_series(("factory_id", "source_type")))
+    out = ts.inter_arrival(rows, message_series(spark, d, ("factory_id", "source_type")))
     return out.select("event_id", "source_type", r6("gap_seconds").alias("gap_seconds"))
 
 
@@ -300,7 +300,7 @@ def w11(spark, d):
         F.col("payload.sensor.temperature_celsius_avg").alias("temperature"),
         F.col("payload.heartbeat.publish_sequence").alias("publish_sequence"),
     )
-    out = state.last_known(rows, message_series(), ["temperature", "publish_sequence"])
+    out = state.last_known(rows, message_series(spark, d), ["temperature", "publish_sequence"])
     return out.select("event_id", r6("temperature").alias("temperature"), "publish_sequence")
 
 

@@ -16,7 +16,6 @@ from plantpulse.plans.catalog.registry import (
     INF,
     MSG,
     SCORED,
-    SLICE,
     TIMING,
     age_sql,
     bucket_sql,
@@ -27,6 +26,7 @@ from plantpulse.plans.catalog.registry import (
     query,
     r6,
     scratch,
+    slice_seconds,
 )
 from plantpulse.sources import feed, lake, latest
 from plantpulse.streaming import flows, processor
@@ -116,7 +116,7 @@ def x5(spark, d):
     root = scratch(spark)
     scored = risk.score_messages(feed.stream_factory_states(spark, d, feed.deliver(spark, d, f"{root}/events")), config(spark).thresholds)
     rows = scored.select("factory_id", *state.NEWEST, "risk_level")
-    handle = flows.change_writer(f"{root}/changes", f"{root}/running", SLICE)
+    handle = flows.change_writer(f"{root}/changes", f"{root}/running", slice_seconds(spark, d))
     flows.run_batches(rows, handle, f"{root}/check").awaitTermination()
     done = spark.read.parquet(f"{root}/changes")
     return done.select("message_id", "from_state", "to_state", r6("lasted_seconds").alias("lasted_seconds"))
@@ -151,7 +151,7 @@ def x6(spark, d):
         *state.NEWEST,
         *[F.col(f"payload.{c}").alias(c) for c in ("heartbeat", "nodes", "workloads", "devices")],
     )
-    handle = flows.asof_writer(f"{root}/out", f"{root}/infra", SLICE)
+    handle = flows.asof_writer(f"{root}/out", f"{root}/infra", slice_seconds(spark, d))
     flows.run_batches(rows, handle, f"{root}/check").awaitTermination()
     return spark.read.parquet(f"{root}/out").select(
         "message_id",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.operators import checks
 from plantpulse.operators import timeseries as ts
-from plantpulse.operators.sliced import Series, as_of, fill_forward, state_runs, with_previous
+from plantpulse.operators.sliced import Series, as_of, fill_forward, fitting_seconds, state_runs, with_previous
 
 START = datetime(2024, 3, 1, tzinfo=timezone.utc)
 SLICES = (60, 3600, 10**7)
@@ -147,3 +147,11 @@ def test_dedup_hot_id(spark):
     for m, r, p in data:
         want[m] = min(want.get(m, (r, p)), (r, p))
     assert got == want
+
+
+def test_slice_width_follows_the_densest_minute(spark):
+    rows = spark.sql("SELECT 'a' AS site, timestamp'2024-01-01' + make_dt_interval(0, 0, 0, CAST(id % 40 AS DECIMAL(18, 6))) AS ts FROM range(500)")
+    rows = rows.union(spark.sql("SELECT 'b', timestamp'2024-01-01' + make_dt_interval(0, 0, CAST(id AS INT)) FROM range(50)"))
+    assert fitting_seconds(rows, ["site"], "ts", rows=5000) == 600
+    assert fitting_seconds(rows, ["site"], "ts", rows=10) == 60
+    assert fitting_seconds(rows.where("false"), ["site"], "ts") == 7 * 86400

@@ -190,3 +190,40 @@ def test_raw_archive_keeps_late_rows(spark, sf_dir, home):
     messages = feed.load_messages(spark, sf_dir)
     lake.write_raw(messages, f"{home}/raw")
     assert lake.read_raw(spark, f"{home}/raw").count() == messages.count()
+
+
+def test_versions_go_on_after_a_new_checkpoint(spark, tmp_path, monkeypatch):
+    def rows(site, day):
+        return spark.sql(f"SELECT '{site}' AS factory_id, timestamp'2024-01-{day:02}' AS source_timestamp, "
+                         f"timestamp'2024-01-{day:02}' AS published_at, '{site}:{day}' AS message_id")
+
+    root = str(tmp_path / "latest")
+    for batch_id in range(3):
+        latest.upsert_latest(rows("factory-a", batch_id + 1), root, batch_id)
+    latest.upsert_latest(rows("factory-b", 2), root, 2)  # the last batch runs again with other rows
+    assert {r.message_id for r in latest.read_latest(spark, root).collect()} == {"factory-a:2", "factory-b:2"}
+    monkeypatch.setattr(latest, "writer_of", lambda df: "other")
+    latest.upsert_latest(rows("factory-a", 30), root, 0)
+    assert latest.versions(spark, root)[-1] == 3
+    assert {r.message_id for r in latest.read_latest(spark, root).collect()} == {"factory-a:30", "factory-b:2"}
+    latest.upsert_latest(rows("factory-a", 30), root, 0)
+    assert latest.versions(spark, root)[-1] == 3
+
+
+def test_rows_without_time_are_late(spark):
+    rows = spark.sql("SELECT * FROM VALUES ('a', timestamp'2024-01-05', 1), ('a', timestamp'2024-01-01', 2), ('a', NULL, 3), "
+                     "('b', timestamp'2024-01-01', 4) AS t(factory_id, source_timestamp, n)")
+    seen = spark.sql("SELECT 'a' AS factory_id, timestamp'2024-01-04' AS source_timestamp")
+    on_time, late = flows.split_late(rows, seen)
+    assert {r.n for r in on_time.collect()} == {1, 4} and {r.n for r in late.collect()} == {2, 3}
+
+
+def test_ranges_may_be_open(spark, tmp_path):
+    from datetime import datetime
+
+    rows = spark.sql("SELECT 'a' AS factory_id, explode(sequence(timestamp'2024-01-01', timestamp'2024-01-09', interval 1 day)) AS timestamp")
+    lake.append_history(rows, str(tmp_path), "RISK")
+    read = lambda **ends: lake.read_history(spark, str(tmp_path), "RISK", rows.schema, **ends).count()
+    assert read() == 9
+    assert read(start=datetime(2024, 1, 4)) == 6 and read(end=datetime(2024, 1, 4)) == 4
+    assert read(start=datetime(2024, 1, 2), end=datetime(2024, 1, 4)) == 3
