@@ -15,14 +15,16 @@ together by content:
    to a repeated window. A slab of documents settles beforehand what repeats
    within it, so an anchor with a third of all rows sends one row per slab.
 3. The text around the anchors left over goes to the task of its hash, once per
-   slab for equal text: later copies in the slab are removed for certain.
-4. There the suffixes of a block are put in order to a depth of `least` bytes by
-   doubling, ties by position. Where neighbours share `least` bytes, all but the
+   slab for equal text: later copies in the slab are removed for certain. So are
+   later equal texts there.
+4. Where different texts surround an anchor, the suffixes of a block of them are
+   put in order to a depth of `least` bytes by doubling, ties by position. Where neighbours share `least` bytes, all but the
    first of a run have a previous smaller position there: they are repeats.
-   An anchor with more text than a block is settled by digests of its windows,
-   as an aggregate with map-side combine.
+   An anchor with more text than CROWD bytes is settled by digests of its
+   windows instead, as an aggregate with map-side combine.
 
-The documents are shuffled once, by row; both joins read that shuffle.
+Texts are shuffled by row twice, compressed: to cut out what stands around
+anchors, and to remove spans.
 
 Defined results. Texts are UTF-8 bytes, null counts as empty, matches do not
 cross documents. A null doc_id comes last; documents that repeat the id are
@@ -37,17 +39,23 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from plantpulse.llm.tables import LAST, fresh, id_column, identified, kept, longs, row_key, slabs, texts
 
 LEAST = 100
-GRAM = 32
-#: Bytes of a slab, window starts of a piece of a long document, bytes of a block.
-SLAB = 1 << 21
-PIECE = 1 << 20
-BLOCK = 1 << 23
+GRAM = 20
+#: Bytes hashed at once and window starts of a piece of a long document, so that
+#: the arrays stay in a processor's cache; bytes that settle their own repeats.
+HASHED = 1 << 16
+PIECE = 1 << 16
+SLAB = 1 << 22
+#: Bytes of snippets whose suffixes are ordered together, and of a crowded anchor.
+BLOCK = 1 << 20
+CROWD = 1 << 23
 #: Odd multipliers of the rolling hash.
 BASE = 0x9E3779B97F4A7C15
 MIX = 0xD6E8FEB86659FD93
@@ -58,10 +66,18 @@ _PLACE = np.uint64((1 << 22) - 1)  # low bits of a hash that hold its position i
 
 
 def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of the GRAM bytes from each position on, by doubling."""
-    found, size = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(MIX), 1
-    while size < GRAM:
-        found = found[:-size] * np.uint64(pow(BASE, size, WRAP)) + found[size:]
+    """Hashes of the GRAM bytes from each position on, put together from powers of two."""
+    part, size = (data.astype(np.uint64) + np.uint64(1)) * np.uint64(MIX), 1
+    found, done = None, 0
+    while True:
+        if GRAM & size:
+            n = len(data) - (done + size) + 1
+            shifted = part[done : done + n]
+            found = shifted.copy() if found is None else found[:n] * np.uint64(pow(BASE, size, WRAP)) + shifted
+            done += size
+        if done == GRAM:
+            break
+        part = part[:-size] * np.uint64(pow(BASE, size, WRAP)) + part[size:]
         size *= 2
     found ^= found >> np.uint64(32)
     found *= np.uint64(MIX)
@@ -115,22 +131,26 @@ def _anchors(least: int):
                         owners.append(n)
                         bases.append(base)
             for low, high in slabs(parts, SLAB):
-                sizes = np.array([len(p) for p in parts[low:high]])
-                offsets = np.cumsum(sizes) - sizes
-                data = np.frombuffer(b"".join(parts[low:high]), dtype=np.uint8)
-                hashes, starts, counts, distance = window_runs(data, offsets, sizes, least)
-                which = np.searchsorted(offsets, starts, "right") - 1
-                row = keys[np.array(owners[low:high])[which]]
-                start = starts - offsets[which] + np.array(bases[low:high])[which]
+                found = []
+                for first, last in slabs(parts[low:high], HASHED):
+                    first, last = low + first, low + last
+                    sizes = np.array([len(p) for p in parts[first:last]])
+                    offsets = np.cumsum(sizes) - sizes
+                    data = np.frombuffer(b"".join(parts[first:last]), dtype=np.uint8)
+                    hashes, starts, counts, distance = window_runs(data, offsets, sizes, least)
+                    which = np.searchsorted(offsets, starts, "right") - 1
+                    start = starts - offsets[which] + np.array(bases[first:last])[which]
+                    row = keys[np.array(owners[first:last])[which]]
+                    found.append((hashes, row, start << 24 | counts << 16 | distance << 8))
+                hashes, row, place = map(np.concatenate, zip(*found, strict=True))
                 order = np.argsort(hashes, kind="stable")
-                new = np.ones(len(hashes), dtype=bool)
-                new[1:] = hashes[order[1:]] != hashes[order[:-1]]
-                again = ~new
+                hashes, row, place = hashes[order], row[order], place[order]
+                again = np.zeros(len(hashes), dtype=bool)
+                again[1:] = hashes[1:] == hashes[:-1]
                 state = np.zeros(len(hashes), dtype=np.int64)
                 state[:-1][again[1:]] = PROBE
                 state[again] = SETTLED
-                place = (start << 24 | counts << 16 | distance << 8)[order] | state
-                yield pa.RecordBatch.from_arrays([pa.array(hashes[order]), pa.array(row[order]), pa.array(place)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(hashes), pa.array(row), pa.array(place | state)], schema=schema)
 
     return run
 
@@ -172,14 +192,15 @@ def _snippets(least: int, key: str, found_in: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, keys = longs(batch, "doc_id").tolist(), longs(batch, key).tolist()
-            data = [text.encode() for text in texts(batch)]
+            data = [x or b"" for x in _data(batch)]
             marks = batch.column(found_in)
-            for low, high in slabs(data, 8 * SLAB):
+            for low, high in slabs(data, 2 * SLAB):
                 seen: dict[bytes, tuple[int, int]] = {}
                 rows = []
                 for n in sorted(range(low, high), key=lambda n: (ids[n], keys[n])):
                     hashes, places = (marks[n].values.field(f).to_numpy() for f in ("hash", "place"))
                     order = np.argsort(places, kind="stable")
+                    span = None  # settled runs that touch make one
                     for h, place in zip(hashes[order].tolist(), places[order].tolist(), strict=True):
                         start = place >> 24
                         end = start + (place >> 16 & 0xFF) + least - 1
@@ -189,7 +210,11 @@ def _snippets(least: int, key: str, found_in: str):
                         if first is here:
                             rows.append((h, ids[n], keys[n], start, end, snippet))
                         elif first != here:
-                            rows.append((keys[n], ids[n], keys[n], start, end, None))
+                            if span and start <= span[4]:
+                                span[4] = max(end, span[4])
+                            else:
+                                span = [keys[n], ids[n], keys[n], start, end, None]
+                                rows.append(span)
                 if rows:
                     columns = list(zip(*rows, strict=True))
                     arrays = [pa.array(c, f.type) for c, f in zip(columns, _SNIPPETS, strict=True)]
@@ -200,24 +225,31 @@ def _snippets(least: int, key: str, found_in: str):
 
 
 def suffix_ranks(data: np.ndarray, depth: int) -> np.ndarray:
-    """A number for each position by the order of its `depth` bytes, at least 8."""
-    padded = np.concatenate([data, np.zeros(8, dtype=np.uint8)]).astype(np.uint64)
+    """A number for each position by the order of its `depth` bytes, by doubling from five."""
+    bits, size = max(1, (len(data) - 1).bit_length()), 5
+    padded = np.concatenate([data, np.zeros(size, dtype=np.uint8)]).astype(np.uint64)
     words = np.zeros(len(data), dtype=np.uint64)
-    for n in range(8):
-        words |= padded[n : n + len(data)] << np.uint64(56 - 8 * n)
-    ranks, size = _dense(words), 8
+    for n in range(size):
+        words = words << np.uint64(8) | padded[n : n + len(data)]
+    ranks = _dense(words, bits)
     while size < depth:
         step = min(size, depth - size)
         behind = np.zeros(len(ranks), dtype=np.uint64)
         behind[:-step] = ranks[step:]
-        ranks = _dense(ranks << np.uint64(32) | behind)
+        ranks = _dense(ranks << np.uint64(bits) | behind, bits)
         size += step
     return ranks
 
 
-def _dense(values: np.ndarray) -> np.ndarray:
-    order = np.argsort(values)
-    ordered = values[order]
+def _dense(values: np.ndarray, bits: int) -> np.ndarray:
+    """Ranks of the values; where value and position fit one number, that is sorted in place of an order."""
+    if 3 * bits <= 64:
+        ordered = np.sort(values << np.uint64(bits) | np.arange(len(values), dtype=np.uint64))
+        order = (ordered & np.uint64((1 << bits) - 1)).astype(np.int64)
+        ordered >>= np.uint64(bits)
+    else:
+        order = np.argsort(values)
+        ordered = values[order]
     new = np.empty(len(values), dtype=np.uint64)
     new[:1] = 0
     new[1:] = ordered[1:] != ordered[:-1]
@@ -257,7 +289,7 @@ def _spans(crowded, ids, keys, starts, ends, high=None, low=None) -> pa.RecordBa
 
 def _block(rows: list[tuple], least: int) -> pa.RecordBatch:
     """Spans of the repeats among (doc_id, row_key, start, snippet)."""
-    rows = sorted(dict.fromkeys(rows))
+    rows = sorted(rows)
     row, window, repeat = repeats([r[3] for r in rows], least)
     row, window = row[repeat], window[repeat]
     new = np.ones(len(row), dtype=bool)
@@ -269,20 +301,22 @@ def _block(rows: list[tuple], least: int) -> pa.RecordBatch:
     return _spans(False, np.full(len(of), LAST), keys[of], begin[of] + window[starts], begin[of] + window[ends] + least)
 
 
-def _windows(rows: list[tuple], least: int) -> pa.RecordBatch:
+def _windows(group: dict[bytes, tuple], least: int) -> pa.RecordBatch:
     """Digests of all windows of a crowded anchor."""
     found = [
-        (r[0], r[1], r[2] + n, xxhash.xxh3_128_digest(r[3][n : n + least])) for r in rows for n in range(len(r[3]) - least + 1)
+        (r[0], r[1], r[2] + n, xxhash.xxh3_128_digest(r[3][n : n + least]))
+        for r in group.values()
+        for n in range(len(r[3]) - least + 1)
     ]
     digests = np.frombuffer(b"".join(f[3] for f in found), dtype=">i8").astype(np.int64).reshape(-1, 2)
     starts = np.array([f[2] for f in found])
     return _spans(True, [f[0] for f in found], [f[1] for f in found], starts, starts + least, digests[:, 0], digests[:, 1])
 
 
-def _factors(least: int, block: int):
+def _factors(least: int, block: int, crowd: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[tuple] = []  # groups that are complete
-        group: list[tuple] = []
+        waiting: list[tuple] = []  # rows of anchors with different text around them
+        group: dict[bytes, tuple] = {}  # of one anchor, by text
         last, held, size, crowded = None, 0, 0, False
         for batch in batches:
             hashes, ids, keys, starts, ends = (longs(batch, c) for c in ("hash", "doc_id", "row_key", "start", "end"))
@@ -291,48 +325,70 @@ def _factors(least: int, block: int):
                 yield _spans(False, np.full(settled.sum(), LAST), keys[settled], starts[settled], ends[settled])
             rest = batch.filter(pa.array(~settled))
             rows = zip(*(x[~settled].tolist() for x in (ids, keys, starts)), rest.column("snippet").to_pylist(), strict=True)
+            copies = []
             for mark, row in zip(hashes[~settled].tolist(), rows, strict=True):
                 if mark != last:
                     if crowded:
-                        if group:
-                            yield _windows(group, least)
-                    else:
-                        waiting += group
+                        yield _windows(group, least)
+                    elif len(group) > 1:
+                        waiting += group.values()
                         held += size
                     if held >= block:
                         yield _block(waiting, least)
                         waiting, held = [], 0
-                    last, group, size, crowded = mark, [], 0, False
-                group.append(row)
-                size += len(row[3])
-                if size > block or crowded and len(group) >= 1000:
-                    crowded = True
-                    yield _windows(group, least)
-                    group, size = [], 0
-        if crowded and group:
+                    last, group, size, crowded = mark, {}, 0, False
+                first = group.setdefault(row[3], row)
+                if first is row:
+                    size += len(row[3])
+                    if size > crowd:
+                        crowded = True
+                        yield _windows(group, least)
+                        group, size = {}, 0
+                elif first[1:3] != row[1:3]:
+                    copies.append((row[1], row[2], row[2] + len(row[3])))  # rows come in document order
+            if copies:
+                copied = np.array(copies, dtype=np.int64)
+                yield _spans(False, np.full(len(copied), LAST), copied[:, 0], copied[:, 1], copied[:, 2])
+        if crowded:
             yield _windows(group, least)
-        elif not crowded:
-            waiting += group
+        elif len(group) > 1:
+            waiting += group.values()
         if waiting:
             yield _block(waiting, least)
 
     return run
 
 
+def _squeezed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        small = pa.array([None if t is None else squeeze(t.encode()) for t in batch.column("text").to_pylist()], pa.binary())
+        yield batch.set_column(at, "text", small)
+
+
+def _data(batch: pa.RecordBatch) -> list[bytes | None]:
+    """The bytes of squeezed texts."""
+    spread = zstandard.ZstdDecompressor().decompress
+    return [None if t is None else spread(t) for t in batch.column("text").to_pylist()]
+
+
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """All columns and the row key. Both joins use exactly this, so it is shuffled once."""
+    """All columns and the row key, text as compressed bytes."""
     key = fresh(docs, "row_key")
-    return docs.withColumn(key, row_key()), key
+    keyed = docs.withColumn(key, row_key())
+    schema = T.StructType([T.StructField("text", T.BinaryType()) if f.name == "text" else f for f in keyed.schema])
+    return keyed.mapInArrow(_squeezed, schema), key
 
 
-def repeated_spans(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+def repeated_spans(docs: DataFrame, least: int = LEAST, block: int = BLOCK, crowd: int = CROWD) -> DataFrame:
     """(row_key, spans): byte ranges to remove, of the documents that have any."""
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    even = F.shiftright(F.shiftrightunsigned("hash", 33) * F.lit(n), 31)
-    spread = F.pmod(F.xxhash64("row_key", "place"), F.lit(n))
     anchors = identified(docs).mapInArrow(_anchors(least), "hash long, row_key long, place long")
+    # Anchors are the smallest hashes of their windows, so they are hashed again before they are dealt out.
+    settled = F.col("place").bitwiseAND(F.lit(0xFF)) == SETTLED
     repeated = (
-        anchors.repartitionById(n, F.when(F.col("place").bitwiseAND(F.lit(0xFF)) == SETTLED, spread).otherwise(even).cast("int"))
+        anchors.repartition(n, F.when(settled, F.xxhash64("row_key", "place")).otherwise(F.xxhash64("hash")))
         .sortWithinPartitions("hash")
         .mapInArrow(_repeated, "hash long, row_key long, place long")
     )
@@ -341,10 +397,11 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> D
     found_in = fresh(keyed, "marks")
     marked = keyed.join(marks.select(F.col("row_key").alias(key), F.col("marks").alias(found_in)), key)
     snippets = marked.mapInArrow(_snippets(least, key, found_in), SNIPPETS)
+    # Written once: three steps read it, and what led to it can be cleared away.
     found = kept(
         snippets.repartition(n, "hash")
         .sortWithinPartitions("hash", F.col("doc_id").asc_nulls_last(), "row_key", "start")
-        .mapInArrow(_factors(least, block), SPANS)
+        .mapInArrow(_factors(least, block, crowd), SPANS)
     )
     windows = found.filter("crowded").withColumn("order", F.struct(F.col("doc_id").isNull(), "doc_id", "row_key", "start"))
     first = windows.groupBy("high", "low").agg(F.min("order").alias("first"))
@@ -380,8 +437,8 @@ def _cut(key: str, found_in: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for text, spans in zip(texts(batch), batch.column(found_in), strict=True):
-                data = text.encode()
+            for text, spans in zip(_data(batch), batch.column(found_in), strict=True):
+                data = text or b""
                 rest, runs = cut(data, _ranges(spans))
                 rows.append((len(data), len(data) - len(rest), runs, rest))
             columns = list(zip(*rows, strict=True)) or [()] * 4
@@ -397,8 +454,8 @@ def _replaced(names: list[str], found_in: str):
         for batch in batches:
             rest = [
                 # A character that lost some of its bytes goes with them.
-                cut(text.encode(), ranges)[0].decode(errors="ignore") if (ranges := _ranges(spans)) else text
-                for text, spans in zip(batch.column("text").to_pylist(), batch.column(found_in), strict=True)
+                None if data is None else cut(data, _ranges(spans))[0].decode(errors="ignore")
+                for data, spans in zip(_data(batch), batch.column(found_in), strict=True)
             ]
             columns = {name: batch.column(name) for name in names} | {"text": pa.array(rest, pa.string())}
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
@@ -406,21 +463,21 @@ def _replaced(names: list[str], found_in: str):
     return run
 
 
-def _with_spans(docs: DataFrame, least: int, block: int) -> tuple[DataFrame, str, str]:
+def _with_spans(docs: DataFrame, least: int, block: int, crowd: int) -> tuple[DataFrame, str, str]:
     keyed, key = _keyed(docs)
     found_in = fresh(keyed, "spans")
-    spans = repeated_spans(docs, least, block).select(F.col("row_key").alias(key), F.col("spans").alias(found_in))
+    spans = repeated_spans(docs, least, block, crowd).select(F.col("row_key").alias(key), F.col("spans").alias(found_in))
     return keyed.join(spans, key, "left"), key, found_in
 
 
-def drop_repeats(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+def drop_repeats(docs: DataFrame, least: int = LEAST, block: int = BLOCK, crowd: int = CROWD) -> DataFrame:
     """Every row's doc_id, row_key, n_bytes, n_removed, n_spans and kept_bytes."""
-    joined, key, found_in = _with_spans(docs.select("doc_id", "text"), least, block)
+    joined, key, found_in = _with_spans(docs.select("doc_id", "text"), least, block, crowd)
     schema = "doc_id long, row_key long, n_bytes long, n_removed long, n_spans long, kept_bytes binary"
     return joined.mapInArrow(_cut(key, found_in), schema)
 
 
-def without_repeats(docs: DataFrame, least: int = LEAST, block: int = BLOCK) -> DataFrame:
+def without_repeats(docs: DataFrame, least: int = LEAST, block: int = BLOCK, crowd: int = CROWD) -> DataFrame:
     """The rows and columns of docs, the repeats cut out of text."""
-    joined, _, found_in = _with_spans(docs, least, block)
+    joined, _, found_in = _with_spans(docs, least, block, crowd)
     return joined.mapInArrow(_replaced(docs.columns, found_in), docs.schema)
