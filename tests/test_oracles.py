@@ -4,8 +4,9 @@ import pytest
 from comparing import compare, duck
 
 import __spark_entry__ as contract
+from plantpulse.plans import catalog
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = catalog.queries(), catalog.oracle_sql()
 # Its drills find no complete failover in the smallest tables.
 EMPTY_WHEN_SMALL = {"f5_first_data_after"}
 
@@ -27,6 +28,10 @@ def test_same_rows(spark, sf_dir, con, name):
     assert problem == ""
 
 
+def test_all_are_registered():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     rows = contract.entry(spark).collect()
     assert len(rows) == 3
