@@ -14,8 +14,8 @@ from collections.abc import Iterable
 #: Shortest terms that allow one and two edits.
 ONE_EDIT = 5
 TWO_EDITS = 9
-#: States remembered before the table starts anew.
-STATES = 50_000
+#: Positions in remembered states before the table starts anew.
+POSITIONS = 300_000
 
 
 def edits_allowed(term: str) -> int:
@@ -55,6 +55,7 @@ class Automaton:
         self.steps: list[dict[str, int]] = []
         self.ends: list[tuple[int, str] | None] = []
         self.stems: list[str] = []
+        self.positions = 0
         self.start = self._state({(0, 0)})
 
     def _state(self, items: set[tuple[int, int]]) -> int:
@@ -76,6 +77,7 @@ class Automaton:
         if number is None:
             number = self.known[key] = len(self.sets)
             self.sets.append(key)
+            self.positions += len(key)
             self.steps.append({})
             ends = [(e, self.word[n]) for n, e in key if self.word[n] and e <= edits_allowed(self.word[n])]
             self.ends.append(min(ends, default=None))
@@ -97,7 +99,7 @@ class Automaton:
 
     def match(self, word: str) -> tuple[str, int] | None:
         """(term, edits) of the nearest whole term, or (stem, -1); None for neither."""
-        if len(self.sets) > STATES:
+        if self.positions > POSITIONS:
             self._restart()
         state, stem = self.start, ""
         for letter in word:

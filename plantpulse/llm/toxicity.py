@@ -46,8 +46,10 @@ STEM_LETTERS = (4, 5, 6, 7)
 #: Words of context on either side, and what a hit counts by its context.
 WINDOW = 6
 QUOTED, PLAIN, ADDRESSED = 0.2, 1.0, 1.5
+#: Documents whose terms are counted together.
+COUNTED = 256
 #: Words remembered by a worker, and the longest of them.
-CACHED = 1_000_000
+CACHED = 600_000
 LONGEST = 48
 
 WORD = re.compile(r"[^\W_]+")
@@ -155,7 +157,7 @@ def document_terms(text: str) -> set[str]:
 
 
 def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in (b.slice(at, COUNTED) for b in batches for at in range(0, b.num_rows, COUNTED)):
         counts: dict[int, Counter] = {0: Counter(), 1: Counter()}
         for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True):
             counts[toxic].update(document_terms(text))
