@@ -126,22 +126,45 @@ def required_errors(columns: Sequence[str] = C.REQUIRED_FIELDS) -> Column:
     return F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(f"missing:{c}")) for c in columns]))
 
 
-def domain_errors() -> Column:
-    """Enumerated fields with a value outside their domain, as `domain:<field>`."""
+def domain_errors(nodes: Column | None = None) -> Column:
+    """Enumerated fields with a value outside their domain, as `domain:<field>`.
+
+    `nodes`: names that the configuration gives the site's nodes; they are as
+    good as the fixed ones.
+    """
     domains = {
         "environment_type": C.ENVIRONMENT_TYPES,
         "input_module_type": C.INPUT_MODULE_TYPES,
         "source_type": C.SOURCE_TYPES,
         "node_id": C.NODE_IDS,
     }
-    return F.array_compact(
-        F.array(*[F.when(~F.col(c).isin(*values), F.lit(f"domain:{c}")) for c, values in domains.items()])
+    known = {c: F.col(c).isin(*values) for c, values in domains.items()}
+    if nodes is not None:
+        known["node_id"] |= F.coalesce(F.array_contains(nodes, F.col("node_id")), F.lit(False))
+    return F.array_compact(F.array(*[F.when(~good, F.lit(f"domain:{c}")) for c, good in known.items()]))
+
+
+def with_site_nodes(df: DataFrame, factories: DataFrame) -> DataFrame:
+    """`site_nodes`: the nodes that the configuration declares for the site."""
+    declared = factories.select(
+        "factory_id", F.array_compact(F.array("preferred_node", "failover_node")).alias("site_nodes")
     )
+    return df.join(declared, "factory_id", "left")
+
+
+def with_errors(df: DataFrame, factories: DataFrame | None = None) -> DataFrame:
+    """`errors` lists everything wrong with a message; empty means valid.
+
+    With `factories`, nodes declared for a site are valid there.
+    """
+    if factories is not None:
+        checked = with_site_nodes(df, factories)
+        return _with_errors(checked, F.col("site_nodes")).drop("site_nodes")
+    return _with_errors(df, None)
 
 
-def with_errors(df: DataFrame) -> DataFrame:
-    """`errors` lists everything wrong with a message; empty means valid."""
-    errors = F.concat(required_errors(), domain_errors())
+def _with_errors(df: DataFrame, nodes: Column | None) -> DataFrame:
+    errors = F.concat(required_errors(), domain_errors(nodes))
     if CORRUPT in df.columns:
         broken = F.when(F.col(CORRUPT).isNotNull(), F.array(F.lit("corrupt"))).otherwise(
             F.array().cast("array<string>")

@@ -84,6 +84,18 @@ def p3(spark, d):
     return damaged(messages(spark, d)).select("event_id", F.concat_ws(",", checks.domain_errors()).alias("errors"))
 
 
+@query(
+    "p3_configured_nodes",
+    f"""WITH {MSG} SELECT event_id, CASE WHEN event_id % 3 = 0 AND factory_id <> 'factory-b' THEN 'domain:node_id' ELSE '' END AS errors
+    FROM msg""",
+)
+def p3_nodes(spark, d):
+    # A third of the messages names its node as the configuration does for factory-b.
+    named = F.when(F.col("event_id") % 3 == 0, "factory-b").otherwise(F.col("node_id"))
+    rows = checks.with_errors(messages(spark, d).withColumn("node_id", named), config(spark).factories)
+    return rows.select("event_id", F.concat_ws(",", "errors").alias("errors"))
+
+
 @query(
     "p4_apply_null_policy",
     f"""WITH {FS} SELECT event_id, sensor_count, round(temperature, 6) AS temperature, fire AS fire_score, sound AS abnormal_sound FROM fs""",

@@ -131,7 +131,7 @@ def run(
     Rejected rows have a query of their own: they may lack all that the
     processor goes by.
     """
-    checked = checks.with_errors(messages)
+    checked = checks.with_errors(messages, settings.factories)
     good = checks.valid(checked).drop("errors", checks.CORRUPT)
     rejects = flows.run_to_files(checks.rejected(checked), f"{root}/rejects", f"{checkpoint}/rejects")
     return [
