@@ -212,6 +212,17 @@ def p12(spark, d):
     return rows.select("message_id", iso("source_timestamp").alias("source_time"))
 
 
+@query(
+    "p12_from_only",
+    f"""WITH {MSG} SELECT message_id, {iso_sql('source_timestamp')} AS source_time FROM msg
+    WHERE source_timestamp BETWEEN TIMESTAMP '2024-01-18' AND TIMESTAMP '2024-01-20 12:00:00'""",
+)
+def p12_from(spark, d):
+    start, end = views.resolve_window(start=datetime(2024, 1, 18), now=NOW)
+    rows = views.time_range(messages(spark, d), start, end, "source_timestamp")
+    return rows.select("message_id", iso("source_timestamp").alias("source_time"))
+
+
 @query(
     "p15_time_range_filter",
     f"""WITH {ENV} SELECT factory_id, {iso_sql('ts')} AS ts, humidity FROM env

@@ -116,6 +116,20 @@ def s5(spark, d):
     )
 
 
+@query(
+    "s5_read_raw_late",
+    f"""WITH {MSG} SELECT message_id, {iso_sql('source_timestamp')} AS source_time FROM msg
+    WHERE factory_id = 'factory-b' AND source_timestamp >= TIMESTAMP '2024-01-10'""",
+)
+def s5_late(spark, d):
+    # A tenth of the messages comes out of a spool three days late; the range has no end.
+    root = scratch(spark)
+    wait = F.when(F.col("event_id") % 10 == 0, F.expr("interval 3 days")).otherwise(F.expr("interval 0 days"))
+    lake.write_raw(messages(spark, d).withColumn("received_at", F.col("received_at") + wait), root)
+    rows = lake.read_raw(spark, root, "factory-b", start=DAY_FROM)
+    return rows.select("message_id", iso("source_timestamp").alias("source_time"))
+
+
 def scored(spark, d):
     return risk.score_messages(factory(spark, d), config(spark).thresholds)
 
