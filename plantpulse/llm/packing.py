@@ -40,7 +40,7 @@ LENGTH = 2048
 END = 0
 #: Bins open at once in a task; units remembered by a worker, and the longest of them.
 OPEN = 1 << 16
-CACHED = 1_000_000
+CACHED = 300_000
 LONGEST = 48
 #: Fixed value: how the byte-level vocabulary splits text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -97,7 +97,7 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + n): b for n, b in enumerate(hidden)}
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def units(vocabulary: bytes) -> Units:
     return Units(vocabulary)
 

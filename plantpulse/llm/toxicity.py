@@ -49,7 +49,7 @@ QUOTED, PLAIN, ADDRESSED = 0.2, 1.0, 1.5
 #: Documents whose terms are counted together.
 COUNTED = 256
 #: Words remembered by a worker, and the longest of them.
-CACHED = 600_000
+CACHED = 200_000
 LONGEST = 48
 
 WORD = re.compile(r"[^\W_]+")
@@ -144,7 +144,7 @@ class Matcher:
         return [*map(math.log1p, kinds), math.log1p(count), 1000 * count / (100 + len(words)), top]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def matcher(words, stems, clean_forms) -> Matcher:
     """One per Python worker and model."""
     return Matcher(dict(words), dict(stems), clean_forms)
