@@ -1,10 +1,10 @@
-"""Repeated byte strings removed by longest previous factors, first copies kept.
+"""Repeated byte strings removed by ranks of their windows, first copies kept.
 
 A byte goes if it lies in a string of `least` bytes that also starts earlier: in
 a smaller doc_id, or in the same document before. Position i of the corpus has
-such a string if its longest previous factor is `least` bytes long, and in
-suffix order that factor is shared with the nearest earlier position above or
-below. The suffixes of a whole corpus meet in no single task; they are brought
+such a string if the window of `least` bytes there equals an earlier one. That is
+all the answer needs, so no longest-previous-factor array and no match lengths
+are computed: windows of equal rank, digest or bytes are grouped. The suffixes of a whole corpus meet in no single task; they are brought
 together by content:
 
 1. Every window of `least` bytes names an anchor, the smallest hash among the
@@ -18,8 +18,8 @@ together by content:
    slab for equal text: later copies in the slab are removed for certain. So are
    later equal texts there.
 4. Where different texts surround an anchor, the suffixes of a block of them are
-   put in order to a depth of `least` bytes by doubling, ties by position. Where neighbours share `least` bytes, all but the
-   first of a run have a previous smaller position there: they are repeats.
+   ranked to a depth of `least` bytes by doubling, ties by position. All but the
+   first position of a rank are repeats.
    An anchor with more text than CROWD bytes is settled by digests of its
    windows instead, as an aggregate with map-side combine.
 
