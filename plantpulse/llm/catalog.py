@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.llm.exact import exact_groups
 from plantpulse.llm.lines import drop_repeated_lines
+from plantpulse.llm.negatives import hard_negatives
 from plantpulse.llm.packing import pack
 from plantpulse.llm.pieces import digest_documents
 from plantpulse.llm.simhash import hex_fingerprint, near_groups
@@ -152,6 +153,32 @@ FROM p LEFT JOIN rules ON (host = rule_host OR suffix(host, '.' || rule_host)) A
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) = 1"""
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "embeddings")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256.0) * x.cast("double")))
+    picked = rows.filter(finite).select("vec_id", label.alias("label"), whole.alias("vector"), (F.col("vec_id") % 50 == 0).alias("anchor"))
+    return hard_negatives(picked)
+
+
+OP12_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+             CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM e a JOIN e b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5),
+n AS (SELECT p.anchor_id, p.other_id AS positive_id, s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score),
+r AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY negative_score DESC, negative_id) AS rank FROM n)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 3"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -164,6 +191,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_url_filters": op10_url_filters,
+        "op12_hard_negatives": op12_hard_negatives,
     }
 
 
@@ -174,4 +202,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_exact_dedup": OP7_SQL,
         "op9_embedding_dedup": OP9_SQL,
         "op10_url_filters": OP10_SQL,
+        "op12_hard_negatives": OP12_SQL,
     }
