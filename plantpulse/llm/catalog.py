@@ -13,7 +13,9 @@ from plantpulse.llm.exact import exact_groups
 from plantpulse.llm.lines import drop_repeated_lines
 from plantpulse.llm.negatives import hard_negatives
 from plantpulse.llm.packing import pack
+from plantpulse.llm.passages import drop_passages
 from plantpulse.llm.pieces import digest_documents
+from plantpulse.llm.ranking import search
 from plantpulse.llm.simhash import hex_fingerprint, near_groups
 from plantpulse.llm.suffixes import drop_repeats
 from plantpulse.llm.tables import load
@@ -153,6 +155,25 @@ FROM p LEFT JOIN rules ON (host = rule_host OR suffix(host, '.' || rule_host)) A
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) = 1"""
 
 
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_passages(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+OP11_SQL = """
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words FROM documents),
+w AS (SELECT doc_id, pos, array_to_string(words[pos + 1 : pos + 13], ' ') AS s
+      FROM (SELECT doc_id, words, unnest(range(len(words) - 12)) AS pos FROM d WHERE len(words) >= 13)),
+f AS (SELECT s, min(doc_id) AS first FROM w GROUP BY s HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 13)) AS spot FROM w JOIN f ON w.s = f.s AND w.doc_id > f.first),
+k AS (SELECT doc_id, list(spot) AS gone FROM g GROUP BY doc_id),
+x AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) - 1 AS spot FROM d),
+t AS (SELECT x.doc_id, string_agg(word, ' ' ORDER BY x.spot) AS kept FROM x LEFT JOIN g ON g.doc_id = x.doc_id AND g.spot = x.spot
+      WHERE g.spot IS NULL GROUP BY x.doc_id)
+SELECT d.doc_id, len(words) AS n_words, coalesce(len(gone), 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN t ON t.doc_id = d.doc_id"""
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = load(spark, sf_dir, "embeddings")
     finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
@@ -179,6 +200,25 @@ r AS (SELECT *, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY
 SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM r WHERE rank <= 3"""
 
 
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
+OP13_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+OP13_SQL = rf"""
+WITH d AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{OP13_TERM}')) AS term FROM documents),
+f AS (SELECT doc_id, term, count(*) AS tf FROM d GROUP BY doc_id, term),
+n AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM f GROUP BY doc_id),
+t AS (SELECT count(*) AS N, CAST(sum(n) AS BIGINT) AS L FROM n),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * t.N + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, t GROUP BY term, t.N),
+m AS (SELECT doc_id, 100 - 75 + (75 * n.n * t.N) // t.L AS m FROM n, t),
+q AS (SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{OP13_TERM}')) AS term FROM benchmark),
+s AS (SELECT item_id, f.doc_id, CAST(sum(w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * m.m))) AS BIGINT) AS score
+      FROM q JOIN f ON q.term = f.term JOIN w ON w.term = f.term JOIN m ON m.doc_id = f.doc_id GROUP BY item_id, f.doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM r WHERE rank <= 10"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_sentencepiece": op1_sentencepiece,
@@ -191,7 +231,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": op8_toxicity,
         "op9_embedding_dedup": op9_embedding_dedup,
         "op10_url_filters": op10_url_filters,
+        "op11_substring_dedup": op11_substring_dedup,
         "op12_hard_negatives": op12_hard_negatives,
+        "op13_ranked_search": op13_ranked_search,
     }
 
 
@@ -202,5 +244,7 @@ def oracle_sql() -> dict[str, str]:
         "op7_exact_dedup": OP7_SQL,
         "op9_embedding_dedup": OP9_SQL,
         "op10_url_filters": OP10_SQL,
+        "op11_substring_dedup": OP11_SQL,
         "op12_hard_negatives": OP12_SQL,
+        "op13_ranked_search": OP13_SQL,
     }
