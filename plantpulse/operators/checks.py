@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from plantpulse import contract as C
 from plantpulse.functions import clock, text
 from plantpulse.operators.sliced import Series, state_runs
-from plantpulse.operators.timeseries import bucket_series
+from plantpulse.operators.gaps import missing_buckets
 
 CORRUPT = "corrupt_record"
 PARSED = T.StructType(C.RAW_MESSAGE.fields + [T.StructField(CORRUPT, T.StringType(), True)])
@@ -265,11 +265,7 @@ def duplicate_write_candidates(buckets: DataFrame, keys: Sequence[str], factor:
 # --- completeness ------------------------------------------------------------------------
 def missing_samples(df: DataFrame, keys: Sequence[str], value: str, interval_seconds: int, ts: str = "ts") -> DataFrame:
     """Expected and missing buckets per series."""
-    buckets = bucket_series(df, keys, value, interval_seconds, ts=ts)
-    return buckets.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("expected"),
-        F.count_if(F.col("sample_count") == 0).alias("missing"),
-    )
+    return missing_buckets(df, keys, value, interval_seconds, ts=ts)
 
 
 def field_null_report(df: DataFrame, keys: Sequence[str], fields: dict[str, Column]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -9,7 +10,8 @@ from pyspark.sql import functions as F
 
 from plantpulse.contract import Timing
 from plantpulse.functions import clock
-from plantpulse.operators.timeseries import bucket_series, max_empty_bucket_seconds
+from plantpulse.operators import gaps
+from plantpulse.operators.intervals import interval_join
 
 TEST_KEYS = ("test_id", "factory_id", "target_node", "start", "end")
 PHASES = ("fault_seen_at", "not_ready_at", "on_failover_at", "ready_again_at", "on_preferred_at")
@@ -18,12 +20,10 @@ PHASES = ("fault_seen_at", "not_ready_at", "on_failover_at", "ready_again_at", "
 def phase_join(samples: DataFrame, tests: DataFrame, ts: str = "ts") -> DataFrame:
     """Samples inside a test interval: equal site, time within [start, end].
 
-    The equi key keeps this a hash join; the tests of one site are few, and
-    tests do not multiply samples unless their intervals overlap.
+    Samples meet the tests of their own time bin, so many tests of a site cost
+    little more than the hits they find.
     """
-    return samples.join(
-        tests, (samples["factory_id"] == tests["factory_id"]) & samples[ts].between(tests["start"], tests["end"])
-    ).drop(tests["factory_id"])
+    return interval_join(samples, tests, ["factory_id"], ts)
 
 
 def _moments(observed: DataFrame, preferred: str, failover: str) -> DataFrame:
@@ -111,10 +111,7 @@ def first_data_after(samples: DataFrame, timeline: DataFrame, phase: str, measur
     asked = timeline.select("test_id", "factory_id", F.col(phase).alias("phase_at"), "end").where(
         F.col("phase_at").isNotNull()
     )
-    hits = samples.join(
-        asked,
-        (samples["factory_id"] == asked["factory_id"]) & samples["ts"].between(asked["phase_at"], asked["end"]),
-    )
+    hits = interval_join(samples, asked, ["factory_id"], start="phase_at")
     return hits.groupBy("test_id", "phase_at").agg(F.min("ts").alias("first_data_at")).select(
         "test_id",
         F.lit(measurement).alias("measurement"),
@@ -129,8 +126,10 @@ def gap_report(
 ) -> DataFrame:
     """Longest empty run per drill, measurement and bucket width.
 
-    The spine covers the test intervals only, never the whole time range.
+    One join and one pass over the samples find the occupied buckets of the
+    finest common width; all asked widths are folded up from those.
     """
+    unit = math.gcd(*intervals)
     names = list(measurements)
     samples = [
         df.select("factory_id", "ts", F.lit(name).alias("measurement"), F.col(value).cast("double").alias("value"))
@@ -140,19 +139,11 @@ def gap_report(
     for more in samples[1:]:
         union = union.unionByName(more)
     keys = ["test_id", "measurement"]
-    inside = phase_join(union, tests).select(*keys, "ts", "value")
+    occupied = gaps.distinct_buckets(phase_join(union, tests), keys, "value", unit)
     bounds = tests.select(
         "test_id", F.explode(F.array(*[F.lit(n) for n in names])).alias("measurement"), "start", "end"
     )
-    parts = []
-    for interval in intervals:
-        buckets = bucket_series(inside, keys, "value", interval, bounds=bounds)
-        longest = max_empty_bucket_seconds(buckets, keys, interval)
-        parts.append(longest.withColumn("bucket_seconds", F.lit(interval)))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    return gaps.max_empty_by_width(occupied, bounds, keys, unit, intervals)
 
 
 def failover_sla(durations: DataFrame, timing: Timing = Timing()) -> DataFrame:

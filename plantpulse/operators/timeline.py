@@ -12,11 +12,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plantpulse import contract as C
-from plantpulse.functions import rules
+from plantpulse.contract import Timing
+from plantpulse.functions import clock, rules
 from plantpulse.operators.directory import DRAFT_THRESHOLDS, with_thresholds
-from plantpulse.operators.sliced import Series, with_previous
+from plantpulse.operators.sliced import Series, over_rows, with_previous
+from plantpulse.operators.state import device_summary, node_summary, workload_summary
 
 POINT_ORDER = ("timestamp", "message_id")
+# What the events of a history compare with the point before.
+RISK_FACTS = ["risk_level", "risk_score", "top_cause_names"]
+FACTORY_FACTS = ["temperature_celsius_avg", "fire_score", "fall_score", "bend_score"]
+INFRA_FACTS = ["node_summary", "workload_summary", "device_summary", "nodes"]
 # Absorbs binary noise in steps such as 0.7 - 0.4.
 STEP_NOISE = 1e-9
 RISK_TYPES = ("risk_level_changed", "risk_jump", "top_causes_changed")
@@ -74,12 +80,15 @@ def level_severity(level: Column) -> Column:
 
 def risk_events(history: DataFrame, slice_seconds: int) -> DataFrame:
     """Level changes, jumps and changes of the top causes."""
-    cols = ["risk_level", "risk_score", "top_cause_names"]
-    points = with_previous(history.select("factory_id", *POINT_ORDER, *cols), _series(slice_seconds), cols)
+    points = with_previous(history.select("factory_id", *POINT_ORDER, *RISK_FACTS), _series(slice_seconds), RISK_FACTS)
+    return _emit(points, _risk_changes(), "RISK")
+
+
+def _risk_changes() -> Column:
     col, known = F.col, F.col("prev_risk_level").isNotNull()
     causes = F.array_join("top_cause_names", ", ")
     jump = col("risk_score") - col("prev_risk_score")
-    events = F.array(
+    return F.array(
         _event(
             "risk_level_changed",
             known & (col("risk_level") != col("prev_risk_level")),
@@ -96,16 +105,17 @@ def risk_events(history: DataFrame, slice_seconds: int) -> DataFrame:
             _arrow(F.array_join("prev_top_cause_names", ", "), causes),
         ),
     )
-    return _emit(points, events, "RISK")
 
 
 def factory_events(history: DataFrame, thresholds: DataFrame, slice_seconds: int) -> DataFrame:
     """Temperature rises (step or threshold crossing) and AI score rises."""
-    scores = ["fire_score", "fall_score", "bend_score"]
-    cols = ["temperature_celsius_avg", *scores]
-    points = with_previous(history.select("factory_id", *POINT_ORDER, *cols), _series(slice_seconds), cols)
-    points = with_thresholds(points, thresholds, DRAFT_THRESHOLDS)
-    now, before, limit = F.col(cols[0]), F.col(f"prev_{cols[0]}"), F.col("temperature_warning")
+    points = with_previous(history.select("factory_id", *POINT_ORDER, *FACTORY_FACTS), _series(slice_seconds), FACTORY_FACTS)
+    return _emit(with_thresholds(points, thresholds, DRAFT_THRESHOLDS), _factory_changes(), "FACTORY")
+
+
+def _factory_changes() -> Column:
+    temperature, *scores = FACTORY_FACTS
+    now, before, limit = F.col(temperature), F.col(f"prev_{temperature}"), F.col("temperature_warning")
     crossed = (before <= limit) & (now > limit)
     events = [
         _event(
@@ -127,14 +137,63 @@ def factory_events(history: DataFrame, thresholds: DataFrame, slice_seconds: int
                 F.format_string("%.2f -> %.2f", prev, value),
             )
         )
-    return _emit(points, F.array(*events), "FACTORY")
+    return F.array(*events)
+
+
+def site_events(history: DataFrame, thresholds: DataFrame, slice_seconds: int) -> DataFrame:
+    """RISK and FACTORY events of points that hold the facts of both, ordered once."""
+    facts = [*RISK_FACTS, *FACTORY_FACTS]
+    points = with_previous(history.select("factory_id", *POINT_ORDER, *facts), _series(slice_seconds), facts)
+    points = with_thresholds(points, thresholds, DRAFT_THRESHOLDS)
+    kinds = {"RISK": _risk_changes(), "FACTORY": _factory_changes()}
+    tagged = [
+        F.transform(F.array_compact(events), lambda e, k=kind: F.struct(*[e[c] for c in ("type", "severity", "title", "description")], F.lit(f"HISTORY#{k}").alias("source")))
+        for kind, events in kinds.items()
+    ]
+    return points.select("factory_id", "timestamp", F.inline(F.concat(*tagged))).select(*EVENT_COLUMNS)
 
 
 def infra_events(history: DataFrame, slice_seconds: int) -> DataFrame:
     """Delivery, node, workload, device and resource changes, and recoveries."""
-    cols = ["pipeline_status", "node_summary", "workload_summary", "device_summary", "nodes"]
+    cols = ["pipeline_status", *INFRA_FACTS]
     points = with_previous(history.select("factory_id", *POINT_ORDER, *cols), _series(slice_seconds), cols)
-    points = points.where(F.col("prev_pipeline_status").isNotNull())
+    return _emit(points.where(F.col("prev_pipeline_status").isNotNull()), _infra_changes(), "INFRA")
+
+
+def infra_message_events(infra: DataFrame, slice_seconds: int, timing: Timing = Timing()) -> DataFrame:
+    """INFRA events straight from messages: one ordering, two rows of look-back.
+
+    The status of a point tells how long after the one before it came, so the
+    status before needs the row before that.
+    """
+    cols = infra.select(
+        "factory_id",
+        F.col("source_timestamp").alias("timestamp"),
+        "message_id",
+        node_summary(F.col("nodes")).alias("node_summary"),
+        workload_summary(F.col("workloads")).alias("workload_summary"),
+        device_summary(F.col("devices")).alias("device_summary"),
+        "nodes",
+    )
+    points = over_rows(
+        cols,
+        _series(slice_seconds),
+        ["timestamp", *INFRA_FACTS],
+        lambda w: {f"prev_{c}": F.lag(c).over(w) for c in ("timestamp", *INFRA_FACTS)} | {"_before": F.lag("timestamp", 2).over(w)},
+        rows=2,
+    ).where(F.col("prev_timestamp").isNotNull())
+
+    def status(now: str, before: str) -> Column:
+        age = F.coalesce(clock.age_seconds(now, before), F.lit(0.0))
+        return F.struct(rules.delivery_status(age, timing).alias("status"))
+
+    points = points.withColumns(
+        {"pipeline_status": status("timestamp", "prev_timestamp"), "prev_pipeline_status": status("prev_timestamp", "_before")}
+    )
+    return _emit(points, _infra_changes(), "INFRA")
+
+
+def _infra_changes() -> Column:
     col = F.col
     status, was = col("pipeline_status.status"), col("prev_pipeline_status.status")
     ready, was_ready = col("node_summary.ready"), col("prev_node_summary.ready")
@@ -172,8 +231,7 @@ def infra_events(history: DataFrame, slice_seconds: int) -> DataFrame:
             )
         )
         events.append(_recovered(~before & flag, device))
-    both = F.concat(F.array(*events), F.flatten(F.transform("nodes", _resource_events)))
-    return _emit(points, both, "INFRA")
+    return F.concat(F.array(*events), F.flatten(F.transform("nodes", _resource_events)))
 
 
 def _recovered(when: Column, component: str) -> Column:

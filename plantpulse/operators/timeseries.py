@@ -98,6 +98,9 @@ def bucket_spine(bounds: DataFrame, keys: Sequence[str], interval_seconds: int)
     chunks = bounds.select(
         *keys, last.alias("_last"), F.explode(F.sequence(first, last, F.lit(chunk))).alias("_from")
     )
+    # The bounds of a long series lie in one task; its chunks are spread before they grow.
+    tasks = int(bounds.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.repartition(tasks, *keys, "_from")
     numbers = F.sequence(
         F.col("_from"), F.least(F.col("_from") + F.lit(chunk - step), F.col("_last")), F.lit(step)
     )
@@ -166,36 +169,7 @@ def downsample_last(
     )
 
 
-# --- gaps and runs --------------------------------------------------------------------
-def _bucket_run_series(keys: Sequence[str], interval_seconds: int) -> Series:
-    return Series(tuple(keys), ("bucket",), interval_seconds * SPINE_CHUNK)
-
-
-def _empty_runs(buckets: DataFrame, keys: Sequence[str], interval_seconds: int) -> DataFrame:
-    marked = buckets.withColumn("empty", F.col("sample_count") == 0)
-    return state_runs(marked, _bucket_run_series(keys, interval_seconds), "empty")
-
-
-def gap_islands(buckets: DataFrame, keys: Sequence[str], interval_seconds: int) -> DataFrame:
-    """Consecutive empty buckets: start, end (exclusive), count, seconds."""
-    return _empty_runs(buckets, keys, interval_seconds).where("empty").select(
-        *keys,
-        F.col("run_start").alias("gap_start"),
-        clock.plus_seconds("run_end", interval_seconds).alias("gap_end"),
-        F.col("row_count").alias("empty_buckets"),
-        (F.col("row_count") * interval_seconds).alias("gap_seconds"),
-    )
-
-
-def max_empty_bucket_seconds(buckets: DataFrame, keys: Sequence[str], interval_seconds: int) -> DataFrame:
-    """Buckets and longest empty run per series, 0 if there is none."""
-    longest = F.max(F.when(F.col("empty"), F.col("row_count")))
-    return _empty_runs(buckets, keys, interval_seconds).groupBy(*keys).agg(
-        F.sum("row_count").alias("buckets"),
-        (F.coalesce(longest, F.lit(0)) * interval_seconds).alias("max_empty_seconds"),
-    )
-
-
+# --- runs and steps --------------------------------------------------------------------
 def run_durations(df: DataFrame, series: Series, state: str) -> DataFrame:
     """Runs of equal state with their duration in seconds (first to last row)."""
     return state_runs(df, series, state).withColumn("duration_seconds", clock.age_seconds("run_end", "run_start"))

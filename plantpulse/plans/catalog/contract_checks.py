@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from plantpulse import contract as C
+from plantpulse.functions import clock
 from plantpulse.operators import checks, directory, quality, risk
 from plantpulse.operators import timeseries as ts
 from plantpulse.plans import views
@@ -31,9 +32,10 @@ from plantpulse.plans.catalog.registry import (
     messages,
     query,
     r6,
+    scratch,
     INF,
 )
-from plantpulse.sources import feed, settings
+from plantpulse.sources import feed, lake, reprocess, settings
 
 
 @query(
@@ -446,3 +448,49 @@ def r15(spark, d):
     )
 
 
+
+
+def _scorer(spark, version, weights):
+    """Archived messages to results under the given weights."""
+    columns = ("message_id", "factory_id", "event_timestamp", "day", "risk_score", "risk_level")
+
+    def score(rows):
+        ready = checks.factory_rows(rows.withColumn("received_at", F.timestamp_millis("received_at")))
+        return risk.score_messages(ready, config(spark).thresholds, weights, version).select(*columns)
+
+    return score
+
+
+@query(
+    "r15_reprocess",
+    f"""WITH {_REWEIGHTED}, w AS (SELECT *, strftime(received_at, '%Y-%m-%d') AS day FROM v),
+    d AS (SELECT 'risk-v0.1.0' AS version, day, count(*) AS messages, round(sum(risk_score), 4) AS total FROM w GROUP BY day
+      UNION ALL SELECT 'risk-v0.2.0', day, count(*), round(sum(s2), 4) FROM w GROUP BY day)
+    SELECT *, 0 AS computed_again FROM d""",
+)
+def r15_reprocess(spark, d):
+    # First delivery: no original of every eleventh message, but a copy a day
+    # later. Its results are cut off after one job and gone on with. The second
+    # delivery brings the originals and copies of other messages: the days it
+    # touches, and those that had counted the copies, are computed anew.
+    root = scratch(spark)
+    m = messages(spark, d)
+    day_later = m.withColumn("received_at", clock.plus_seconds("received_at", 26 * 3600))
+    eleventh, tenth = F.col("event_id") % 11 == 0, F.col("event_id") % 10 == 0
+    old = _scorer(spark, "risk-v0.1.0", C.MESSAGE_WEIGHTS)
+    new = _scorer(spark, "risk-v0.2.0", NEW_WEIGHTS)
+    lake.write_raw(m.where(~eleventh).unionByName(day_later.where(eleventh)), f"{root}/raw")
+    reprocess.reprocess(spark, f"{root}/raw", root, "risk-v0.1.0", old, days_at_once=9, stop_after=1)
+    reprocess.reprocess(spark, f"{root}/raw", root, "risk-v0.1.0", old)
+    lake.write_raw(m.where(eleventh).unionByName(day_later.where(tenth & ~eleventh)), f"{root}/raw")
+    again = 0
+    for version, score in (("risk-v0.1.0", old), ("risk-v0.2.0", new)):
+        reprocess.reprocess(spark, f"{root}/raw", root, version, score)
+        again += len(reprocess.reprocess(spark, f"{root}/raw", root, version, score).computed)
+    found = [reprocess.read_results(spark, root, version) for version in ("risk-v0.1.0", "risk-v0.2.0")]
+    return (
+        found[0].unionByName(found[1])
+        .groupBy("version", "day")
+        .agg(F.count(F.lit(1)).alias("messages"), F.round(F.sum("risk_score"), 4).alias("total"))
+        .withColumn("computed_again", F.lit(again))
+    )

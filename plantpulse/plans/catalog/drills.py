@@ -7,6 +7,7 @@ from datetime import datetime
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from plantpulse.functions import clock
 from plantpulse.operators import failover, retention
 from plantpulse.plans.catalog.ingest import _RISK_HISTORY, risk_history
 from plantpulse.plans.catalog.registry import (
@@ -76,6 +77,35 @@ def j10(spark, d):
     return failover.phase_join(environment(spark, d), tests(spark)).select("test_id", "event_id")
 
 
+def probes(spark, d):
+    """A test interval around every error of a site, from seconds to weeks long."""
+    rows = infra(spark, d)
+    length = F.element_at(F.array(*[F.lit(n) for n in _LENGTHS]), (F.col("event_id") % len(_LENGTHS) + 1).cast("int"))
+    return rows.select(
+        F.concat(F.lit("p-"), F.col("event_id").cast("string")).alias("test_id"),
+        "factory_id",
+        F.col("source_timestamp").alias("start"),
+        clock.plus_seconds("source_timestamp", length).alias("end"),
+    )
+
+
+_LENGTHS = (0, 40, 600, 3600, 86400)
+
+
+@query(
+    "j10_many_intervals",
+    f"""WITH {ENV}, pr AS (SELECT 'p-' || event_id AS test_id, factory_id AS site, source_timestamp AS t_start,
+      source_timestamp + to_seconds({list(_LENGTHS)}[event_id % {len(_LENGTHS)} + 1]) AS t_end FROM msg WHERE source_type = 'infra_state')
+    SELECT test_id, count(*) AS samples, {iso_sql('min(ts)')} AS first_at, round(avg(temperature), 6) AS mean_temperature
+    FROM env JOIN pr ON factory_id = site AND ts BETWEEN t_start AND t_end GROUP BY 1""",
+)
+def j10_many(spark, d):
+    inside = failover.phase_join(environment(spark, d), probes(spark, d))
+    return inside.groupBy("test_id").agg(
+        F.count(F.lit(1)).alias("samples"), iso(F.min("ts")).alias("first_at"), r6(F.avg("temperature")).alias("mean_temperature")
+    )
+
+
 @query(
     "f1_failover_timeline",
     f"WITH {_MOMENTS} SELECT test_id, {', '.join(f'{iso_sql(p)} AS {p}' for p in failover.PHASES)} FROM tl",

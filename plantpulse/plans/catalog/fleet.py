@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
-from plantpulse.operators import risk, state, timeline
-from plantpulse.operators import timeseries as ts
-from plantpulse.plans import views
+from plantpulse.operators import gaps, risk, state, timeline
+from plantpulse.plans import backward, views
 from plantpulse.plans.catalog.infrastructure import (
     FLEET,
     INFRA_HISTORY,
@@ -38,6 +37,7 @@ from plantpulse.plans.catalog.registry import (
     r6,
     slice_seconds,
 )
+from plantpulse.sources import feed
 
 _NOW = f"TIMESTAMP '{AS_OF}'"
 
@@ -413,22 +413,51 @@ allev AS (
 
 @query("e12_severity", f"{_ALL_EVENTS} SELECT factory_id, type, severity, count(*) AS events FROM allev GROUP BY ALL")
 def e12(spark, d):
-    return events(spark, d).groupBy("factory_id", "type", "severity").agg(F.count(F.lit(1)).alias("events"))
+    return _all_events(spark, d).groupBy("factory_id", "type", "severity").agg(F.count(F.lit(1)).alias("events"))
 
 
-def _raw_events(spark, d):
-    return timeline.timeline(
-        risk_history(spark, d), factory_history(spark, d), infra_history(spark, d), config(spark).thresholds, slice_seconds(spark, d)
+def _readers(spark, d):
+    return (
+        lambda start, end: feed.load_factory_states(spark, d, start, end),
+        lambda start, end: feed.load_infra_states(spark, d, start, end),
     )
 
 
+def _extent(spark, d):
+    """Oldest and newest time of the table; the events of the last bucket carry its end."""
+    oldest, newest = backward.reach(lambda start, end: feed.load_messages(spark, d))
+    return oldest, newest + timedelta(seconds=TIMING.history_bucket)
+
+
+def _between(spark, d, start, end, oldest, sites):
+    return backward.timeline_between(
+        *_readers(spark, d), config(spark).thresholds, start, end, oldest, sites, slice_seconds(spark, d), TIMING
+    )
+
+
+def _newest(spark, d, n):
+    sites = {r.factory_id for r in config(spark).factories.collect()}
+    oldest, newest = _extent(spark, d)
+    return backward.newest_events(lambda start, end: _between(spark, d, start, end, oldest, sites), n, oldest, newest)
+
+
+def _all_events(spark, d):
+    oldest, newest = _extent(spark, d)
+    return _between(spark, d, oldest, newest, oldest, set())
+
+
 @query(
     "q8_timeline_events",
     f"""{_ALL_EVENTS} SELECT {iso_sql('ts')} AS timestamp, type, severity, title FROM allev
     WHERE factory_id = 'factory-a' AND ts BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-20'""",
 )
 def q8(spark, d):
-    out = views.timeline_events(_raw_events(spark, d), "factory-a", FROM, TO)
+    only = [lambda start, end, read=read: read(start, end).where("factory_id = 'factory-a'") for read in _readers(spark, d)]
+    oldest, _ = _extent(spark, d)
+    found = backward.timeline_between(
+        *only, config(spark).thresholds, FROM, TO, oldest, {"factory-a"}, slice_seconds(spark, d), TIMING
+    )
+    out = views.timeline_events(found, "factory-a", FROM, TO)
     return out.select(iso("timestamp").alias("timestamp"), "type", "severity", "title")
 
 
@@ -437,7 +466,7 @@ _NEWEST = "ORDER BY ts DESC, factory_id, type, title LIMIT 50"
 
 @query("t4_timeline", f"{_ALL_EVENTS} SELECT factory_id, {iso_sql('ts')} AS timestamp, type, title FROM (SELECT * FROM allev {_NEWEST})")
 def t4(spark, d):
-    out = timeline.newest_events(_raw_events(spark, d), 50)
+    out = _newest(spark, d, 50)
     return out.select("factory_id", iso("timestamp").alias("timestamp"), "type", "title")
 
 
@@ -446,7 +475,7 @@ def t4(spark, d):
     f"{_ALL_EVENTS} SELECT factory_id, {iso_sql('ts')} AS timestamp, type, severity FROM (SELECT * FROM allev {_NEWEST.replace('50', '20')})",
 )
 def q11(spark, d):
-    out = views.recent_logs(_raw_events(spark, d), 20)
+    out = views.recent_logs(_newest(spark, d, 20), 20)
     return out.select("factory_id", iso("timestamp").alias("timestamp"), "type", "severity")
 
 
@@ -466,8 +495,8 @@ def q11(spark, d):
     SELECT s.*, mc.first_cause AS main_cause, coalesce(gap_seconds, 0) AS gap_seconds FROM s LEFT JOIN mc USING (factory_id, day) LEFT JOIN g USING (factory_id, day)""",
 )
 def a23(spark, d):
-    buckets = ts.bucket_count(environment(spark, d), ["factory_id"], "temperature", 600)
-    out = views.daily_ops_summary(scored(spark, d), buckets, 600, TIMING.factory_period, slice_seconds(spark, d))
+    empty = gaps.empty_seconds_by_day(environment(spark, d), ["factory_id"], "temperature", 600)
+    out = views.daily_ops_summary(scored(spark, d), empty, TIMING.factory_period, slice_seconds(spark, d))
     scores = ("min_score", "mean_score", "max_score", "safe_minutes", "danger_minutes")
     return out.select(
         "factory_id",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from plantpulse.functions import clock
-from plantpulse.operators import risk, sliced, state
+from plantpulse.operators import gaps, risk, sliced, state
 from plantpulse.operators import timeseries as ts
 from plantpulse.plans import views
 from plantpulse.plans.catalog.ingest import scored
@@ -165,8 +165,7 @@ def a6(spark, d):
     FROM buckets b GROUP BY factory_id""",
 )
 def a19(spark, d):
-    buckets = ts.bucket_count(environment(spark, d), KEY, "temperature", 600)
-    return ts.max_empty_bucket_seconds(buckets, KEY, 600)
+    return gaps.max_empty_seconds(environment(spark, d), KEY, "temperature", 600)
 
 
 @query(
@@ -175,8 +174,7 @@ def a19(spark, d):
     {iso_sql('make_timestamp((first_b + len) * 600000000)')} AS gap_end, len AS empty_buckets, len * 600 AS gap_seconds FROM islands""",
 )
 def w6(spark, d):
-    buckets = ts.bucket_count(environment(spark, d), KEY, "temperature", 600)
-    out = ts.gap_islands(buckets, KEY, 600)
+    out = gaps.gap_islands(environment(spark, d), KEY, "temperature", 600)
     return out.select(
         "factory_id", iso("gap_start").alias("gap_start"), iso("gap_end").alias("gap_end"), "empty_buckets", "gap_seconds"
     )
@@ -243,6 +241,18 @@ def w5(spark, d):
     )
 
 
+@query(
+    "w6_gap_islands_by_node",
+    f"""WITH {ENV}, src AS (SELECT factory_id || '/' || node_id AS factory_id, ts, temperature FROM env),
+    {gap_sql('src', 'temperature', 7)} SELECT split_part(factory_id, '/', 1) AS factory_id, split_part(factory_id, '/', 2) AS node_id,
+    {iso_sql('make_timestamp(first_b * 7000000)')} AS gap_start, len AS empty_buckets FROM islands""",
+)
+def w6_by_node(spark, d):
+    # Buckets of seven seconds over a month: nearly all are empty, none becomes a row.
+    out = gaps.gap_islands(environment(spark, d), ["factory_id", "node_id"], "temperature", 7)
+    return out.select("factory_id", "node_id", iso("gap_start").alias("gap_start"), "empty_buckets")
+
+
 @query(
     "w7_last_n_mean",
     f"""WITH {ENV}, r AS (SELECT *, row_number() OVER (PARTITION BY factory_id ORDER BY ts DESC) AS rn FROM ai)

@@ -283,12 +283,12 @@ def level_minutes(scored: DataFrame, slice_seconds: int) -> DataFrame:
     return run_durations(scored, series, "risk_level")
 
 
-def daily_ops_summary(scored: DataFrame, buckets: DataFrame, bucket_seconds: int, sample_seconds: int, slice_seconds: int) -> DataFrame:
+def daily_ops_summary(scored: DataFrame, empty: DataFrame, sample_seconds: int, slice_seconds: int) -> DataFrame:
     """Per site and day: score range, time per level, level changes, uncertain
     AI rows, empty time and the most frequent first cause.
 
-    `buckets` is a bucket series with sample_count, `sample_seconds` the time
-    one message stands for.
+    `empty` has empty_seconds per factory_id and day (`gaps.empty_seconds_by_day`),
+    `sample_seconds` is the time one message stands for.
     """
     series = Series(("factory_id",), ("source_timestamp", "message_id"), slice_seconds)
     ai = F.greatest("ai_result.fire_score", "ai_result.fall_score", "ai_result.bend_score")
@@ -328,9 +328,7 @@ def daily_ops_summary(scored: DataFrame, buckets: DataFrame, bucket_seconds: int
             "first_cause", F.when(F.col("first_cause").isNotNull(), F.struct(-F.col("n"), "first_cause"))
         ).alias("main_cause"),
     )
-    gaps = buckets.groupBy("factory_id", F.date_format("bucket", "yyyy-MM-dd").alias("day")).agg(
-        (F.count_if(F.col("sample_count") == 0) * bucket_seconds).alias("gap_seconds")
-    )
+    gaps = empty.select("factory_id", "day", F.col("empty_seconds").alias("gap_seconds"))
     return days.join(gaps, ["factory_id", "day"], "left").fillna({"gap_seconds": 0})
 
 

@@ -6,6 +6,8 @@ query does not read (`struct(..).field` collapses to the plain expression).
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,9 +23,16 @@ NODE_ROLES = (
 WORKLOAD_NAMES = (("vision", 0), ("audio", 1), ("climate", 2))
 
 
-def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def read_events(spark: SparkSession, sf_dir: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    """The table, or its rows from `start` to `end` (UTC), which the scan sees as a predicate on `ts`."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    kind = events.schema["ts"].dataType  # the table keeps times without a zone
+    if start is not None:
+        events = events.where(F.col("ts") >= F.lit(start).cast(kind))
+    if end is not None:
+        events = events.where(F.col("ts") <= F.lit(end).cast(kind))
+    return events
 
 
 def _seconds(expr):
@@ -131,12 +140,12 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_payload(read_events(spark, sf_dir))
 
 
-def load_factory_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(read_events(spark, sf_dir), "factory_state")
+def load_factory_states(spark: SparkSession, sf_dir: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    return _typed(read_events(spark, sf_dir, start, end), "factory_state")
 
 
-def load_infra_states(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _typed(read_events(spark, sf_dir), "infra_state")
+def load_infra_states(spark: SparkSession, sf_dir: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    return _typed(read_events(spark, sf_dir, start, end), "infra_state")
 
 
 def with_repeats(messages: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ nor many tiny ones arise.
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -153,12 +153,26 @@ def read_processed(
     return between(_where(df, _days(F.concat_ws("-", *_DAY), start, end)), "event_timestamp", start, end)
 
 
-def stored_batches(spark: SparkSession, root: str) -> DataFrame | None:
-    """What micro-batches have stored under `batch=<id>` folders; None before the first."""
+def _folder(spark: SparkSession, root: str):
+    """(file system, path) of a folder."""
     path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def exists(spark: SparkSession, root: str) -> bool:
+    fs, path = _folder(spark, root)
+    return fs.exists(path)
+
+
+def stored_batches(spark: SparkSession, root: str, more: str = "") -> DataFrame | None:
+    """Ids, and columns of the schema text `more`, that micro-batches have stored under `batch=<id>` folders.
+
+    None before the first batch.
+    """
+    if not exists(spark, root):
         return None
     fields = [T.StructField("message_id", T.StringType()), T.StructField("batch", T.LongType())]
+    fields += T.StructType.fromDDL(more).fields if more else []
     fields += [T.StructField(n, T.StringType()) for n in PROCESSED_PARTITIONS]
     return spark.read.schema(T.StructType(fields)).parquet(root)
 
@@ -222,6 +236,47 @@ def read_history(
     return between(_where(df, _days(F.col("date"), start, end)), "timestamp", start, end)
 
 
+BATCH_PARTITIONS = ("date", "factory_id", "batch")
+
+
+def write_history_batch(rows: DataFrame, root: str, kind: str, batch_id: int) -> None:
+    """Rows of a micro-batch under date, site and batch; running the batch again replaces its folders."""
+    dated = rows.select("*", F.date_format("source_timestamp", "yyyy-MM-dd").alias("date"), F.lit(batch_id).alias("batch"))
+    (
+        spread_over_folders(dated, BATCH_PARTITIONS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*BATCH_PARTITIONS)
+        .parquet(f"{root}/{kind}")
+    )
+
+
+def read_history_batches(
+    spark: SparkSession, root: str, kind: str, factory: str | None = None, start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """What `write_history_batch` wrote, by source time; dates outside the range are not opened."""
+    path = f"{root}/{kind}"
+    found = spark.read.parquet(path).schema
+    kinds = {"date": T.StringType(), "factory_id": T.StringType(), "batch": T.LongType()}
+    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields]
+    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    if factory is not None:
+        df = df.where(F.col("factory_id") == factory)
+    return between(_where(df, _days(F.col("date"), start, end)), "source_timestamp", start, end)
+
+
+def drop_dates(spark: SparkSession, root: str, before: datetime) -> list[str]:
+    """Delete the `date=` folders that end at `before` or earlier; a listing, no data is read."""
+    fs, path = _folder(spark, root)
+    gone = []
+    for status in fs.listStatus(path) if fs.exists(path) else []:
+        name = status.getPath().getName()
+        if name.startswith("date=") and datetime.fromisoformat(name[5:]) + timedelta(days=1) <= before:
+            fs.delete(status.getPath(), True)
+            gone.append(f"{root}/{name}")
+    return sorted(gone)
+
+
 def rewrite_alive(spark: SparkSession, source: str, target: str, as_of_time, partitions=("factory_id", "date")) -> None:
     """Write the unexpired rows to a new location (L1 on a file table)."""
     alive = spark.read.parquet(source).where(F.col("ttl") > F.unix_seconds(clock.as_timestamp(as_of_time)))

@@ -2,9 +2,9 @@
 
     messages -> checked -> rejects (rows without an event time among them)
                         -> valid -> per micro-batch, first copy of each message:
-                             score -> processed/risk-score, processed/factory-state
+                             score by the rules in force -> processed/risk-score, processed/factory-state
                              infra -> processed/infra-state
-                             current state of both sections
+                             current state of both sections, newest receipt and publish times
                              winners per bucket -> history; every infra message -> history
                              messages behind their site's time -> late, besides all that
 
@@ -13,34 +13,95 @@ the hours that a batch touches: an id holds its message's time, so copies of a
 message lie in the same hour of the same site.
 
 All results of a micro-batch lie in folders of its own, so running a batch
-again replaces them.
+again replaces them. Histories lie under date and site, then batch: a read of a
+range opens its dates only, and a date whose rows have all expired is dropped
+as a folder. Rules are asked for at every batch, so a change needs no restart.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from plantpulse import contract as C
 from plantpulse.contract import Timing
-from plantpulse.operators import checks, risk, state
+from plantpulse.functions import clock, rules
+from plantpulse.operators import checks, risk, rulebook, state
+from plantpulse.operators.sliced import Series, as_of
 from plantpulse.operators.timeseries import downsample_last
+from plantpulse.plans import backward
 from plantpulse.sources import lake, latest
 from plantpulse.sources.settings import Settings
 from plantpulse.streaming import flows
 
-SCORED = ("risk_score", "risk_level", "top_causes", "calculation_version", "calculated_at", "event_timestamp", "processed_at")
+SCORED = (
+    "risk_score",
+    "risk_level",
+    "top_causes",
+    "score_delta_10m",
+    "displayed",
+    "calculation_version",
+    "calculated_at",
+    "event_timestamp",
+    "processed_at",
+)
+#: Rule states, or a function that reads them anew for every batch.
+Rules = DataFrame | Callable[[SparkSession], DataFrame]
+DELIVERY = ("latest_infra_at", "latest_raw_at", "last_publish_at")
 
 
-def results(messages: DataFrame, thresholds: DataFrame) -> dict[str, DataFrame]:
+def scored_messages(
+    messages: DataFrame,
+    thresholds: DataFrame,
+    states: DataFrame | None = None,
+    earlier: DataFrame | None = None,
+    slice_seconds: int = 3600,
+    timing: Timing = Timing(),
+    processed_at: Column | None = None,
+) -> DataFrame:
+    """Factory messages with score, causes and the change of the score in ten minutes.
+
+    Without rule states the fixed weights count. `earlier` has factory_id,
+    source_timestamp, message_id and risk_score of what is stored already.
+    """
+    factory = checks.apply_null_policy(checks.factory_rows(messages))
+    if states is None:
+        scored = risk.score_messages(factory, thresholds).withColumn("displayed", F.lit(None).cast("array<string>"))
+        if processed_at is not None:
+            scored = scored.withColumn("processed_at", processed_at)
+    else:
+        scored = rulebook.score_by_rules(factory, thresholds, states, slice_seconds, processed_at)
+    return with_delta(scored, earlier, slice_seconds, timing)
+
+
+def with_delta(scored: DataFrame, earlier: DataFrame | None, slice_seconds: int, timing: Timing = Timing()) -> DataFrame:
+    """score_delta_10m: score minus the newest score at least `delta_window` old.
+
+    Null if that one is older than twice the window. What a late message would
+    change about results already stored is left as it was.
+    """
+    series = Series(("factory_id",), ("source_timestamp", "message_id"), slice_seconds)
+    point = ("factory_id", "source_timestamp", "message_id")
+    past = scored.select(*point, "risk_score")
+    if earlier is not None:
+        past = past.unionByName(earlier.select(*point, "risk_score"))
+    past = past.select(*point, F.struct(F.col("source_timestamp").alias("at"), F.col("risk_score").alias("score")).alias("_past"))
+    then = F.col("source_timestamp") - F.make_dt_interval(secs=F.lit(timing.delta_window))
+    found = as_of(scored, past, series, "_past", left_time=then)
+    fresh = clock.age_seconds(F.col("source_timestamp"), F.col("_past.at")) <= 2 * timing.delta_window
+    return found.withColumn("score_delta_10m", F.when(fresh, F.col("risk_score") - F.col("_past.score"))).drop("_past")
+
+
+def results(messages: DataFrame, thresholds: DataFrame, scored: DataFrame | None = None) -> dict[str, DataFrame]:
     """The three processed datasets of a set of valid messages.
 
     The same function serves a micro-batch and a batch run over the archive.
     """
-    factory = checks.apply_null_policy(checks.factory_rows(messages))
-    scored = risk.score_messages(factory, thresholds)
+    scored = scored_messages(messages, thresholds) if scored is None else scored
     infra = checks.device_policy(checks.infra_rows(messages)).withColumn("event_timestamp", F.col("source_timestamp"))
     key = ("factory_id", *state.NEWEST, "event_timestamp")
     return {
@@ -59,6 +120,32 @@ def results(messages: DataFrame, thresholds: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+def stored_scores(batch: DataFrame, root: str, batch_id: int, timing: Timing = Timing()) -> DataFrame | None:
+    """Scores of earlier batches that the deltas of this one can need: only the hours concerned are read."""
+    path = f"{root}/processed/risk-score"
+    if lake.stored_batches(batch.sparkSession, path) is None:
+        return None
+    hours = F.sequence(
+        F.date_trunc("hour", clock.plus_seconds("source_timestamp", -2 * timing.delta_window)),
+        F.date_trunc("hour", "source_timestamp"),
+        F.expr("interval 1 hour"),
+    )
+    touched = batch.where("source_type = 'factory_state'").select("factory_id", F.date_trunc("hour", "source_timestamp").alias("source_timestamp")).distinct()
+    asked = touched.select("factory_id", F.explode(hours).alias("_hour")).distinct()
+    asked = lake.with_date_parts(asked, "_hour", hours=True).select(*lake.PROCESSED_PARTITIONS)
+    known = lake.stored_batches(batch.sparkSession, path, "source_timestamp timestamp, risk_score double")
+    return known.where(F.col("batch") != batch_id).join(asked, list(lake.PROCESSED_PARTITIONS), "left_semi")
+
+
+def delivery_times(messages: DataFrame, stored: DataFrame | None) -> DataFrame:
+    """Newest receipt of infra, of anything, and newest publish per site, so far."""
+    found = state.delivery_inputs(messages)
+    if stored is None:
+        return found
+    both = stored.select("factory_id", *DELIVERY).unionByName(found)
+    return both.groupBy("factory_id").agg(*[F.max(c).alias(c) for c in DELIVERY])
+
+
 def first_copies(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
     """Messages of the batch that no earlier batch has stored, one copy each.
 
@@ -79,17 +166,29 @@ def first_copies(batch: DataFrame, root: str, batch_id: int) -> DataFrame:
 
 
 def batch_writer(
-    root: str, settings: Settings, timing: Timing = Timing(), tasks: int | None = None
+    root: str,
+    settings: Settings,
+    timing: Timing = Timing(),
+    tasks: int | None = None,
+    states: Rules | None = None,
+    slice_seconds: int = 3600,
 ) -> Callable[[DataFrame, int], None]:
     """Handler of one micro-batch of valid messages.
 
-    Give `tasks` for a replay whose batches span very many hours.
+    Give `tasks` for a replay whose batches span very many hours, and `states`
+    (see `rulebook.rule_states`) to score by configured rules.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         seen = latest.read_before(batch, f"{root}/latest/seen", batch_id)
-        with flows.kept(first_copies(batch, root, batch_id)) as messages:
-            found = results(messages, settings.thresholds)
+        in_force = states(batch.sparkSession) if callable(states) else states
+        now = F.lit(datetime.now().astimezone()).cast("timestamp")
+        with flows.kept(first_copies(batch, root, batch_id)) as messages, flows.kept(
+            scored_messages(
+                messages, settings.thresholds, in_force, stored_scores(messages, root, batch_id, timing), slice_seconds, timing, now
+            ).select("factory_id", *state.NEWEST, *SCORED, "received_at", "sensor", "ai_result")
+        ) as scored:
+            found = results(messages, settings.thresholds, scored)
             for name, rows in found.items():
                 parts = lake.with_date_parts(rows, "event_timestamp", hours=True)
                 (
@@ -102,17 +201,16 @@ def batch_writer(
                 winners = downsample_last(
                     found[name], ["factory_id"], "source_timestamp", state.NEWEST, timing.history_bucket
                 )
-                flows.write_batch(winners, f"{root}/history/{kind}", batch_id)
+                lake.write_history_batch(winners, f"{root}/history", kind, batch_id)
             infra = found["infra-state"].select("factory_id", *state.NEWEST, "nodes", "workloads", "devices")
-            flows.write_batch(infra, f"{root}/history/INFRA", batch_id)
+            lake.write_history_batch(infra, f"{root}/history", "INFRA", batch_id)
             times = messages.select("factory_id", *state.NEWEST)
             _, late = flows.split_late(messages, times.limit(0) if seen is None else seen, timing)
             flows.write_batch(late, f"{root}/late", batch_id)
-            scored = risk.score_messages(
-                checks.apply_null_policy(checks.factory_rows(messages)), settings.thresholds
-            ).select("factory_id", *state.NEWEST, *SCORED, "sensor", "ai_result")
-            latest.upsert_latest(scored, f"{root}/latest/factory", batch_id)
+            latest.upsert_latest(scored.drop("received_at"), f"{root}/latest/factory", batch_id)
             latest.upsert_latest(found["infra-state"], f"{root}/latest/infra", batch_id)
+            delivered = latest.read_before(batch, f"{root}/latest/delivery", batch_id)
+            latest.write_version(delivery_times(messages, delivered), f"{root}/latest/delivery", batch_id)
             latest.upsert_latest(times, f"{root}/latest/seen", batch_id)
 
     return handle
@@ -125,6 +223,8 @@ def run(
     checkpoint: str,
     timing: Timing = Timing(),
     tasks: int | None = None,
+    states: Rules | None = None,
+    slice_seconds: int = 3600,
 ) -> list[StreamingQuery]:
     """Start the processor on a stream of parsed messages.
 
@@ -136,7 +236,9 @@ def run(
     rejects = flows.run_to_files(checks.rejected(checked), f"{root}/rejects", f"{checkpoint}/rejects")
     return [
         rejects,
-        flows.run_batches(good, batch_writer(root, settings, timing, tasks), f"{checkpoint}/processor"),
+        flows.run_batches(
+            good, batch_writer(root, settings, timing, tasks, states, slice_seconds), f"{checkpoint}/processor"
+        ),
     ]
 
 
@@ -154,6 +256,9 @@ def current_state(spark: SparkSession, root: str) -> DataFrame:
             "risk_score",
             "risk_level",
             "top_causes",
+            "score_delta_10m",
+            "displayed",
+            "calculation_version",
         ),
         infra.select(
             "factory_id",
@@ -170,14 +275,71 @@ def current_state(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
-def history(spark: SparkSession, root: str, kind: str, timing: Timing = Timing()) -> DataFrame:
-    """RISK, FACTORY or INFRA history.
+def latest_state(spark: SparkSession, root: str, as_of_time, timing: Timing = Timing()) -> DataFrame:
+    """LATEST with `pipeline_status` and `dashboard`, as they are at `as_of_time`.
 
-    A bucket cut by a batch border has one winner; INFRA holds every message.
+    A reading whose field the rules do not display is null in `shown`.
     """
-    rows = spark.read.parquet(f"{root}/history/{kind}").drop("batch", "bucket")
+    now = clock.as_timestamp(as_of_time)
+    inputs = state.with_delivery_status(latest.read_latest(spark, f"{root}/latest/delivery"), now, timing)
+    delivery = inputs.select(
+        "factory_id",
+        F.struct("status", "latest_infra_state_age_seconds", "latest_s3_raw_age_seconds").alias("pipeline_status"),
+    )
+    fields = [n for n, _ in C.MESSAGE_WEIGHTS]
+    displayed = lambda f: F.col("displayed").isNull() | F.array_contains("displayed", f)
+    reading = lambda f: F.col(f"{'sensor' if f in C.SENSOR.names else 'ai_result'}.{f}")
+    return (
+        current_state(spark, root)
+        .join(delivery, "factory_id", "left")
+        .withColumns(
+            {
+                "shown": F.struct(*[F.when(displayed(f), reading(f)).alias(f) for f in fields]),
+                "dashboard": F.struct(
+                    rules.level_label(F.col("risk_level")).alias("display_status"),
+                    risk.status_summary_text(F.col("top_causes"), F.col("risk_level")).alias("summary"),
+                    F.col("updated_at").alias("updated_at"),
+                ),
+            }
+        )
+    )
+
+
+def history(
+    spark: SparkSession,
+    root: str,
+    kind: str,
+    timing: Timing = Timing(),
+    factory: str | None = None,
+    start: datetime | None = None,
+    end: datetime | None = None,
+) -> DataFrame:
+    """RISK, FACTORY or INFRA history, of one site or range if asked for.
+
+    A bucket cut by a batch border has one winner; INFRA holds every message,
+    and its status needs the message before, so a range is read from there.
+    """
+    def stored(low: datetime | None, high: datetime | None) -> DataFrame:
+        rows = lake.read_history_batches(spark, f"{root}/history", kind, factory, low, high)
+        return rows.drop("batch", "date", "bucket")
+
     if kind == "INFRA":
-        return state.infra_history(rows, timing, slice_seconds=timing.history_bucket * 120)
-    last = downsample_last(rows, ["factory_id"], "source_timestamp", state.NEWEST, timing.history_bucket)
-    make = state.risk_history if kind == "RISK" else state.factory_history
-    return make(last, timing)
+        low = None
+        if start is not None:
+            oldest, _ = backward.reach(lambda a, b: stored(a, b))
+            low = backward.earlier_start(stored, start, 1, oldest) if oldest and oldest < start else start
+        made = state.infra_history(stored(low, end), timing, slice_seconds=timing.history_bucket * 120)
+    else:
+        low = None if start is None else start - timedelta(seconds=timing.history_bucket)
+        last = downsample_last(stored(low, end), ["factory_id"], "source_timestamp", state.NEWEST, timing.history_bucket)
+        made = (state.risk_history if kind == "RISK" else state.factory_history)(last, timing)
+    return lake.between(made, "timestamp", start, end)
+
+
+def expire_history(spark: SparkSession, root: str, as_of_time: datetime, ttl_seconds: int = C.HISTORY_TTL_SECONDS) -> list[str]:
+    """Drop the dates whose rows have all outlived `ttl_seconds`; returns their folders.
+
+    Rows of the border date that have expired are left to readers, which go by `ttl`.
+    """
+    cut = as_of_time - timedelta(seconds=ttl_seconds)
+    return [f for kind in C.HISTORY_KINDS for f in lake.drop_dates(spark, f"{root}/history/{kind}", cut)]
