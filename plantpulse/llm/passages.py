@@ -56,10 +56,10 @@ SPARE = 8
 #: Odd multipliers of the two rolling hashes.
 STEPS = (0x9E3779B97F4A7C15, 0xA0761D6478BD642F)
 
-SLABS = "slab long, words long, ids array<long>, sizes array<long>, digests array<binary>, data binary"
+SLABS = "slab long, words long, ids array<long>, sizes array<long>, digests array<binary>, settled array<int>, data binary"
 _SLABS = pa.schema(
     [("slab", pa.int64()), ("words", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
-     ("digests", pa.list_(pa.binary())), ("data", pa.binary())]
+     ("digests", pa.list_(pa.binary())), ("settled", pa.list_(pa.int32())), ("data", pa.binary())]
 )
 
 
@@ -68,16 +68,23 @@ def block_words(window: int) -> int:
     return (window + 1) // 2
 
 
-def _slabs(window: int):
+def _slabs(window: int, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             data, ids = [t.encode() for t in texts(batch)], longs(batch, "doc_id")
-            for low, high in slabs(data, SLAB):
+            for low, high in slabs(data, most):
                 split = [t.split() for t in data[low:high]]
                 # Texts that are too short for a window lose nothing and have no digest.
                 digests = [xxhash.xxh3_128_digest(b" ".join(w)) if len(w) >= window else None for w in split]
-                row = (number, sum(map(len, split)), ids[low:high], [len(t) for t in data[low:high]], digests,
+                # Of copies within a slab only the smallest id asks; the others go for certain.
+                own, first = ids[low:high].tolist(), {}
+                for i, d in zip(own, digests, strict=True):
+                    first[d] = min(first.get(d, i), i)
+                settled = [n for n, d in enumerate(digests) if d is not None and own[n] > first[d]]
+                for n in settled:
+                    digests[n] = None
+                row = (number, sum(map(len, split)), own, [len(t) for t in data[low:high]], digests, settled,
                        zstandard.ZstdCompressor(level=3).compress(b"".join(data[low:high])))
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, _SLABS, strict=True)], schema=_SLABS)
                 number += 1
@@ -169,7 +176,7 @@ def _ranges(distinct: np.ndarray, range_bits: int) -> tuple[np.ndarray, np.ndarr
     return own[first], first, np.append(first[1:], len(own))
 
 
-def _probes(window: int, bits: int, range_bits: int):
+def _probes(window: int, bits: int, range_bits: int, crowd: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
@@ -179,7 +186,7 @@ def _probes(window: int, bits: int, range_bits: int):
                 if not len(distinct):
                     continue
                 block = np.logical_or.reduceat(slab.is_block(place), first)
-                heavy = np.diff(first, append=len(place)) > CROWD
+                heavy = np.diff(first, append=len(place)) > crowd
                 values = (distinct << np.uint64(range_bits)) >> np.uint64(range_bits + 64 - bits)
                 out = [
                     (r, row["slab"], e - s, _pack(values[s:e], block[s:e], heavy[s:e]))
@@ -194,7 +201,7 @@ def _probes(window: int, bits: int, range_bits: int):
 _HITS = pa.schema([("slab", pa.int64()), ("range", pa.int32()), ("hits", pa.binary())])
 
 
-def _joined(rows: list[tuple[int, int, bytes]], range_: int) -> pa.RecordBatch | None:
+def _joined(rows: list[tuple[int, int, bytes]], range_: int, crowd: int) -> pa.RecordBatch | None:
     """Which hashes of (slab, number, sent) equal a block of another slab, and which of those are crowded."""
     parts = [_unpack(sent, number) for _, number, sent in rows]
     values, block, heavy = (np.concatenate(x) for x in zip(*parts, strict=True))
@@ -206,7 +213,7 @@ def _joined(rows: list[tuple[int, int, bytes]], range_: int) -> pa.RecordBatch |
     first = np.flatnonzero(new)
     held = np.diff(first, append=len(order))
     hit = (held > 1) & np.logical_or.reduceat(block[order], first)
-    crowded = hit & ((held > CROWD) | np.logical_or.reduceat(heavy[order], first))
+    crowded = hit & ((held > crowd) | np.logical_or.reduceat(heavy[order], first))
     answer = np.zeros((2, len(order)), dtype=bool)
     answer[:, order] = np.repeat(np.stack([hit, crowded]), held, axis=1)
     out, end = [], 0
@@ -220,23 +227,27 @@ def _joined(rows: list[tuple[int, int, bytes]], range_: int) -> pa.RecordBatch |
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), _HITS, strict=True)], schema=_HITS)
 
 
-def _hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hits(crowd: int):
     """Rows come in order of their range; one range is joined at a time."""
-    last, held = None, []
-    for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("range", "slab", "number", "sent"))
-        for range_, slab, number, sent in zip(*columns, strict=True):
-            if range_ != last and held:
-                found = _joined(held, last)
-                if found is not None:
-                    yield found
-                held = []
-            last = range_
-            held.append((slab, number, sent))
-    if held:
-        found = _joined(held, last)
-        if found is not None:
-            yield found
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, held = None, []
+        for batch in batches:
+            columns = (batch.column(c).to_pylist() for c in ("range", "slab", "number", "sent"))
+            for range_, slab, number, sent in zip(*columns, strict=True):
+                if range_ != last and held:
+                    found = _joined(held, last, crowd)
+                    if found is not None:
+                        yield found
+                    held = []
+                last = range_
+                held.append((slab, number, sent))
+        if held:
+            found = _joined(held, last, crowd)
+            if found is not None:
+                yield found
+
+    return run
 
 
 def _flags(distinct: np.ndarray, marks: list[dict] | None, range_bits: int) -> np.ndarray:
@@ -261,7 +272,7 @@ def _occurrences(window: int, range_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
-                row = {c: batch.column(c)[n].as_py() for c in ("slab", "ids", "sizes", "data", "marks", "copies")}
+                row = {c: batch.column(c)[n].as_py() for c in ("slab", "ids", "sizes", "settled", "data", "marks", "copies")}
                 yield from _slab_occurrences(Slab(row, window), row, range_bits)
 
     return run
@@ -273,7 +284,7 @@ def _slab_occurrences(slab: Slab, row: dict, range_bits: int) -> Iterator[pa.Rec
     if not len(distinct):
         return
     fresh = np.ones(len(slab.texts), dtype=bool)
-    fresh[np.array(row["copies"] or [], dtype=np.int64)] = False
+    fresh[np.array(row["settled"] + (row["copies"] or []), dtype=np.int64)] = False
     held = np.diff(first, append=len(place))
     hit, crowded = np.repeat(_flags(distinct, row["marks"], range_bits), held, axis=1)
     # What other slabs do not hold may still come again here.
@@ -402,7 +413,7 @@ def _cut(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for n in range(batch.num_rows):
-                row = {c: batch.column(c)[n].as_py() for c in ("ids", "sizes", "data", "copies")}
+                row = {c: batch.column(c)[n].as_py() for c in ("ids", "sizes", "settled", "data", "copies")}
                 covered = batch.column("covered")[n]
                 data = zstandard.ZstdDecompressor().decompress(row["data"])
                 words, end = [], 0
@@ -418,7 +429,7 @@ def _cut(window: int):
                     np.add.at(change, start, 1)
                     np.add.at(change, start + window, -1)
                 gone = np.cumsum(change[:-1]) > 0
-                for copy in row["copies"] or ():
+                for copy in row["settled"] + (row["copies"] or []):
                     gone[first[copy] : first[copy + 1]] = True
                 out = []
                 for d, own in enumerate(words):
@@ -436,13 +447,14 @@ def _cut(window: int):
     return run
 
 
-def drop_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def drop_passages(docs: DataFrame, window: int = WINDOW, slab: int = SLAB, crowd: int = CROWD) -> DataFrame:
     """Every row's doc_id, n_words, n_removed, spans (removed word ranges) and kept_text."""
     ways = window - block_words(window) + 1
     if not 1 < window or ways > 16:
         raise ValueError("window must have 2 to 31 words")
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    table = kept(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(_slabs(window), SLABS))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    table = kept(rows.mapInArrow(_slabs(window, slab), SLABS))
     bits, range_bits = _bits(table.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0], partitions)
 
     rows = table.select("slab", F.posexplode(F.arrays_zip("ids", "digests")).alias("at", "x")).select("slab", "at", "x.ids", "x.digests")
@@ -451,12 +463,12 @@ def drop_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     copies = kept(rows.join(originals, "digests").filter(F.col("ids") > F.col("first")).groupBy("slab").agg(F.collect_list("at").alias("copies")))
 
     part = F.shiftright(F.col("range").cast("long") * F.lit(partitions), range_bits).cast("int")
-    texts_only = table.select("slab", "ids", "sizes", "data")
+    texts_only = table.select("slab", "ids", "sizes", "settled", "data")
     hits = (
-        texts_only.mapInArrow(_probes(window, bits, range_bits), SENT)
+        texts_only.mapInArrow(_probes(window, bits, range_bits, crowd), SENT)
         .repartitionById(partitions, part)
         .sortWithinPartitions("range")
-        .mapInArrow(_hits, "slab long, range int, hits binary")
+        .mapInArrow(_hits(crowd), "slab long, range int, hits binary")
     )
     marks = kept(hits.groupBy("slab").agg(F.collect_list(F.struct("range", "hits")).alias("marks")))
 
