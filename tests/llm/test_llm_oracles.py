@@ -20,4 +20,4 @@ def test_same_rows(spark, sf_dir, con, name):
 def test_all_are_registered():
     found = contract.queries()
     assert set(catalog.queries()) | {"pipeline"} <= set(found)
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in catalog.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in catalog.queries()}
