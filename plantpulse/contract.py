@@ -271,4 +271,6 @@ class Timing:
 
 
 HISTORY_TTL_SECONDS = 86400
+# A message may carry a time that is this much later than its receipt.
+CLOCK_AHEAD_SECONDS = 3600
 TTL_CHOICES = (7200, 86400, 604800)

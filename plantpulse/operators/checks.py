@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from plantpulse import contract as C
 from plantpulse.functions import clock, text
+from plantpulse.operators import distributions
 from plantpulse.operators.sliced import Series, state_runs
 from plantpulse.operators.gaps import missing_buckets
 
@@ -170,6 +171,9 @@ def _with_errors(df: DataFrame, nodes: Column | None) -> DataFrame:
             F.array().cast("array<string>")
         )
         errors = F.concat(broken, errors)
+    if "received_at" in df.columns and df.schema["received_at"].dataType == T.TimestampType():
+        ahead = clock.age_seconds("source_timestamp", "received_at") > C.CLOCK_AHEAD_SECONDS
+        errors = F.concat(errors, F.when(ahead, F.array(F.lit("clock_ahead"))).otherwise(F.array().cast("array<string>")))
     return df.withColumn("errors", errors)
 
 
@@ -245,14 +249,8 @@ def exact_duplicates(df: DataFrame, keys: Sequence[str] = ("message_id",)) -> Da
 
 def series_median(buckets: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Median of the non-zero bucket counts of each series, by way of a histogram."""
-    histogram = (
-        buckets.where(F.col("sample_count") > 0)
-        .groupBy(*keys, "sample_count")
-        .agg(F.count(F.lit(1)).alias("freq"))
-    )
-    return histogram.groupBy(*keys).agg(
-        F.percentile("sample_count", F.lit(0.5), F.col("freq")).alias("median_count")
-    )
+    counts = distributions.histogram(buckets.where(F.col("sample_count") > 0), keys, {"count": F.col("sample_count")}, 0)
+    return distributions.statistics(counts, keys, {"median_count": 0.5}, resolution=0).select(*keys, "median_count")
 
 
 def duplicate_write_candidates(buckets: DataFrame, keys: Sequence[str], factor: float = 2.0) -> DataFrame:

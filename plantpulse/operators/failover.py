@@ -26,31 +26,56 @@ def phase_join(samples: DataFrame, tests: DataFrame, ts: str = "ts") -> DataFram
     return interval_join(samples, tests, ["factory_id"], ts)
 
 
-def _moments(observed: DataFrame, preferred: str, failover: str) -> DataFrame:
+def with_nodes(df: DataFrame, nodes: DataFrame | None, preferred: str, failover: str) -> DataFrame:
+    """preferred_node and failover_node of each row's site; a site without its own gets the given ones."""
+    if nodes is None:
+        return df.withColumns({"preferred_node": F.lit(preferred), "failover_node": F.lit(failover)})
+    own = nodes.select("factory_id", F.col("preferred_node").alias("_p"), F.col("failover_node").alias("_f"))
+    return df.join(own, "factory_id", "left").select(
+        *df.columns,
+        F.coalesce("_p", F.lit(preferred)).alias("preferred_node"),
+        F.coalesce("_f", F.lit(failover)).alias("failover_node"),
+    )
+
+
+def _targets(observed: DataFrame) -> DataFrame:
+    """One row per test, observation time and target, however often it was observed."""
+    runs_on = lambda node: (F.col("pod_status") == "Running") & (F.col("pod_node") == F.col(node))
+    return observed.groupBy(*TEST_KEYS, "ts", "pod").agg(
+        F.bool_and("ready").alias("ready"),
+        F.bool_or(runs_on("failover_node")).alias("on_failover"),
+        F.bool_or(runs_on("preferred_node")).alias("on_preferred"),
+    )
+
+
+def _moments(observed: DataFrame) -> DataFrame:
     """One row per test and observation time: node state and where targets run."""
-    runs_on = lambda node: F.count_if((F.col("pod_status") == "Running") & (F.col("pod_node") == node))
-    return observed.groupBy(*TEST_KEYS, "ts").agg(
+    return _targets(observed).groupBy(*TEST_KEYS, "ts").agg(
         F.bool_and("ready").alias("ready"),
         F.count(F.lit(1)).alias("targets"),
-        runs_on(failover).alias("on_failover"),
-        runs_on(preferred).alias("on_preferred"),
+        F.count_if("on_failover").alias("on_failover"),
+        F.count_if("on_preferred").alias("on_preferred"),
     )
 
 
 def failover_timeline(
-    observations: DataFrame, tests: DataFrame, preferred: str = "worker2", failover: str = "worker1"
+    observations: DataFrame,
+    tests: DataFrame,
+    preferred: str = "worker2",
+    failover: str = "worker1",
+    nodes: DataFrame | None = None,
 ) -> DataFrame:
     """When each phase of a drill was first seen, each after the one before.
 
     fault first seen -> node not ready -> all targets on the failover node ->
     node ready -> all targets back.  A phase never seen leaves null, and so do
-    the phases after it.
+    the phases after it. `nodes` has preferred_node and failover_node per site.
 
     Observations are folded to one row per test and moment, then "phase
     reached by now" is a chain of running maxima over one ordering: one scan
     and one sort for all phases.  A drill lasts minutes, so its moments are few.
     """
-    moments = _moments(phase_join(observations, tests), preferred, failover)
+    moments = _moments(with_nodes(phase_join(observations, tests), nodes, preferred, failover))
     conditions = {
         "fault_seen_at": ~F.col("ready") | (F.col("on_preferred") < F.col("targets")),
         "not_ready_at": ~F.col("ready"),
@@ -87,14 +112,22 @@ def holdoff_filter(samples_in_tests: DataFrame, timing: Timing = Timing(), ts: s
 
 
 def failover_verdict(
-    observations: DataFrame, tests: DataFrame, expected_node: str, timing: Timing = Timing(), targets: int = 3
+    observations: DataFrame,
+    tests: DataFrame,
+    expected_node: str = "worker1",
+    timing: Timing = Timing(),
+    nodes: DataFrame | None = None,
 ) -> DataFrame:
-    """Success if, after the hold-off, all targets ran on the expected node at once."""
-    settled = holdoff_filter(phase_join(observations, tests), timing)
-    placed = (F.col("pod_status") == "Running") & (F.col("pod_node") == expected_node)
-    moments = settled.groupBy("test_id", "ts").agg(F.count_if(placed).alias("placed"))
-    good = moments.groupBy("test_id").agg(
-        F.count(F.lit(1)).alias("moments"), F.count_if(F.col("placed") == targets).alias("good_moments")
+    """Success if, after the hold-off, all targets of the site ran on its expected node at once.
+
+    The targets of a drill are the distinct ones observed in it; the expected
+    node is the failover node of the site in `nodes`, else `expected_node`.
+    """
+    inside = with_nodes(phase_join(observations, tests), nodes, expected_node, expected_node)
+    known = inside.select("test_id", "pod").distinct().groupBy("test_id").agg(F.count(F.lit(1)).alias("targets"))
+    moments = _targets(holdoff_filter(inside, timing)).groupBy("test_id", "ts").agg(F.count_if("on_failover").alias("placed"))
+    good = moments.join(known, "test_id").groupBy("test_id").agg(
+        F.count(F.lit(1)).alias("moments"), F.count_if(F.col("placed") == F.col("targets")).alias("good_moments")
     )
     return tests.select("test_id", "factory_id", "test_type").join(good, "test_id", "left").select(
         "test_id",

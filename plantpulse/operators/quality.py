@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from plantpulse.contract import Timing
 from plantpulse.functions import clock
+from plantpulse.operators import distributions
 
 # Scores that differ by less are equal.
 SCORE_NOISE = 1e-9
@@ -84,26 +85,25 @@ def latency_stats(
     """avg, p50, p95, max per stage, and the shares inside the two targets.
 
     Delays become a histogram (to `resolution` decimals) before anything is
-    gathered per key, so exact percentiles need one row per distinct delay
-    and not one per message.
+    gathered per key, and percentiles come from running counts over its bins.
     """
-    delays = F.array(
-        *[F.struct(F.lit(n).alias("stage"), F.round(c, resolution).alias("delay")) for n, c in stage_delays(df, processed_at).items()]
-    )
-    histogram = (
-        df.select(*keys, F.inline(delays)).groupBy(*keys, "stage", "delay").agg(F.count(F.lit(1)).alias("n"))
-    )
-    total = F.sum("n")
-    within = lambda low, high: F.sum(F.when(F.col("delay").between(low, high), F.col("n")).otherwise(0)) / total
-    return histogram.groupBy(*keys, "stage").agg(
-        total.alias("messages"),
-        (F.sum(F.col("delay") * F.col("n")) / total).alias("mean_delay"),
-        F.percentile("delay", F.lit(0.5), F.col("n")).alias("p50"),
-        F.percentile("delay", F.lit(0.95), F.col("n")).alias("p95"),
-        F.max("delay").alias("max_delay"),
-        within(timing.display_delay_from, timing.display_delay_to).alias("share_normal_target"),
-        within(timing.detect_from, timing.detect_to).alias("share_fault_target"),
+    counts = distributions.histogram(df, keys, stage_delays(df, processed_at), resolution)
+    return delay_statistics(counts, keys, timing, resolution)
+
+
+def delay_statistics(counts: DataFrame, keys: Sequence[str], timing: Timing = Timing(), resolution: int = 3) -> DataFrame:
+    """The same from histograms, for instance from stored hours (`distributions.merged`)."""
+    found = distributions.statistics(
+        counts,
+        keys,
+        {"p50": 0.5, "p95": 0.95},
+        {
+            "share_normal_target": (timing.display_delay_from, timing.display_delay_to),
+            "share_fault_target": (timing.detect_from, timing.detect_to),
+        },
+        resolution,
     )
+    return found.withColumnsRenamed({"mean": "mean_delay", "max": "max_delay"})
 
 
 def except_messages(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -84,11 +84,13 @@ def weighted_contributions(df: DataFrame, weights: Mapping[str, float] | Sequenc
     return with_causes(df, message_causes(weights))
 
 
-def anomaly_flags(as_of_time: Column, timing: Timing = Timing()) -> dict[str, Column]:
-    """The eight anomalies as booleans over a combined state row.
+def anomaly_flags(as_of_time: Column, timing: Timing = Timing(), publisher: str | None = None) -> dict[str, Column]:
+    """The anomalies as booleans over a combined state row.
 
     Expects sensor, thresholds, last_factory_state_at, last_infra_state_at,
-    heartbeat, nodes and devices; a missing section counts as no data.
+    heartbeat, nodes and devices; a missing section counts as no data. With
+    `publisher`, the workload that sends a site's data, also workloads: the data
+    plane is down while that workload is not running and ready.
     """
     col = F.col
     stale = stale_flags(as_of_time, timing)
@@ -97,6 +99,8 @@ def anomaly_flags(as_of_time: Column, timing: Timing = Timing()) -> dict[str, Co
     camera = col("devices")["camera"]["available"]
     mic = col("devices")["microphone"]["available"]
     never = col("last_infra_state_at").isNull()
+    down = lambda w: (w["name"] == publisher) & ((w["status"] != "Running") | ~w["ready"])
+    data_plane = {} if publisher is None else {"data_plane_down": known(F.exists("workloads", down))}
     return {
         "temp_high": known(col("sensor.temperature_celsius_avg") > col("temperature_warning")),
         "humidity_high": known(
@@ -109,6 +113,7 @@ def anomaly_flags(as_of_time: Column, timing: Timing = Timing()) -> dict[str, Co
         "mic_down": known(~mic) | stale["mic_down"],
         "pipeline_delay": ~never & stale["pipeline_delay"],
         "pipeline_no_data": never,
+        **data_plane,
     }
 
 
@@ -136,7 +141,9 @@ def stale_causes(state: DataFrame, as_of_time, timing: Timing = Timing()) -> Dat
     )
 
 
-def anomaly_causes(as_of_time, timing: Timing = Timing(), weights: Mapping[str, float] = CAUSE_WEIGHTS) -> list[Cause]:
+def anomaly_causes(
+    as_of_time, timing: Timing = Timing(), weights: Mapping[str, float] = CAUSE_WEIGHTS, publisher: str | None = None
+) -> list[Cause]:
     """The fixed-weight rule set: every present anomaly adds its weight."""
     now = clock.as_timestamp(as_of_time)
     on_site = ("temp_high", "humidity_high", "sensor_no_data")
@@ -148,7 +155,7 @@ def anomaly_causes(as_of_time, timing: Timing = Timing(), weights: Mapping[str,
             since=F.col("last_factory_state_at" if code in on_site else "last_infra_state_at"),
             present=flag,
         )
-        for code, flag in anomaly_flags(now, timing).items()
+        for code, flag in anomaly_flags(now, timing, publisher).items()
     ]
 
 

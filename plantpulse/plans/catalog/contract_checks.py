@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from plantpulse import contract as C
 from plantpulse.functions import clock
-from plantpulse.operators import checks, directory, quality, risk
+from plantpulse.operators import checks, directory, distributions, quality, reconcile, risk
 from plantpulse.operators import timeseries as ts
 from plantpulse.plans import views
 from plantpulse.plans.catalog.ingest import bodies, scored
@@ -389,6 +389,39 @@ def a18(spark, d):
     )
 
 
+_STAGES = ("source_to_publish", "publish_to_receive", "source_to_receive", "source_to_processed")
+
+
+@query(
+    "a18_stored_hours",
+    f"""WITH {MSG}, d AS (SELECT factory_id, unnest({list(_STAGES)}) AS stage,
+      unnest([{age_sql('published_at', 'source_timestamp')}, {age_sql('received_at', 'published_at')}, {age_sql('received_at', 'source_timestamp')},
+        {age_sql('received_at', 'source_timestamp')} + event_id % 1009 / 8]) AS delay FROM msg
+      WHERE source_timestamp >= TIMESTAMP '2024-01-08' AND source_timestamp < TIMESTAMP '2024-01-22')
+    SELECT factory_id, stage, count(*) AS messages, round(avg(delay), 6) AS mean_delay, round(quantile_cont(delay, 0.5), 6) AS p50,
+    round(quantile_cont(delay, 0.95), 6) AS p95, round(quantile_cont(delay, 0.99), 6) AS p99, max(delay) AS max_delay FROM d GROUP BY ALL""",
+)
+def a18_stored(spark, d):
+    # Hours are stored once; two weeks of percentiles come from them, not from messages.
+    root = scratch(spark)
+    took = F.make_dt_interval(secs=(F.col("event_id") % 1009 / 8).cast("decimal(18,6)"))
+    rows = messages(spark, d).withColumn("processed_at", F.col("received_at") + took)
+    hours = distributions.hourly_histogram(rows, ["factory_id"], quality.stage_delays(rows, "processed_at"), "source_timestamp")
+    hours.hint("rebalance", "date").write.partitionBy("date").parquet(root)
+    weeks = spark.read.schema(hours.schema).parquet(root).where("date >= '2024-01-08' AND date < '2024-01-22'")
+    out = distributions.statistics(
+        distributions.merged(weeks, ["factory_id"]), ["factory_id"], {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    )
+    return out.select(
+        "factory_id",
+        "stage",
+        "messages",
+        r6("mean").alias("mean_delay"),
+        *[r6(p).alias(p) for p in ("p50", "p95", "p99")],
+        F.col("max").alias("max_delay"),
+    )
+
+
 @query(
     "u3_except_messages",
     f"WITH {MSG} SELECT message_id FROM msg WHERE source_type = 'infra_state'",
@@ -423,6 +456,32 @@ def j5(spark, d):
     return parts[0].unionByName(parts[1]).groupBy("direction", "outcome").agg(F.count(F.lit(1)).alias("messages"))
 
 
+@query(
+    "j5_reconcile_branches",
+    f"""WITH {SCORED}, x AS (SELECT message_id, event_id, source_type, source_timestamp AS t FROM msg)
+    SELECT message_id, CASE WHEN event_id % 13 = 0 THEN 'contradicting' WHEN event_id % 7 = 0 THEN 'missing'
+      WHEN event_id % 11 = 0 THEN 'extra' ELSE 'differing' END AS outcome FROM x
+    WHERE source_type = 'factory_state' AND t >= TIMESTAMP '2024-01-12' AND t < TIMESTAMP '2024-01-14'
+      AND (event_id % 13 = 0 OR event_id % 7 = 0 OR event_id % 11 = 0 OR event_id % 5 = 0)""",
+)
+def j5_branches(spark, d):
+    # The second archive went wrong on two days: lost, added, changed and contradicting messages.
+    rows = scored(spark, d).select("factory_id", "source_timestamp", "message_id", "event_id", F.round("risk_score", 6).alias("risk_score"))
+    bad = F.col("source_timestamp").between("2024-01-12", "2024-01-13 23:59:59.999999")
+    every = lambda n: bad & (F.col("event_id") % n == 0)
+    twice = F.when(every(13), F.array(F.lit(0.0), F.lit(1.0))).otherwise(F.array(F.lit(0.0)))
+    first = rows.where(~every(11) | every(13) | every(7))
+    second = (
+        rows.where(~every(7) | every(13))
+        .withColumn("_more", F.explode(twice))
+        .withColumn("risk_score", F.col("risk_score") + F.col("_more") + F.when(every(5) & ~every(13), 1.0).otherwise(0.0))
+    )
+    repeated = first.unionByName(first.where("event_id % 10 = 0"))
+    return reconcile.reconcile_branches(
+        reconcile.prepared(repeated, ["risk_score"]), reconcile.prepared(second, ["risk_score"])
+    )
+
+
 NEW_WEIGHTS = {**dict(C.MESSAGE_WEIGHTS), "fall_score": 20.0}
 
 

@@ -115,6 +115,25 @@ def f1(spark, d):
     return out.select("test_id", *[iso(p).alias(p) for p in failover.PHASES])
 
 
+# (site, preferred node, failover node); the third site has none of its own.
+OWN_NODES = (("factory-a", "worker2", "worker1"), ("factory-b", "worker1", "worker2"))
+_OWN = f"own AS (SELECT * FROM (VALUES {', '.join(map(str, OWN_NODES))}) AS t(site, pref, fail))"
+
+
+@query(
+    "f4_verdict_own_nodes",
+    f"""WITH {_MOMENTS}, {_OWN}, v AS (SELECT test_id, ts, count(DISTINCT pod) FILTER (pod_status = 'Running' AND pod_node = coalesce(fail, 'worker1')) AS placed
+      FROM ph LEFT JOIN own ON ph.factory_id = site WHERE {age_sql('ts', 't_start')} >= {TIMING.holdoff} GROUP BY ALL)
+    SELECT test_id, factory_id, test_type, count(ts) AS moments, count(*) FILTER (placed = 3) AS good_moments,
+    count(*) FILTER (placed = 3) > 0 AS success FROM tst LEFT JOIN v USING (test_id) GROUP BY ALL""",
+)
+def f4_own(spark, d):
+    # Every observation arrives twice; targets are counted once.
+    seen = observations(spark, d)
+    nodes = spark.createDataFrame(list(OWN_NODES), "factory_id string, preferred_node string, failover_node string")
+    return failover.failover_verdict(seen.unionByName(seen), tests(spark), "worker1", TIMING, nodes)
+
+
 _DURATIONS = {
     "detect_seconds": ("not_ready_at", "fault_seen_at"),
     "failover_seconds": ("on_failover_at", "not_ready_at"),

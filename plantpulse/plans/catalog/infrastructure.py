@@ -78,6 +78,9 @@ def a20(spark, d):
     return out.select(*[r6(c).alias(c) if c in means else c for c in out.columns])
 
 
+LOOKBACK = 60 * metrics.LOOKBACK_SECONDS
+
+
 def up_samples(spark, d):
     """`up` samples of the agents: 1 while the node is ready."""
     nodes = metrics.node_rows(infra(spark, d))
@@ -93,11 +96,68 @@ def up_samples(spark, d):
 
 @query(
     "a21_up_target_count",
-    f"""WITH {INF}, l AS (SELECT factory_id, node_id, arg_max(ready, ts) AS up FROM node WHERE ts <= TIMESTAMP '2024-01-20' GROUP BY ALL)
+    f"""WITH {INF}, l AS (SELECT factory_id, node_id, arg_max(ready, ts) AS up FROM node
+      WHERE ts <= TIMESTAMP '2024-01-20' AND ts > TIMESTAMP '2024-01-20' - to_seconds({LOOKBACK}) GROUP BY ALL)
     SELECT factory_id AS cluster, count(*) AS targets, count(*) FILTER (up) AS up_targets FROM l GROUP BY 1""",
 )
 def a21(spark, d):
-    return metrics.up_target_count(up_samples(spark, d), "2024-01-20 00:00:00")
+    return metrics.up_target_count(up_samples(spark, d), "2024-01-20 00:00:00", lookback_seconds=LOOKBACK)
+
+
+def ending_samples(spark, d):
+    """`up` samples of which one target stops without a word, and one with a marker."""
+    ends = F.when((F.col("labels")["instance"] == "worker1") & (F.col("ts") > "2024-01-12"), "silent").when(
+        (F.col("labels")["instance"] == "worker2") & (F.col("ts") > "2024-01-16"), "marked"
+    )
+    rows = up_samples(spark, d).withColumn("_end", ends)
+    kept = rows.where("_end is null").drop("_end")
+    marked = rows.where("_end = 'marked'").groupBy("metric", "labels.cluster", "labels.job", "labels.instance").agg(F.min("ts").alias("ts"))
+    marks = marked.select(
+        "metric",
+        F.create_map(*[x for n in metrics.LABELS for x in (F.lit(n), F.col(n))]).alias("labels"),
+        "ts",
+        F.lit(float("nan")).alias("value"),
+    )
+    return kept.unionByName(marks)
+
+
+_ENDING = f"""{INF}, sm AS (SELECT factory_id, node_id, ts, ready::INT::DOUBLE AS v FROM node
+  WHERE NOT (node_id = 'worker1' AND ts > TIMESTAMP '2024-01-12') AND NOT (node_id = 'worker2' AND ts > TIMESTAMP '2024-01-16')
+  UNION ALL SELECT factory_id, node_id, min(ts), NULL FROM node WHERE node_id = 'worker2' AND ts > TIMESTAMP '2024-01-16' GROUP BY ALL)"""
+
+
+@query(
+    "a21_ended_targets",
+    f"""WITH {_ENDING}, m AS (SELECT unnest([TIMESTAMP '2024-01-12 02:00:00', TIMESTAMP '2024-01-16 06:00:00', TIMESTAMP '2024-01-20']) AS moment),
+    l AS (SELECT moment, factory_id, node_id, v FROM m JOIN sm ON ts <= moment AND ts > moment - to_seconds({LOOKBACK})
+      QUALIFY row_number() OVER (PARTITION BY moment, factory_id, node_id ORDER BY ts DESC) = 1)
+    SELECT {iso_sql('l.moment')} AS moment, factory_id AS cluster, count(*) AS targets, count(*) FILTER (v = 1) AS up_targets FROM l
+    WHERE v IS NOT NULL GROUP BY l.moment, factory_id""",
+)
+def a21_ended(spark, d):
+    rows = ending_samples(spark, d)
+    moments = ("2024-01-12 02:00:00", "2024-01-16 06:00:00", "2024-01-20 00:00:00")
+    parts = [
+        metrics.up_target_count(rows, at, lookback_seconds=LOOKBACK).select(
+            iso(F.lit(at).cast("timestamp")).alias("moment"), "cluster", "targets", "up_targets"
+        )
+        for at in moments
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query(
+    "a22_values_at_steps",
+    f"""WITH {_ENDING}, b AS (SELECT factory_id, node_id, CAST(floor(epoch_us(min(ts)) / 7200e6) AS BIGINT) AS lo,
+      CAST(ceil((epoch_us(max(ts)) + {LOOKBACK * 1000000}) / 7200e6) AS BIGINT) AS hi FROM sm GROUP BY ALL),
+    g AS (SELECT factory_id, node_id, make_timestamp(unnest(generate_series(lo, hi)) * 7200000000) AS step FROM b),
+    a AS (SELECT g.factory_id, g.node_id, step, sm.v, sm.ts FROM g ASOF JOIN sm ON g.factory_id = sm.factory_id AND g.node_id = sm.node_id AND g.step >= sm.ts)
+    SELECT factory_id AS cluster, 'nodes' AS job, node_id AS instance, {iso_sql('step')} AS step, v AS value FROM a
+    WHERE v IS NOT NULL AND ts > step - to_seconds({LOOKBACK})""",
+)
+def a22_steps(spark, d):
+    out = metrics.values_at_steps(ending_samples(spark, d), 7200, lookback_seconds=LOOKBACK)
+    return out.withColumn("step", iso("step"))
 
 
 @query(

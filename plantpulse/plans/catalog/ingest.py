@@ -30,7 +30,7 @@ from plantpulse.plans.catalog.registry import (
     scratch,
     sounds,
 )
-from plantpulse.sources import lake, latest
+from plantpulse.sources import lake, latest, upkeep
 
 DAY_FROM, DAY_TO = datetime(2024, 1, 10), datetime(2024, 1, 12)
 
@@ -139,6 +139,18 @@ def risk_history(spark, d, ttl_seconds=86400):
     return state.risk_history(risk.score_messages(last, config(spark).thresholds), TIMING, ttl_seconds)
 
 
+@query(
+    "s5_read_raw_ahead",
+    f"""WITH {MSG} SELECT message_id FROM msg WHERE source_timestamp BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'""",
+)
+def s5_ahead(spark, d):
+    # The source clocks run 50 minutes ahead: messages of the first hour lie in the day before.
+    root = scratch(spark)
+    behind = F.expr("interval 50 minutes")
+    lake.write_raw(messages(spark, d).withColumn("received_at", F.col("source_timestamp") - behind), root)
+    return lake.read_raw(spark, root, start=DAY_FROM, end=DAY_TO).select("message_id")
+
+
 @query(
     "s6_write_processed",
     f"""WITH {SCORED} SELECT message_id, factory_id, strftime(source_timestamp, '%Y-%m-%d %H') AS hour,
@@ -296,6 +308,27 @@ def s12(spark, d):
     )
 
 
+@query(
+    "s12_compact_days",
+    f"""WITH {MSG} SELECT strftime(received_at, '%Y-%m-%d') AS day, count(*) AS messages,
+    CASE WHEN strftime(received_at, '%Y-%m-%d') IN ('2024-01-10', '2024-01-20') THEN 1 ELSE 0 END AS compacted_again FROM msg GROUP BY 1""",
+)
+def s12_days(spark, d):
+    # All days are compacted; then two of them get messages that had been held back.
+    root = scratch(spark)
+    m = messages(spark, d)
+    held = F.date_format("received_at", "yyyy-MM-dd").isin("2024-01-10", "2024-01-20") & (F.col("event_id") % 3 == 0)
+    lake.write_raw(m.where(~held), f"{root}/raw")
+    upkeep.compact_days(spark, f"{root}/raw", root)
+    lake.write_raw(m.where(held), f"{root}/raw")
+    again = upkeep.compact_days(spark, f"{root}/raw", root)
+    rows = upkeep.read_archive(spark, f"{root}/raw", root)
+    day = F.date_format(F.timestamp_millis("received_at"), "yyyy-MM-dd").alias("day")
+    return rows.groupBy(day).agg(F.count(F.lit(1)).alias("messages")).withColumn(
+        "compacted_again", F.col("day").isin(again).cast("int")
+    )
+
+
 @query(
     "s13_read_long_history",
     f"""WITH {SCORED}, {_RISK_HISTORY} SELECT factory_id, {iso_sql('bucket')} AS ts, round(risk_score, 6) AS risk_score,

@@ -8,10 +8,13 @@ compare closed windows.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
-from plantpulse.operators import checks, risk, state
+from plantpulse.operators import checks, risk, rulebook, state
 from plantpulse.plans.catalog.registry import (
+    AS_OF,
     FS,
     INF,
     MSG,
@@ -20,6 +23,7 @@ from plantpulse.plans.catalog.registry import (
     age_sql,
     bucket_sql,
     config,
+    factory,
     iso,
     iso_sql,
     messages,
@@ -28,10 +32,13 @@ from plantpulse.plans.catalog.registry import (
     scratch,
     slice_seconds,
 )
+from plantpulse.plans.catalog.risk import RULED, rule_changes
 from plantpulse.sources import feed, lake, latest
-from plantpulse.streaming import flows, processor
+from plantpulse.streaming import flows, processor, silence
 
 _MICROS = 1000000
+_NOW = f"TIMESTAMP '{AS_OF}'"
+SILENT_AFTER = 6 * TIMING.infra_period
 
 
 def _closed(end: str, table: str, lateness: int = TIMING.lateness) -> str:
@@ -137,6 +144,33 @@ def x5_silent(spark, d):
     return out.select("factory_id", iso("silent_since").alias("silent_since"), r6("silent_seconds").alias("silent_seconds"))
 
 
+@query(
+    "x5_silence_by_timer",
+    f"""WITH {MSG}, g AS (SELECT factory_id, source_timestamp AS seen, lag(source_timestamp) OVER (PARTITION BY factory_id ORDER BY source_timestamp) AS before
+      FROM msg WHERE source_type = 'infra_state'),
+    q AS (SELECT * FROM g WHERE {age_sql('seen', 'before')} > {SILENT_AFTER})
+    SELECT factory_id, 'silent' AS type, {iso_sql('before')} AS silent_since, {iso_sql(f'before + to_seconds({SILENT_AFTER})')} AS at FROM q
+    UNION ALL SELECT factory_id, 'back', {iso_sql('before')}, {iso_sql('seen')} FROM q
+    UNION ALL SELECT factory_id, 'silent', {iso_sql('last')}, {iso_sql(f'last + to_seconds({SILENT_AFTER})')} FROM (
+      SELECT factory_id, max(seen) AS last FROM g GROUP BY 1)
+      WHERE epoch_us(last) + {SILENT_AFTER * _MICROS} < (SELECT max(epoch_us(seen)) FROM g) - {TIMING.lateness * _MICROS}""",
+)
+def x5_timer(spark, d):
+    # Three deliveries cut by time; silences within one and across two are reported alike.
+    root = scratch(spark)
+    before = spark.conf.get(silence.PROVIDER_SETTING, None)
+    spark.conf.set(silence.PROVIDER_SETTING, silence.PROVIDER)
+    try:
+        m = feed.stream_messages(spark, d, feed.deliver(spark, d, f"{root}/events")).where("source_type = 'infra_state'")
+        found = _finish(spark, flows.run_to_files(silence.silence_events(m, SILENT_AFTER, TIMING), f"{root}/out", f"{root}/check"), f"{root}/out")
+    finally:
+        if before is None:
+            spark.conf.unset(silence.PROVIDER_SETTING)
+        else:
+            spark.conf.set(silence.PROVIDER_SETTING, before)
+    return found.select("factory_id", "type", iso("silent_since").alias("silent_since"), iso("at").alias("at"))
+
+
 @query(
     "x6_last_known_infra",
     f"""WITH {INF}, f AS (SELECT * FROM msg WHERE source_type = 'factory_state')
@@ -320,3 +354,145 @@ def x9_late(spark, d):
     for more in found[1:]:
         out = out.unionByName(more)
     return out.select("part", "factory_id", "messages")
+
+
+# --- the processor under rules that change in mid-stream ---------------------------------------------
+_RUNS: dict[tuple[str, str], str] = {}
+
+
+def ruled_run(spark, d) -> str:
+    """Folder of one processor run over two deliveries, the second a fifth of the messages, long after their time."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        root = scratch(spark)
+        rows = messages(spark, d)
+        for part in (F.col("event_id") % 5 != 0, F.col("event_id") % 5 == 0):
+            sent = rows.where(part).drop("event_id")
+            sent.write.mode("append").parquet(f"{root}/in")
+            source = spark.readStream.schema(sent.schema).parquet(f"{root}/in")
+            for q in processor.run(
+                source,
+                root,
+                config(spark),
+                f"{root}/check",
+                TIMING,
+                lake.backfill_tasks(spark),
+                # Asked for at every batch: a change needs no restart.
+                lambda s: rulebook.rule_states(rule_changes(s), config(s).factories),
+                slice_seconds(spark, d),
+            ):
+                q.awaitTermination()
+        _RUNS[key] = root
+    return _RUNS[key]
+
+
+@query(
+    "x9_processor_rules",
+    f"WITH {RULED} SELECT message_id, rule_version, round(ruled_score, 6) AS risk_score, bend_shown FROM rs",
+)
+def x9_rules(spark, d):
+    found = spark.read.parquet(f"{ruled_run(spark, d)}/processed/risk-score")
+    return found.select(
+        "message_id",
+        F.col("calculation_version").alias("rule_version"),
+        r6("risk_score").alias("risk_score"),
+        F.array_contains("displayed", "bend_score").alias("bend_shown"),
+    )
+
+
+@query(
+    "x9_processor_latest",
+    f"""WITH {RULED}, lf AS (SELECT * FROM rs QUALIFY row_number() OVER (PARTITION BY factory_id ORDER BY source_timestamp DESC) = 1),
+    tc AS (SELECT factory_id, string_agg(name, ', ' ORDER BY contribution DESC, pos) AS causes FROM (
+      SELECT factory_id, unnest([1, 2, 4, 5, 6, 7]) AS pos, unnest([c1, c2, fire_part, fall_part, CASE WHEN bend_counts THEN c6 ELSE 0 END, c7]) AS contribution,
+        unnest(['temperature_celsius_avg', 'humidity_percent_avg', 'fire_score', 'fall_score', 'bend_score', 'abnormal_sound']) AS name FROM lf)
+      WHERE contribution > 0 GROUP BY 1),
+    tr AS (SELECT factory_id, max(received_at) AS ra, max(received_at) FILTER (source_type = 'infra_state') AS ia,
+      max(source_timestamp) AS ua FROM msg GROUP BY 1),
+    x AS (SELECT *, CASE WHEN ruled_score < 40 THEN '안전' WHEN ruled_score < 70 THEN '주의' ELSE '위험' END AS label FROM lf)
+    SELECT x.factory_id, rule_version, CASE WHEN {age_sql(_NOW, 'ia')} > {TIMING.status_critical_after} THEN 'critical'
+      WHEN {age_sql(_NOW, 'ia')} > {TIMING.status_warning_after} THEN 'warning' ELSE 'normal' END AS status,
+    round({age_sql(_NOW, 'ia')}, 6) AS infra_age, round({age_sql(_NOW, 'ra')}, 6) AS raw_age, label AS display_status,
+    CASE WHEN causes IS NULL THEN '' ELSE array_to_string(string_split(causes, ', ')[1:3], ', ') || ' → ' END || label AS summary,
+    {iso_sql('ua')} AS updated_at, round(fall, 6) AS shown_fall, CASE WHEN bend_shown THEN round(bend, 6) END AS shown_bend
+    FROM x JOIN tr USING (factory_id) LEFT JOIN tc USING (factory_id)""",
+)
+def x9_latest(spark, d):
+    out = processor.latest_state(spark, ruled_run(spark, d), AS_OF, TIMING)
+    return out.select(
+        "factory_id",
+        F.col("calculation_version").alias("rule_version"),
+        "pipeline_status.status",
+        r6("pipeline_status.latest_infra_state_age_seconds").alias("infra_age"),
+        r6("pipeline_status.latest_s3_raw_age_seconds").alias("raw_age"),
+        "dashboard.display_status",
+        "dashboard.summary",
+        iso("dashboard.updated_at").alias("updated_at"),
+        r6("shown.fall_score").alias("shown_fall"),
+        r6("shown.bend_score").alias("shown_bend"),
+    )
+
+
+@query(
+    "a23_running_days",
+    f"""WITH {RULED}, x AS (SELECT *, strftime(source_timestamp, '%Y-%m-%d') AS date, CASE WHEN ruled_score < 40 THEN 'safe' WHEN ruled_score < 70 THEN 'warning'
+      ELSE 'danger' END AS level, greatest(fire, fall, bend) AS ai, list_sort(list_transform(list_filter(list_zip([c1, c2, fire_part, fall_part,
+      CASE WHEN bend_counts THEN c6 ELSE 0 END, c7], [1, 2, 4, 5, 6, 7], ['temperature_celsius_avg', 'humidity_percent_avg', 'fire_score', 'fall_score',
+      'bend_score', 'abnormal_sound']), lambda p: p[1] > 0), lambda p: {{'a': -p[1], 'i': p[2], 'name': p[3]}}))[1].name AS cause FROM rs),
+    mc AS (SELECT factory_id, date, cause FROM x WHERE cause IS NOT NULL GROUP BY factory_id, date, cause
+      QUALIFY row_number() OVER (PARTITION BY factory_id, date ORDER BY count(*) DESC, cause) = 1)
+    SELECT x.factory_id, x.date, count(*) AS messages, round(min(ruled_score), 6) AS min_score, round(avg(ruled_score), 6) AS mean_score,
+    round(max(ruled_score), 6) AS max_score, round(count(*) FILTER (level = 'warning') * 3, 6) AS warning_minutes,
+    round(count(*) FILTER (level = 'danger') * 3, 6) AS danger_minutes, count(*) FILTER (ai >= 0.25 AND ai < 0.75) AS uncertain_rows,
+    any_value(mc.cause) AS main_cause FROM x LEFT JOIN mc ON mc.factory_id = x.factory_id AND mc.date = x.date GROUP BY ALL""",
+)
+def a23_running(spark, d):
+    # A fifth of the messages came in a second batch and added to days long past.
+    out = processor.day_summaries(spark, ruled_run(spark, d), TIMING)
+    scores = ("min_score", "mean_score", "max_score", "warning_minutes", "danger_minutes")
+    return out.select("factory_id", "date", "messages", *[r6(c).alias(c) for c in scores], "uncertain_rows", "main_cause")
+
+
+@query(
+    "q5_stored_infra_history",
+    f"""WITH {INF}, ih AS (SELECT inf.*, {age_sql('source_timestamp', 'lag(source_timestamp) OVER (PARTITION BY factory_id ORDER BY source_timestamp)')} AS age FROM inf)
+    SELECT factory_id, {iso_sql('source_timestamp')} AS timestamp, ready, round(age, 6) AS age_seconds FROM ih
+    WHERE factory_id = 'factory-b' AND source_timestamp BETWEEN TIMESTAMP '2024-01-10' AND TIMESTAMP '2024-01-12'""",
+)
+def q5_stored(spark, d):
+    # Only the dates asked for are opened, and the one that holds the message before them.
+    out = processor.history(
+        spark, ruled_run(spark, d), "INFRA", TIMING, "factory-b", datetime(2024, 1, 10), datetime(2024, 1, 12)
+    )
+    return out.select(
+        "factory_id",
+        iso("timestamp").alias("timestamp"),
+        F.col("node_summary.ready").alias("ready"),
+        r6("pipeline_status.latest_infra_state_age_seconds").alias("age_seconds"),
+    )
+
+
+@query(
+    "l1_drop_dates",
+    f"WITH {MSG} SELECT factory_id, count(*) AS messages FROM msg WHERE source_type = 'infra_state' AND source_timestamp >= TIMESTAMP '2024-01-15' GROUP BY 1",
+)
+def l1_drop(spark, d):
+    # Whole dates go by their name; what is left of a copy is counted.
+    kept_root = scratch(spark)
+    stored = lake.read_history_batches(spark, f"{ruled_run(spark, d)}/history", "INFRA")
+    lake.write_history_batch(stored.drop("batch", "date"), f"{kept_root}/history", "INFRA", 0)
+    processor.expire_history(spark, kept_root, datetime(2024, 1, 16, 12), 86400)
+    left = lake.read_history_batches(spark, f"{kept_root}/history", "INFRA")
+    return left.groupBy("factory_id").agg(F.count(F.lit(1)).alias("messages"))
+
+
+@query(
+    "w2_score_delta_10m",
+    f"""WITH {SCORED}, p AS (SELECT l.event_id, l.risk_score, e.risk_score AS was, e.source_timestamp AS was_at, l.source_timestamp
+      FROM leveled l ASOF LEFT JOIN leveled e ON l.factory_id = e.factory_id AND l.source_timestamp - to_seconds({TIMING.delta_window}) >= e.source_timestamp)
+    SELECT event_id, CASE WHEN {age_sql('source_timestamp', 'was_at')} <= {2 * TIMING.delta_window} THEN round(risk_score - was, 6) END AS score_delta_10m FROM p""",
+)
+def w2_bounded(spark, d):
+    rows = risk.score_messages(factory(spark, d), config(spark).thresholds)
+    out = processor.with_delta(rows, None, slice_seconds(spark, d), TIMING)
+    return out.select("event_id", r6("score_delta_10m").alias("score_delta_10m"))

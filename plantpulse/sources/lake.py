@@ -17,6 +17,8 @@ from pyspark.sql import types as T
 from plantpulse import contract as C
 from plantpulse.functions import clock
 
+# How far a source clock may run ahead of the receiver's.
+CLOCK_AHEAD = timedelta(seconds=C.CLOCK_AHEAD_SECONDS)
 RAW_PARTITIONS = ("factory_id", "source_type", "yyyy", "mm", "dd")
 PROCESSED_PARTITIONS = ("factory_id", "yyyy", "mm", "dd", "hh")
 PROCESSED_DATASETS = ("risk-score", "factory-state", "infra-state")
@@ -110,19 +112,22 @@ def read_raw(
     end: datetime | None = None,
     received_until: datetime | None = None,
     fmt: str = "json",
+    clock_ahead: timedelta = CLOCK_AHEAD,
 ) -> DataFrame:
     """Pruned scan of the archive.
 
     `start` and `end` are source times (UTC). The archive is cut by day of
     receipt, and a message may be received long after its time, from a spool:
-    days before `start` are pruned, later ones only with `received_until`.
+    days before `start` are pruned, later ones only with `received_until`. A
+    source clock may run ahead of ours by `clock_ahead`, so days are pruned from
+    that much before `start`; `checks.with_errors` rejects what is further ahead.
     """
     df = spark.read.schema(raw_schema()).format(fmt).load(root)
     if factory is not None:
         df = df.where(F.col("factory_id") == factory)
     if source_type is not None:
         df = df.where(F.col("source_type") == source_type)
-    df = _where(df, _days(F.concat_ws("-", *_DAY), start, received_until))
+    df = _where(df, _days(F.concat_ws("-", *_DAY), None if start is None else start - clock_ahead, received_until))
     if received_until is not None:
         df = df.where(F.timestamp_millis("received_at") <= F.lit(received_until))
     return between(df, "source_timestamp", start, end)
@@ -241,25 +246,43 @@ BATCH_PARTITIONS = ("date", "factory_id", "batch")
 
 def write_history_batch(rows: DataFrame, root: str, kind: str, batch_id: int) -> None:
     """Rows of a micro-batch under date, site and batch; running the batch again replaces its folders."""
-    dated = rows.select("*", F.date_format("source_timestamp", "yyyy-MM-dd").alias("date"), F.lit(batch_id).alias("batch"))
+    dated = rows.select("*", F.date_format("source_timestamp", "yyyy-MM-dd").alias("date"))
+    _write_batch_folders(dated, f"{root}/{kind}", BATCH_PARTITIONS, batch_id)
+
+
+def _write_batch_folders(rows: DataFrame, path: str, partitions, batch_id: int) -> None:
+    """Replace the folders of this batch, and no others."""
     (
-        spread_over_folders(dated, BATCH_PARTITIONS)
+        spread_over_folders(rows.withColumn("batch", F.lit(batch_id)), partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*BATCH_PARTITIONS)
-        .parquet(f"{root}/{kind}")
+        .partitionBy(*partitions)
+        .parquet(path)
     )
 
 
+def write_parts(parts: DataFrame, path: str, batch_id: int) -> None:
+    """Parts of day summaries under date and batch."""
+    _write_batch_folders(parts, path, ("date", "batch"), batch_id)
+
+
+def read_parts(spark: SparkSession, path: str, start: datetime | None = None, end: datetime | None = None) -> DataFrame:
+    return _where(_read_dated(spark, path), _days(F.col("date"), start, end))
+
+
+def _read_dated(spark: SparkSession, path: str) -> DataFrame:
+    """A table under `date=` folders; partition values stay text."""
+    found = spark.read.parquet(path).schema
+    kinds = {"date": T.StringType(), "factory_id": T.StringType(), "batch": T.LongType()}
+    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
 def read_history_batches(
     spark: SparkSession, root: str, kind: str, factory: str | None = None, start: datetime | None = None, end: datetime | None = None
 ) -> DataFrame:
     """What `write_history_batch` wrote, by source time; dates outside the range are not opened."""
-    path = f"{root}/{kind}"
-    found = spark.read.parquet(path).schema
-    kinds = {"date": T.StringType(), "factory_id": T.StringType(), "batch": T.LongType()}
-    fields = [T.StructField(f.name, kinds.get(f.name, f.dataType)) for f in found.fields]
-    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    df = _read_dated(spark, f"{root}/{kind}")
     if factory is not None:
         df = df.where(F.col("factory_id") == factory)
     return between(_where(df, _days(F.col("date"), start, end)), "source_timestamp", start, end)

@@ -45,11 +45,6 @@ class Finished:
     skipped: tuple[str, ...]
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
 def archived_days(spark: SparkSession, raw: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """day, files, bytes, changed_at of the archive: a listing, no file is opened."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(raw).select(
@@ -71,13 +66,18 @@ def archived_days(spark: SparkSession, raw: str, start: str | None = None, end:
 def manifest(spark: SparkSession, root: str, version: str | None = None) -> DataFrame:
     """The valid run of every (version, day): the one with the largest number."""
     path = f"{root}/manifest"
-    rows = spark.read.schema(_MANIFEST).parquet(path) if _exists(spark, path) else spark.createDataFrame([], _MANIFEST)
+    rows = spark.read.schema(_MANIFEST).parquet(path) if lake.exists(spark, path) else spark.createDataFrame([], _MANIFEST)
     if version is not None:
         rows = rows.where(F.col("version") == version)
     newest = Window.partitionBy("version", "day").orderBy(F.col("number").desc(), "run")
     return rows.withColumn("_n", F.row_number().over(newest)).where("_n = 1").drop("_n")
 
 
+def publish(spark: SparkSession, root: str, entries: list[tuple]) -> None:
+    """Make runs visible: one file, so all of them or none."""
+    spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+
+
 def due_days(spark: SparkSession, raw: str, root: str, version: str, start=None, end=None) -> tuple[list, list[str]]:
     """(rows of days to compute, days that are done), in order. One small row per day reaches the driver."""
     done = manifest(spark, root, version).select(
@@ -101,7 +101,7 @@ def read_results(
     if days is not None:
         valid = valid.where(F.col("day").isin(list(days)))
     paths = [f"{root}/results/version={version}/day={r.day}/run={r.run}" for r in valid.orderBy("day").collect()]
-    paths = [p for p in paths if _exists(spark, p)]  # a day without results has no folder
+    paths = [p for p in paths if lake.exists(spark, p)]  # a day without results has no folder
     if not paths:
         return None
     found = spark.read.parquet(paths[0]).schema if schema is None else schema
@@ -160,7 +160,7 @@ def reprocess(
             f"{root}/results"
         )
         entries = [(version, r.day, run, r.files, r.bytes, r.changed_at, (r.number or 0) + 1) for r in part]
-        spark.createDataFrame(entries, _MANIFEST).coalesce(1).write.mode("append").parquet(f"{root}/manifest")
+        publish(spark, root, entries)
         computed += days
         jobs += 1
         later = read_results(spark, root, version, after, _ID) if after else None

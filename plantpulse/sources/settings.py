@@ -68,6 +68,8 @@ def wide_thresholds(rows: Iterable[tuple]) -> list[tuple]:
     """(site, metric, warning, critical) rows -> one row per site."""
     sites: dict[str, dict[str, tuple]] = {}
     for site, metric, warning, critical in rows:
+        if metric not in METRICS:
+            raise ValueError(f"no thresholds are known for {metric!r} (site {site}); known: {', '.join(METRICS)}")
         sites.setdefault(site, {})[metric] = (warning, critical)
     return [(site, *[b for m in METRICS for b in found.get(m, (None, None))]) for site, found in sites.items()]
 

@@ -6,6 +6,7 @@
                              infra -> processed/infra-state
                              current state of both sections, newest receipt and publish times
                              winners per bucket -> history; every infra message -> history
+                             what the batch adds to the summaries of its days -> days
                              messages behind their site's time -> late, besides all that
 
 No message is lost for coming late. Copies are recognised by the ids stored in
@@ -30,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plantpulse import contract as C
 from plantpulse.contract import Timing
 from plantpulse.functions import clock, rules
-from plantpulse.operators import checks, risk, rulebook, state
+from plantpulse.operators import checks, daily, risk, rulebook, state
 from plantpulse.operators.sliced import Series, as_of
 from plantpulse.operators.timeseries import downsample_last
 from plantpulse.plans import backward
@@ -202,6 +203,7 @@ def batch_writer(
                     found[name], ["factory_id"], "source_timestamp", state.NEWEST, timing.history_bucket
                 )
                 lake.write_history_batch(winners, f"{root}/history", kind, batch_id)
+            lake.write_parts(daily.day_parts(scored), f"{root}/days", batch_id)
             infra = found["infra-state"].select("factory_id", *state.NEWEST, "nodes", "workloads", "devices")
             lake.write_history_batch(infra, f"{root}/history", "INFRA", batch_id)
             times = messages.select("factory_id", *state.NEWEST)
@@ -336,6 +338,13 @@ def history(
     return lake.between(made, "timestamp", start, end)
 
 
+def day_summaries(
+    spark: SparkSession, root: str, timing: Timing = Timing(), start: datetime | None = None, end: datetime | None = None
+) -> DataFrame:
+    """Summaries per site and day of all batches so far; only the days asked for are read."""
+    return daily.day_summaries(lake.read_parts(spark, f"{root}/days", start, end), timing.factory_period)
+
+
 def expire_history(spark: SparkSession, root: str, as_of_time: datetime, ttl_seconds: int = C.HISTORY_TTL_SECONDS) -> list[str]:
     """Drop the dates whose rows have all outlived `ttl_seconds`; returns their folders.
 
