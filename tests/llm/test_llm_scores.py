@@ -5,8 +5,9 @@ import random
 
 import numpy as np
 import pytest
-from llm_cases import brute_exact, brute_repeats, brute_simhash, documents, groups_of, odd_pairs, order, sorted_rows
+from llm_cases import brute_exact, brute_repeats, documents, groups_of, odd_pairs, order, sorted_rows
 from pyspark.sql import functions as F
+from test_llm_resembling import brute_groups
 
 from plantpulse.llm import catalog, lexicon, toxicity, urls, vectors
 
@@ -210,7 +211,7 @@ def test_pipeline(spark, tmp_path):
             if len(pair[1] or "") > len(best[1] or ""):
                 exact[row[3]] = pair
     left = list(exact.values())
-    found, root = brute_simhash(left)
+    root, _ = brute_groups(left)
     left = [min((p for p, r in zip(left, root, strict=True) if r == g), key=order) for g in sorted(set(root))]
     left = [(p[0], rest.decode(errors="ignore")) for p, rest in zip(left, brute_repeats(left)[1], strict=True)]
     units = Units(catalog.vocabulary("byte_bpe_50k.json"))
