@@ -6,7 +6,8 @@ each. Small rows (document, piece, length) are dealt out by hash, longest first,
 and every task packs its share as they come: the bin with the least sufficient
 free space takes the piece. Open bins are kept in a bitset by free space, so the
 best fit is one shift and one lowest bit. At most OPEN bins are open; then the
-fullest closes. Packing tasks share nothing; each may leave a few bins unfilled.
+fullest closes. Packing tasks share nothing; each may leave a few bins unfilled,
+so their number follows the tokens and not the session's partitions alone.
 
 Ids come in units: a space and what follows up to the next. No token of the
 vocabulary's splitter reaches across such a border, unless white space stands on
@@ -41,6 +42,8 @@ END = 0
 #: Bins open at once in a task; units remembered by a worker, and the longest of them.
 OPEN = 1 << 16
 CACHED = 300_000
+#: Sequences that a packing task should fill at least.
+SEQUENCES = 4000
 LONGEST = 48
 #: Fixed value: how the byte-level vocabulary splits text before merging.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -188,7 +191,10 @@ def pack(docs: DataFrame, vocabulary: bytes, length: int = LENGTH, most_open: in
     """Every piece with its sequence and its place in it."""
     rows = kept(pieces(docs, vocabulary, length, end))
     schema = "doc_id long, row_key long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Every packer leaves some bins unfilled, so each gets enough pieces for that not to count.
+    tokens = rows.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    most = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(1, min(most, tokens // (SEQUENCES * length)))
     return (
         rows.repartition(parts, "row_key", "piece")
         .sortWithinPartitions(F.desc("length"), "row_key", "piece")
