@@ -1,5 +1,6 @@
 """SentencePiece coding, packing and token counts against the libraries and brute force."""
 
+import math
 import random
 import zlib
 
@@ -8,8 +9,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from llm_cases import documents, odd_pairs, sha, sorted_rows
+from pyspark.sql import functions as F
 
-from plantpulse.llm import packing, pieces, token_counts
+from plantpulse.llm import catalog, packing, pieces, token_counts
 from plantpulse.llm.catalog import vocabulary
 
 TEXTS = ["", " ", "  ", "a", "\n", "a\n\nb\t▁x  y   z     ", "日本語テキスト" * 50, "<s></s><unk><0x41>", " lead", "trail ",
@@ -178,3 +180,15 @@ def test_shared_prefixes(words):
     scores = {"a": -1.0, "b": -1.0, "ab": -1.5, "abc": -2.5, "ca": -2.0, "bb": -2.0, "aab": -3.5}
     trie = token_counts.Trie(scores, 5)
     assert trie.insert(list(words)) == {w: brute_count(w, scores, trie.unknown) for w in words}
+
+
+@pytest.mark.parametrize("partitions", ["4", "200"])
+def test_few_sequences_at_any_partition_number(spark, partitions):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        found = catalog.op3_best_fit_packing(spark, "/root/testdata/sf0.01")
+        least, used = found.agg(F.sum("length") / 2048, F.countDistinct("sequence_id")).first()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert used <= 1.01 * math.ceil(least)
