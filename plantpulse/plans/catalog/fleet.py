@@ -11,7 +11,6 @@ from plantpulse.plans import backward, views
 from plantpulse.plans.catalog.infrastructure import (
     FLEET,
     INFRA_HISTORY,
-    fleet_state,
     infra_history,
 )
 from plantpulse.plans.catalog.ingest import _RISK_HISTORY, risk_history, scored
@@ -69,12 +68,11 @@ cards AS (SELECT fsc.*, least(raw_score, 100) AS risk_score, CASE WHEN raw_score
 
 
 def fleet_scored(spark, d):
-    return risk.score_fleet(fleet_state(spark, d), config(spark).thresholds, AS_OF, TIMING)
+    return risk.score_fleet(state.current_state(messages(spark, d)), config(spark).thresholds, AS_OF, TIMING)
 
 
 def fleet_overview(spark, d):
-    inputs = state.delivery_inputs(messages(spark, d))
-    return views.fleet_overview(fleet_scored(spark, d), inputs, config(spark).factories, AS_OF, TIMING)
+    return views.fleet_overview(fleet_scored(spark, d), None, config(spark).factories, AS_OF, TIMING)
 
 
 @query(

@@ -187,7 +187,7 @@ def batch_writer(
         with flows.kept(first_copies(batch, root, batch_id)) as messages, flows.kept(
             scored_messages(
                 messages, settings.thresholds, in_force, stored_scores(messages, root, batch_id, timing), slice_seconds, timing, now
-            ).select("factory_id", *state.NEWEST, *SCORED, "received_at", "sensor", "ai_result")
+            ).select("factory_id", *state.NEWEST, *SCORED, "received_at", *C.FACTORY_SECTIONS)
         ) as scored:
             found = results(messages, settings.thresholds, scored)
             for name, rows in found.items():
@@ -260,7 +260,9 @@ def current_state(spark: SparkSession, root: str) -> DataFrame:
             "top_causes",
             "score_delta_10m",
             "displayed",
+            "calculated_at",
             "calculation_version",
+            "aggregation_window_seconds",
         ),
         infra.select(
             "factory_id",
@@ -307,6 +309,48 @@ def latest_state(spark: SparkSession, root: str, as_of_time, timing: Timing = Ti
     )
 
 
+def latest_documents(latest_rows: DataFrame) -> DataFrame:
+    """factory_id and the LATEST item of every site as one JSON text (see `latest_state`).
+
+    A section that has never arrived is left out.
+    """
+    utc = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    causes = F.transform("top_causes", lambda c: F.struct(*[c[n].alias(n) for n in ("name", "value", "weight", "contribution")]))
+    cut = lambda rows, names: F.transform(rows, lambda r: F.struct(*[r[n].alias(n) for n in names]))
+    node = ("node_id", "ready", "cpu_usage_percent", "memory_usage_percent", "disk_usage_percent")
+    risk_part = F.struct(
+        F.col("risk_score").alias("score"),
+        F.col("risk_level").alias("level"),
+        "score_delta_10m",
+        causes.alias("top_causes"),
+        utc("calculated_at").alias("calculated_at"),
+        "calculation_version",
+    )
+    site_part = F.struct(F.col("factory_message_id").alias("source_message_id"), "aggregation_window_seconds", "sensor", "ai_result")
+    infra_part = F.struct(
+        F.col("infra_message_id").alias("source_message_id"),
+        "node_summary",
+        cut("nodes", node).alias("nodes"),
+        "workload_summary",
+        "device_summary",
+    )
+    item = F.struct(
+        F.concat(F.lit("FACTORY#"), "factory_id").alias("pk"),
+        F.lit("LATEST").alias("sk"),
+        "factory_id",
+        F.lit(C.SCHEMA_VERSION).alias("schema_version"),
+        utc("updated_at").alias("updated_at"),
+        utc("last_factory_state_at").alias("last_factory_state_at"),
+        utc("last_infra_state_at").alias("last_infra_state_at"),
+        F.when(F.col("factory_message_id").isNotNull(), risk_part).alias("risk"),
+        F.when(F.col("factory_message_id").isNotNull(), site_part).alias("factory_state"),
+        F.when(F.col("infra_message_id").isNotNull(), infra_part).alias("infra_state"),
+        "pipeline_status",
+        F.struct("dashboard.display_status", "dashboard.summary", utc("dashboard.updated_at").alias("updated_at")).alias("dashboard"),
+    )
+    return latest_rows.select("factory_id", F.to_json(item).alias("document"))
+
+
 def history(
     spark: SparkSession,
     root: str,
