@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 #: Shortest terms that allow one and two edits.
-ONE_EDIT = 5
+ONE_EDIT = 4
 TWO_EDITS = 9
 #: Positions in remembered states before the table starts anew.
 POSITIONS = 300_000

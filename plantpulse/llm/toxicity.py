@@ -2,9 +2,11 @@
 
 Fitting takes at most FIT_ROWS labelled rows outside the held-out fold, those
 with the smallest hash of their id. Terms are whole words and stems (the first
-letters of words) that occur in far more toxic than clean documents. Words are
-matched by Levenshtein automata intersected with the trie of terms. A misspelt
-form that clean documents use is a word of its own and counts for nothing. Every
+letters of words) that occur in far more toxic than clean documents, and in more
+than chance explains: the test allows for the number of terms looked at and for
+the length of documents. Words are matched by Levenshtein automata intersected
+with the trie of terms. A misspelt form that clean documents use about as often
+as toxic ones is a word of its own and counts for nothing. Every
 hit is judged by a window of words around it: inside quotation marks, in a line
 that starts as a quotation or next to a word of reporting it counts little; next
 to a word of address it counts more. A logistic regression on the sums turns
@@ -42,6 +44,9 @@ FOLDS = 5
 TERMS = 400
 LEAST_DOCS = 4
 LEAST_ODDS = 2.0
+#: Terms that may be chosen by chance, and log-odds below which a form that clean documents use is a word of its own.
+CHANCE = 0.1
+FORM_ODDS = 1.0
 STEM_LETTERS = (4, 5, 6, 7)
 #: Words of context on either side, and what a hit counts by its context.
 WINDOW = 6
@@ -179,14 +184,31 @@ def choose_terms(rows: list[tuple[str, float]]) -> tuple[dict[str, float], dict[
     return words, stems
 
 
-def _clean_forms(words: dict[str, float]):
-    """Misspelt forms of terms that clean documents use."""
+def surprise(toxic, both, share: float):
+    """Bound on the log of how unlikely so many toxic documents of a term are by chance.
+
+    By chance each of its documents is toxic with probability `share`, the part
+    of all terms that toxic documents hold, so that long documents weigh more.
+    """
+    part = toxic / both
+    rest = F.when(part < 1, (1 - part) * F.log((1 - part) / (1 - share))).otherwise(0.0)
+    return both * (part * F.log(part / share) + rest)
+
+
+def _forms(words: dict[str, float]):
+    """Misspelt forms of terms, once for each document that uses one, with its label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Automaton(words)
         for batch in batches:
-            found = {w for text in texts(batch) for w in set(WORD.findall(text.lower())) if (m := terms.match(w)) and m[1] > 0}
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.string())], names=["form"])
+            found = [
+                (w, toxic)
+                for text, toxic in zip(texts(batch), batch.column("toxic").to_pylist(), strict=True)
+                for w in sorted(set(WORD.findall(text.lower())))
+                if (m := terms.match(w)) and m[1] > 0
+            ]
+            columns = list(zip(*found, strict=True)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(columns[0], pa.string()), pa.array(columns[1], pa.int32())], names=["form", "toxic"])
 
     return run
 
@@ -253,20 +275,32 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> Model:
         return Model(base=toxic / max(1, toxic + clean))
     counts = sample.select("text", "toxic").mapInArrow(_term_counts, "term string, toxic long, clean long")
     odds = F.log((F.col("toxic") + 0.5) / (toxic + 1)) - F.log((F.col("clean") + 0.5) / (clean + 1))
-    scored = (
-        counts.groupBy("term")
-        .agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-        .filter(F.col("toxic") >= LEAST_DOCS)
-        .withColumn("odds", odds)
-        .filter(F.col("odds") >= LEAST_ODDS)
-        .withColumn("gain", F.col("toxic") * F.col("odds"))
-    )
     stem = F.col("term").endswith("*")
-    best = [scored.filter(kind).orderBy(F.desc("gain"), "term").limit(TERMS).select("term", "odds") for kind in (~stem, stem)]
-    words, stems = choose_terms([tuple(r) for r in best[0].union(best[1]).collect()])
+    totals_of = kept(counts.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).withColumn("stem", stem))
+    both = F.col("toxic") + F.col("clean")
+    candidates = {
+        r["stem"]: (r["share"], r["number"])
+        for r in totals_of.groupBy("stem")
+        .agg((F.sum("toxic") / F.sum(both)).alias("share"), F.count_if(both >= LEAST_DOCS).alias("number"))
+        .collect()
+    }
+    best = []
+    for kind, (share, number) in candidates.items():
+        good = (
+            totals_of.filter((F.col("stem") == kind) & (F.col("toxic") >= LEAST_DOCS))
+            .withColumn("odds", odds)
+            .filter((F.col("odds") >= LEAST_ODDS) & (surprise(F.col("toxic"), both, share) >= math.log(max(number, 1) / CHANCE)))
+            .withColumn("gain", F.col("toxic") * F.col("odds"))
+        )
+        best.append(good.orderBy(F.desc("gain"), "term").limit(TERMS).select("term", "odds"))
+    words, stems = choose_terms([tuple(r) for part in best for r in part.collect()])
     # At most FIT_ROWS documents and a few edits around TERMS words.
-    forms = sample.filter("toxic = 0").select("text").mapInArrow(_clean_forms(words), "form string").distinct()
-    unsure = Model(words, stems, frozenset(r[0] for r in forms.collect()))
+    forms = (
+        sample.select("text", "toxic").mapInArrow(_forms(words), "form string, toxic int")
+        .groupBy("form").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+        .filter((F.col("clean") > 0) & (odds < FORM_ODDS))
+    )
+    unsure = Model(words, stems, frozenset(r["form"] for r in forms.collect()))
     run, schema = _sums(unsure.key())
     # Likewise bounded by FIT_ROWS rows of six numbers.
     found = sample.select("doc_id", "row_key", "text").mapInArrow(run, schema).join(
