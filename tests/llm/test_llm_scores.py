@@ -93,10 +93,87 @@ def test_toxicity_without_labels(spark):
     assert {r.score for r in toxicity.judge(docs, ones).collect()} == {1.0}
 
 
-def test_held_out_accuracy(spark):
-    folder = "/root/testdata/sf0.01"
-    rows = catalog.op8_toxicity(spark, folder).filter("held_out").join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id")
-    assert rows.filter("predicted = toxic").count() >= 0.9 * rows.count()
+def area(positive, negative):
+    return sum((p > n) + (p == n) / 2 for p in positive for n in negative) / (len(positive) * len(negative))
+
+
+@pytest.mark.parametrize(("folder", "least_area", "missed", "false"), [("sf0.1", 0.95, 0.07, 0.005), ("sf0.01", 0.8, 0.4, 0.02)])
+def test_held_out_errors(spark, folder, least_area, missed, false):
+    """Answering 0 always would miss all; answering by noise would accuse many."""
+    folder = f"/root/testdata/{folder}"
+    labels = spark.read.parquet(f"{folder}/labels.parquet").filter("toxic IS NOT NULL")
+    rows = catalog.op8_toxicity(spark, folder).filter("held_out").join(labels, "doc_id").collect()
+    toxic, clean = ([r for r in rows if r.toxic == side] for side in (1, 0))
+    assert area([r.score for r in toxic], [r.score for r in clean]) >= least_area
+    assert sum(not r.predicted for r in toxic) <= missed * len(toxic)
+    assert sum(r.predicted for r in clean) <= false * len(clean)
+
+
+def test_terms_by_chance_are_not_chosen(spark):
+    """Labels without any reason: nothing is learnt."""
+    rng = random.Random(8)
+    pairs = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(rng.randrange(20, 200)))) for i in range(600)]
+    labels = spark.createDataFrame([(i, 1, int(rng.random() < 0.15)) for i in range(600)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(documents(spark, pairs), labels)
+    assert len(model.words) + len(model.stems) <= 2
+
+
+def test_forms_are_judged_by_both_classes(spark):
+    rng = random.Random(9)
+    word = lambda: f"w{rng.randrange(400)}"
+    pairs, labels = [], []
+    for i in range(900):
+        words = [word() for _ in range(40)]
+        if i % 6 == 0:
+            words[3:3] = ["grobnik", rng.choice(["grobnok", "grobnyk"])]
+        elif i == 7:
+            words[3] = "grobnok"  # once in a clean document
+        elif i % 5 == 0:
+            words[3] = "grobnak"  # a word of its own
+        pairs.append((i, " ".join(words)))
+        labels.append((i, 1, int(i % 6 == 0)))
+    model = toxicity.fit(documents(spark, pairs), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert "grobnak" in model.clean_forms and "grobnok" not in model.clean_forms
+    rows = documents(spark, [(1, f"so ein grobnyk {word()}"), (2, f"so ein grobnak {word()}"), (3, f'er sagte "grobnik" {word()}'), (4, f"du grobnik {word()}")])
+    score = {r.doc_id: r.score for r in toxicity.score_texts(rows, model).collect()}
+    assert score[1] > score[2] and score[4] > score[3]
+
+
+def brute_sums(text, words, stems, clean_forms):
+    """The sums of a document with every word compared with every term."""
+
+    def hit(word):
+        near = sorted((edit_distance(word, w), w) for w in words if edit_distance(word, w) <= lexicon.edits_allowed(w))
+        if near and near[0][0] == 0:
+            return 0, words[near[0][1]]
+        begins = [s for s in stems if word.startswith(s) and len(word) >= len(s)]
+        found = toxicity.Matcher(words, stems, clean_forms).automaton.match(word)
+        if found and found[1] < 0:
+            assert found[0] in begins
+            return 1, stems[found[0]]
+        if near and word not in clean_forms:
+            return 2, words[near[0][1]] / (1 + near[0][0])
+        return None
+
+    matcher = toxicity.Matcher(words, stems, clean_forms)
+    matcher.known = hit
+    return matcher.sums(text)
+
+
+def test_scores_against_brute_force(spark):
+    pairs, docs, labels = toxic_table(spark, 200)
+    model = toxicity.fit(docs, labels)
+    rng = random.Random(2)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    texts = [t or "" for _, t in pairs[:40]]
+    for _ in range(40):
+        words = [rng.choice(["grobnik", "schlimmel", "zatorix", "w17", "you", "said", '"']) for _ in range(12)]
+        at = rng.randrange(len(words))
+        words[at] = words[at].replace(rng.choice(letters), rng.choice(letters))
+        texts.append(" ".join(words))
+    found = {r.doc_id: r.score for r in toxicity.score_texts(documents(spark, list(enumerate(texts))), model).collect()}
+    expected = model.score([brute_sums(t, model.words, model.stems, model.clean_forms) for t in texts])
+    assert [found[n] for n in range(len(texts))] == pytest.approx(list(expected))
 
 
 def vector_rows():
