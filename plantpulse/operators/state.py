@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from plantpulse import contract as C
@@ -54,12 +54,27 @@ def share(rows: Column, bad) -> Column:
 def latest_per_factory(
     df: DataFrame, keys: Sequence[str] = ("factory_id", "source_type"), order: Sequence[str] = NEWEST
 ) -> DataFrame:
-    """Newest row per key; partial winners are found before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
+    """Newest row per key, in two steps.
+
+    The newest time of every key is a hash aggregate over narrow columns; the join
+    with it, broadcast while there are few keys, leaves the rows of that time, and
+    only those are put in full order. Wide rows are neither sorted nor shuffled.
+    `order` starts with a timestamp.
+    """
+    names = {k: f"_key_{n}" for n, k in enumerate(keys)}
+    newest = df.groupBy(*[F.col(k).alias(name) for k, name in names.items()]).agg(
+        F.max(F.unix_micros(order[0])).alias("_newest")
+    )
+    same = F.unix_micros(df[order[0]]).eqNullSafe(newest["_newest"])
+    for k, name in names.items():
+        same &= df[k].eqNullSafe(newest[name])
+    last = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order])
     return (
-        df.groupBy(*keys)
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_row"))
-        .select(*keys, "_row.*")
+        df.join(newest, same)
+        .select(*df.columns)
+        .withColumn("_place", F.row_number().over(last))
+        .where("_place = 1")
+        .select(*keys, *[c for c in df.columns if c not in keys])
     )
 
 
