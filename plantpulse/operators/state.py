@@ -115,41 +115,6 @@ def assemble_latest(factory_latest: DataFrame, infra_latest: DataFrame) -> DataF
     )
 
 
-def current_state(messages: DataFrame) -> DataFrame:
-    """What `assemble_latest` and `delivery_inputs` give, from one scan and one aggregate.
-
-    Both sections' winners and the newest receipts are conditional aggregates of
-    the same pass over the messages.
-    """
-    order = F.struct(*NEWEST)
-    infra = F.col("source_type") == "infra_state"
-    facts = lambda *names: F.struct("source_timestamp", "message_id", *[F.col(f"payload.{n}").alias(n) for n in names])
-    newest = messages.groupBy("factory_id").agg(
-        F.max_by(facts("sensor", "ai_result"), F.when(~infra, order)).alias("_f"),
-        F.max_by(facts(*INFRA_FACTS), F.when(infra, order)).alias("_i"),
-        F.max(F.when(infra, F.col("received_at"))).alias("latest_infra_at"),
-        F.max("received_at").alias("latest_raw_at"),
-        F.max(F.when(infra, F.col("published_at"))).alias("last_publish_at"),
-    )
-    return newest.select(
-        "factory_id",
-        F.col("_f.source_timestamp").alias("last_factory_state_at"),
-        F.col("_f.message_id").alias("factory_message_id"),
-        "_f.sensor",
-        "_f.ai_result",
-        F.col("_i.source_timestamp").alias("last_infra_state_at"),
-        F.col("_i.message_id").alias("infra_message_id"),
-        *[f"_i.{n}" for n in INFRA_FACTS],
-        node_summary(F.col("_i.nodes")).alias("node_summary"),
-        workload_summary(F.col("_i.workloads")).alias("workload_summary"),
-        device_summary(F.col("_i.devices")).alias("device_summary"),
-        F.greatest("_f.source_timestamp", "_i.source_timestamp").alias("updated_at"),
-        "latest_infra_at",
-        "latest_raw_at",
-        "last_publish_at",
-    )
-
-
 def delivery_inputs(messages: DataFrame) -> DataFrame:
     """Latest infra receipt, latest stored object and last publish per site.
 

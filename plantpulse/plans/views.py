@@ -105,19 +105,13 @@ def fleet_summary(cards: DataFrame) -> DataFrame:
 
 
 def fleet_cards_of(
-    scored_latest: DataFrame, inputs: DataFrame | None, factories: DataFrame, as_of_time, timing: Timing = Timing()
+    scored_latest: DataFrame, inputs: DataFrame, factories: DataFrame, as_of_time, timing: Timing = Timing()
 ) -> DataFrame:
-    """One card per configured site: level, score, causes, nodes, delivery, freshness.
-
-    Without `inputs` the state itself carries them (`state.current_state`).
-    """
-    if inputs is None:
-        cards = with_delivery_status(scored_latest, as_of_time, timing).withColumnRenamed("status", "pipeline_status")
-    else:
-        status = with_delivery_status(inputs, as_of_time, timing).select(
-            "factory_id", F.col("status").alias("pipeline_status")
-        )
-        cards = scored_latest.join(status, "factory_id", "left")
+    """One card per configured site: level, score, causes, nodes, delivery, freshness."""
+    status = with_delivery_status(inputs, as_of_time, timing).select(
+        "factory_id", F.col("status").alias("pipeline_status")
+    )
+    cards = scored_latest.join(status, "factory_id", "left")
     now = clock.as_timestamp(as_of_time)
     return roster_left_join(cards, factories).select(
         "factory_id",
@@ -151,7 +145,7 @@ def infra_staleness(now: Column, ts: Column, timing: Timing = Timing()) -> Colum
     )
 
 
-def fleet_overview(scored_latest: DataFrame, inputs: DataFrame | None, factories: DataFrame, as_of_time, timing: Timing = Timing(), order_by: str = "screen") -> DataFrame:
+def fleet_overview(scored_latest: DataFrame, inputs: DataFrame, factories: DataFrame, as_of_time, timing: Timing = Timing(), order_by: str = "screen") -> DataFrame:
     return fleet_cards(fleet_cards_of(scored_latest, inputs, factories, as_of_time, timing), order_by)
 
 
