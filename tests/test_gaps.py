@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plantpulse.operators import gaps, intervals
+from plantpulse.operators import failover, gaps, intervals
 
 ZERO = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
 ROWS = "k string, ts timestamp, v double"
@@ -116,3 +116,42 @@ def test_interval_join(spark):
     assert tested < 1.6 * len(expected)
     assert intervals.interval_join(left, right.where("false"), ["k"]).collect() == []
     assert intervals.interval_join(left.where("false"), right, ["k"]).collect() == []
+
+
+@pytest.mark.parametrize("slice_seconds", [None, 300, 60])
+def test_interval_summaries(spark, slice_seconds):
+    """Count, first time and sum of every interval, with the hits never made."""
+    rng = random.Random(9)
+    points = [(rng.choice("ab"), at(rng.randrange(20_000) // 7 * 7), rng.choice([None, 0.5, 2.25, 7.0])) for _ in range(900)]
+    points += [("a", None, -1.0), (None, at(5), -2.0)]
+    spans = []
+    for n in range(600):
+        start, length = rng.randrange(20_000), rng.choice([0, 1, 50, 400, 5000])
+        spans.append((n // 2, rng.choice("ab"), at(start), at(start + length)))
+    spans += [(None, "a", at(0), at(900)), (2000, "a", at(10), at(5)), (2001, "a", None, at(5)), (2002, "a", at(5), None), (2003, None, at(0), at(9))]
+    left = spark.createDataFrame(points, ROWS)
+    right = spark.createDataFrame(spans, "id long, k string, start timestamp, end timestamp")
+    hits = {}
+    for i, q, a, b in spans:
+        for k, t, v in points:
+            if k and k == q and t and a and b and a <= t <= b:
+                hits.setdefault(i, []).append((t, v))
+    expected = {i: (len(h), min(t for t, _ in h), sum(v is not None for _, v in h), sum(v or 0 for _, v in h)) for i, h in hits.items()}
+    found = intervals.interval_summaries(left, right, ["k"], ["id"], "v", "ts", slice_seconds=slice_seconds).collect()
+    assert len(found) == len(expected)
+    for r in found:
+        first = r.first_at.replace(tzinfo=dt.timezone.utc)
+        assert (r.samples, first, r["values"], round(r.total, 6)) == expected[r.id]
+    assert intervals.interval_summaries(left, right.where("false"), ["k"], ["id"], "v").collect() == []
+    assert intervals.interval_summaries(left.where("false"), right, ["k"], ["id"], "v").collect() == []
+
+
+def test_phase_summaries_make_no_hits(spark):
+    """Two thousand tests around two thousand samples: no operator hands on their four million pairs."""
+    samples = spark.range(2000).selectExpr("'a' AS factory_id", "timestamp_seconds(id) AS ts", "1.5D AS v")
+    tests = spark.range(2000).selectExpr("id AS test_id", "'a' AS factory_id", "timestamp_seconds(0) AS start", "timestamp_seconds(5000) AS end")
+    out = failover.phase_join(samples, tests, by=["test_id"], value="v")
+    assert {(r.samples, r.total) for r in out.collect()} == {(2000, 3000.0)}
+    assert out.count() == 2000
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Join" in line and "ts#" in line]
