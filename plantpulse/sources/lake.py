@@ -169,6 +169,11 @@ def exists(spark: SparkSession, root: str) -> bool:
     return fs.exists(path)
 
 
+def drop_folder(spark: SparkSession, root: str) -> None:
+    fs, path = _folder(spark, root)
+    fs.delete(path, True)
+
+
 def stored_batches(spark: SparkSession, root: str, more: str = "") -> DataFrame | None:
     """Ids, and columns of the schema text `more`, that micro-batches have stored under `batch=<id>` folders.
 

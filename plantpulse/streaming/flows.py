@@ -77,6 +77,21 @@ def kept(batch: DataFrame):
         batch.unpersist()
 
 
+@contextmanager
+def kept_in_files(batch: DataFrame, path: str):
+    """The same through a folder that is dropped afterwards.
+
+    The number of its files follows the size of the batch, while a kept batch
+    stays in as many parts as a shuffle has, small or not. Wide nested rows make
+    every part dear, and a read opens only the columns it needs.
+    """
+    batch.hint("rebalance").write.mode("overwrite").parquet(path)
+    try:
+        yield batch.sparkSession.read.schema(batch.schema).parquet(path)
+    finally:
+        lake.drop_folder(batch.sparkSession, path)
+
+
 def write_batch(df: DataFrame, root: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(_batch_path(root, batch_id))
 

@@ -184,10 +184,12 @@ def batch_writer(
         seen = latest.read_before(batch, f"{root}/latest/seen", batch_id)
         in_force = states(batch.sparkSession) if callable(states) else states
         now = F.lit(datetime.now().astimezone()).cast("timestamp")
-        with flows.kept(first_copies(batch, root, batch_id)) as messages, flows.kept(
+        work = lambda name: f"{root}/work/{name}/batch={batch_id}"
+        with flows.kept_in_files(first_copies(batch, root, batch_id), work("messages")) as messages, flows.kept_in_files(
             scored_messages(
                 messages, settings.thresholds, in_force, stored_scores(messages, root, batch_id, timing), slice_seconds, timing, now
-            ).select("factory_id", *state.NEWEST, *SCORED, "received_at", *C.FACTORY_SECTIONS)
+            ).select("factory_id", *state.NEWEST, *SCORED, "received_at", *C.FACTORY_SECTIONS),
+            work("scored"),
         ) as scored:
             found = results(messages, settings.thresholds, scored)
             for name, rows in found.items():

@@ -10,7 +10,7 @@ from plantpulse.contract import Timing
 from plantpulse.operators import state
 from plantpulse.operators import timeseries as ts
 from plantpulse.operators.sliced import Series, state_runs
-from plantpulse.sources import lake, latest
+from plantpulse.sources import feed, lake, latest
 from plantpulse.streaming import flows
 
 T0 = datetime(2026, 5, 14)
@@ -227,3 +227,48 @@ def test_ranges_may_be_open(spark, tmp_path):
     assert read() == 9
     assert read(start=datetime(2024, 1, 4)) == 6 and read(end=datetime(2024, 1, 4)) == 4
     assert read(start=datetime(2024, 1, 2), end=datetime(2024, 1, 4)) == 3
+
+
+def test_one_delivery_a_batch_whatever_the_files(spark, home):
+    """A table of many files comes in three micro-batches, each later than the one before; no row is late."""
+    days = "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, CAST(id AS INT))"
+    events = spark.range(900).selectExpr("id AS event_id", "id AS user_id", "'view' AS event_type", '\'{"k": 1}\' AS props', f"{days} AS ts")
+    # Every file spans all times.
+    events.repartition(6).write.parquet(f"{home}/events.parquet")
+    folder = feed.deliver(spark, home, f"{home}/events", rows_per_file=80)
+    seen = []
+
+    def note(batch, batch_id):
+        seen.append(batch.agg(F.min("source_timestamp"), F.max("source_timestamp"), F.count("*")).first())
+
+    flows.run_batches(feed.stream_messages(spark, home, folder), note, f"{home}/check").awaitTermination()
+    # The cuts are approximate quantiles.
+    assert len(seen) == 3 and sum(n for *_, n in seen) == 900 and all(290 < n < 310 for *_, n in seen)
+    assert seen[0][1] < seen[1][0] and seen[1][1] < seen[2][0]
+    rows = feed.stream_messages(spark, home, folder).select("factory_id", "source_timestamp", F.lit(1.0).alias("v"))
+    flows.run_to_files(flows.windowed_mean(rows, "v", 600), f"{home}/out", f"{home}/check2").awaitTermination()
+    closed = spark.read.parquet(f"{home}/out")
+    assert closed.agg(F.sum("sample_count")).first()[0] >= 880
+
+
+def test_deliveries_without_rows_keep_the_batches_apart(spark, home):
+    """All rows but a few at one time: a delivery is empty, and the others still come one a batch."""
+    ts = "CASE WHEN id < 5 THEN timestamp_ntz'2024-01-01' ELSE timestamp_ntz'2024-01-02' END"
+    events = spark.range(400).selectExpr("id AS event_id", "id AS user_id", "'view' AS event_type", '\'{"k": 1}\' AS props', f"{ts} AS ts")
+    events.write.parquet(f"{home}/events.parquet")
+    folder = feed.deliver(spark, home, f"{home}/events", rows_per_file=50)
+    counts = []
+    flows.run_batches(
+        feed.stream_messages(spark, home, folder), lambda b, n: counts.append(b.count()), f"{home}/check"
+    ).awaitTermination()
+    assert counts == [400, 0, 0]
+
+
+def test_kept_in_files(spark, home):
+    """A small batch is read back in few parts, and its folder goes."""
+    rows = spark.range(1000).selectExpr("id", "named_struct('a', id, 'b', array(id)) AS s").repartition(8)
+    with flows.kept_in_files(rows, f"{home}/work") as kept:
+        assert sorted(kept.collect()) == sorted(rows.collect())
+        assert len(kept.inputFiles()) == 1
+        assert lake.exists(spark, f"{home}/work")
+    assert not lake.exists(spark, f"{home}/work")
