@@ -1,6 +1,6 @@
 """Streaming flows over the whole event table, run until the input is used up (X).
 
-The events arrive in three deliveries, cut by time and read file by file, so
+The events arrive in three deliveries, cut by time and read one a batch, so
 state is carried from batch to batch.  Results are read back from the sink.
 Windows still open at the end are not emitted in append mode, so the twins
 compare closed windows.
