@@ -5,7 +5,7 @@ one site or, without a site, for all. What a change leaves null stays as it was
 for all sites, so a site can take back its own value by setting null. `rule_states`
 folds the changes into one row per site and moment: the weight of every enabled
 field, the displayed fields, and the name of the newest change. A message meets
-the state in force at its own time through the sliced as-of join, so a message
+the state in force at its own time, looked up in the list of its site, so a message
 that comes late is scored by the old rule and one received early by the new.
 """
 
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from plantpulse import contract as C
 from plantpulse.operators.directory import DRAFT_THRESHOLDS, with_thresholds
 from plantpulse.operators.risk import Cause, message_causes, with_score
-from plantpulse.operators.sliced import Series, as_of, fill_forward
+from plantpulse.operators.sliced import Series, fill_forward
 from plantpulse.sources.settings import small_table
 
 CHANGES = pa.schema(
@@ -82,17 +82,31 @@ def rule_states(change_table: DataFrame, factories: DataFrame) -> DataFrame:
     )
 
 
-def with_rules(rows: DataFrame, states: DataFrame, slice_seconds: int) -> DataFrame:
-    """Rows with `rules`: the state in force at their source_timestamp, null before the first."""
-    series = Series(("factory_id",), ("source_timestamp", "message_id"), slice_seconds)
-    facts = states.select(
+def with_rules(rows: DataFrame, states: DataFrame, slice_seconds: int | None = None) -> DataFrame:
+    """Rows with `rules`: the state in force at their source_timestamp, null before the first.
+
+    The states of a site, few and small, become one list in order of time; every
+    row looks its own up there, so messages are neither shuffled nor sorted as
+    long as the lists can be broadcast. `slice_seconds` is not needed any more.
+    """
+    first = F.lit(-(2**63))
+    listed = states.select(
         "factory_id",
-        F.col("valid_from").alias("source_timestamp"),
-        # Sorts before every message of the same moment.
-        F.lit("").alias("message_id"),
-        F.struct("rule_version", "rule_weights", "displayed").alias("rules"),
+        F.struct(
+            F.coalesce(F.unix_micros("valid_from"), first).alias("at"),
+            F.struct("rule_version", "rule_weights", "displayed").alias("rules"),
+        ).alias("_state"),
+    )
+    # The states hold maps, which have no order of their own.
+    earlier = lambda a, b: F.when(a["at"] < b["at"], -1).when(a["at"] > b["at"], 1).otherwise(0)
+    sites = (
+        listed.groupBy("factory_id")
+        .agg(F.array_sort(F.collect_list("_state"), earlier).alias("_states"))
+        .select("factory_id", F.col("_states.at").alias("_moments"), F.col("_states.rules").alias("_rules"))
     )
-    return as_of(rows, facts, series, "rules")
+    now = F.coalesce(F.unix_micros("source_timestamp"), first)
+    begun = F.coalesce(F.size(F.filter("_moments", lambda m: m <= now)), F.lit(0))
+    return rows.join(sites, "factory_id", "left").select(*rows.columns, F.get("_rules", begun - 1).alias("rules"))
 
 
 def ruled_causes(names: Sequence[str] = tuple(n for n, _ in C.MESSAGE_WEIGHTS)) -> list[Cause]:

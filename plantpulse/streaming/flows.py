@@ -78,14 +78,16 @@ def kept(batch: DataFrame):
 
 
 @contextmanager
-def kept_in_files(batch: DataFrame, path: str):
+def kept_in_files(batch: DataFrame, path: str, dealt: bool = False):
     """The same through a folder that is dropped afterwards.
 
     The number of its files follows the size of the batch, while a kept batch
     stays in as many parts as a shuffle has, small or not. Wide nested rows make
-    every part dear, and a read opens only the columns it needs.
+    every part dear, and a read opens only the columns it needs. A batch whose
+    last shuffle has `dealt` its rows already is written as it lies, without
+    another one.
     """
-    batch.hint("rebalance").write.mode("overwrite").parquet(path)
+    (batch if dealt else batch.hint("rebalance")).write.mode("overwrite").parquet(path)
     try:
         yield batch.sparkSession.read.schema(batch.schema).parquet(path)
     finally:

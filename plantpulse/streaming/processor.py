@@ -22,6 +22,7 @@ as a folder. Rules are asked for at every batch, so a change needs no restart.
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import ExitStack
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -185,18 +186,27 @@ def batch_writer(
         in_force = states(batch.sparkSession) if callable(states) else states
         now = F.lit(datetime.now().astimezone()).cast("timestamp")
         work = lambda name: f"{root}/work/{name}/batch={batch_id}"
-        with flows.kept_in_files(first_copies(batch, root, batch_id), work("messages")) as messages, flows.kept_in_files(
-            scored_messages(
-                messages, settings.thresholds, in_force, stored_scores(messages, root, batch_id, timing), slice_seconds, timing, now
-            ).select("factory_id", *state.NEWEST, *SCORED, "received_at", *C.FACTORY_SECTIONS),
-            work("scored"),
-        ) as scored:
+        with ExitStack() as keeps:
+            keep = lambda rows, name, dealt: keeps.enter_context(flows.kept_in_files(rows, work(name), dealt))
+            if in_force is not None:
+                # Of known size, so that the join with the messages can broadcast them.
+                in_force = keep(in_force, "rules", False)
+            messages = keep(first_copies(batch, root, batch_id), "messages", True)
+            earlier = stored_scores(messages, root, batch_id, timing)
+            made = scored_messages(messages, settings.thresholds, in_force, earlier, slice_seconds, timing, now)
+            made = made.select("factory_id", *state.NEWEST, *SCORED, "received_at", *C.FACTORY_SECTIONS)
+            # Rows of an hour lie together from here on: both datasets made of them need no shuffle.
+            by_hour = lake.spread_over_folders(
+                lake.with_date_parts(made, "event_timestamp", hours=True), lake.PROCESSED_PARTITIONS, tasks
+            )
+            scored = keep(by_hour.select(*made.columns), "scored", True)
             found = results(messages, settings.thresholds, scored)
             for name, rows in found.items():
                 parts = lake.with_date_parts(rows, "event_timestamp", hours=True)
+                if name == "infra-state":
+                    parts = lake.spread_over_folders(parts, lake.PROCESSED_PARTITIONS, tasks)
                 (
-                    lake.spread_over_folders(parts, lake.PROCESSED_PARTITIONS, tasks)
-                    .write.mode("overwrite")
+                    parts.write.mode("overwrite")
                     .partitionBy(*lake.PROCESSED_PARTITIONS)
                     .parquet(f"{root}/processed/{name}/batch={batch_id}")
                 )

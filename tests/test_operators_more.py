@@ -60,6 +60,20 @@ def test_rule_states(spark):
     assert rulebook.with_rules(df, states.where("false"), 86400).where("rules is not null").count() == 0
 
 
+def test_rules_without_shuffling_messages(spark, tmp_path):
+    """Messages look their rules up in the list of their site; rows without a time or site, and copies, stay."""
+    rows = [("v1", at(86400), None, "x", True, True, 1.0), ("v2", at(2 * 86400), "s1", "x", None, None, 5.0)]
+    factories = spark.createDataFrame([("s1",), ("s2",)], "factory_id string")
+    rulebook.rule_states(rulebook.changes(spark, rows), factories).write.parquet(f"{tmp_path}/states")
+    messages = [(s, t, "m") for s in ("s1", "s2", None) for t in (None, at(0), at(86400), at(3 * 86400), at(3 * 86400))]
+    spark.createDataFrame(messages, "factory_id string, source_timestamp timestamp, message_id string").write.parquet(f"{tmp_path}/in")
+    found = rulebook.with_rules(spark.read.parquet(f"{tmp_path}/in"), spark.read.parquet(f"{tmp_path}/states"), 86400)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Window" not in plan and plan.count("Exchange hashpartitioning") == 1
+    got = sorted((r.factory_id or "", r.rules.rule_version if r.rules else "") for r in found.collect())
+    assert got == sorted([("", "")] * 5 + [("s1", v) for v in ("", "", "v1", "v2", "v2")] + [("s2", v) for v in ("", "", "v1", "v1", "v1")])
+
+
 def test_unknown_thresholds_fail(spark):
     with pytest.raises(ValueError):
         settings.wide_thresholds([("s", "noise", 1.0, 2.0)])

@@ -11,7 +11,8 @@ from plantpulse.operators import state
 from plantpulse.operators import timeseries as ts
 from plantpulse.operators.sliced import Series, state_runs
 from plantpulse.sources import feed, lake, latest
-from plantpulse.streaming import flows
+from plantpulse.sources.settings import load_config
+from plantpulse.streaming import flows, processor
 
 T0 = datetime(2026, 5, 14)
 SCHEMA = """factory_id string, source_type string, source_timestamp timestamp, published_at timestamp,
@@ -272,3 +273,27 @@ def test_kept_in_files(spark, home):
         assert len(kept.inputFiles()) == 1
         assert lake.exists(spark, f"{home}/work")
     assert not lake.exists(spark, f"{home}/work")
+
+
+def test_kept_in_files_as_dealt(spark, home):
+    """Rows that a shuffle has dealt stay together: no other shuffle before the files."""
+    rows = spark.range(1000).selectExpr("id", "id % 40 AS hour").repartition(4, "hour")
+    with flows.kept_in_files(rows, f"{home}/work", dealt=True) as kept:
+        placed = kept.select("hour", F.input_file_name().alias("file")).distinct().collect()
+        assert len(placed) == 40 and len({r.file for r in placed}) > 1
+        assert sorted(kept.collect()) == sorted(rows.collect())
+
+
+def test_hours_of_a_batch_in_one_file(spark, home):
+    """Scores lie by hour once; the datasets made of them hold a file an hour, however many tasks."""
+    events = spark.range(600).selectExpr(
+        "id AS event_id", "id AS user_id", "'view' AS event_type", '\'{"k": 7}\' AS props',
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, CAST(id AS INT)) AS ts",
+    )
+    events.write.parquet(f"{home}/events.parquet")
+    batch = feed.load_messages(spark, home).drop("event_id")
+    processor.batch_writer(home, load_config(spark), Timing().scaled(60), 8)(batch.union(batch), 0)
+    for name in ("risk-score", "factory-state"):
+        files = spark.read.parquet(f"{home}/processed/{name}")
+        assert files.count() == 600 and len(files.inputFiles()) == 30
+    assert not lake.exists(spark, f"{home}/work/scored/batch=0")
