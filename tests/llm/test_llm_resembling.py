@@ -73,6 +73,48 @@ def test_pipeline_stage_drops_copies_beyond_two_bits(spark, tmp_path):
     assert sorted(r.doc_id for r in rows) == sorted({min(p[0] for p, r in zip(pairs, root, strict=True) if r == of) for of in set(root)})
 
 
+def far_copies(rng, families, each, n_words=150, changes=(4, 6)):
+    """Changed copies of one text, too far from it and from other families, with `each` near ones in a family."""
+    words = sentence(rng, n_words, 3000).split()
+    found = [" ".join(words)]
+    for family in range(families):
+        head = list(words)
+        for at in rng.sample(range(n_words), rng.randrange(*changes)):
+            head[at] = f"family{family}x{at}"
+        for member in range(each):
+            copy = list(head)
+            if member:
+                copy[rng.randrange(n_words)] = f"own{rng.randrange(10**9)}"
+            found.append(" ".join(copy))
+    return found
+
+
+def test_families_that_are_far_from_their_pivot(spark, monkeypatch):
+    monkeypatch.setattr(resembling, "LEFT", 0)
+    rng = random.Random(11)
+    texts = far_copies(rng, 30, 3) + far_copies(rng, 3, 40) + far_copies(rng, 40, 2, n_words=60, changes=(1, 4))
+    pairs = list(enumerate(texts))
+    root, _ = brute_groups(pairs)
+    rows = resembling.near_groups(documents(spark, pairs), crowd=8).collect()
+    component = {r.doc_id: r.component for r in rows}
+    assert len(set(root)) > 50
+    assert len(set(zip((component[i] for i in range(len(pairs))), root, strict=True))) == len(set(root)) == len(set(component.values()))
+
+
+def test_pairs_of_a_crowd_do_not_grow_with_its_square(spark, monkeypatch):
+    seen, verified = [], resembling._verified
+
+    def counted(pairs, docs, signed):
+        seen.append(pairs.count())
+        return verified(pairs, docs, signed)
+
+    monkeypatch.setattr(resembling, "_verified", counted)
+    texts = far_copies(random.Random(12), 400, 1)
+    rows = resembling.near_groups(documents(spark, list(enumerate(texts))))
+    assert rows.select("component").distinct().count() > 350
+    assert sum(seen) < 4 * len(texts)
+
+
 def test_runs_over_several_batches():
     import numpy as np
     import pyarrow as pa
