@@ -115,6 +115,26 @@ def test_pairs_of_a_crowd_do_not_grow_with_its_square(spark, monkeypatch):
     assert sum(seen) < 4 * len(texts)
 
 
+def test_passages_that_a_sample_misses_crowd_no_keys(spark, monkeypatch):
+    monkeypatch.setattr(resembling, "SAMPLE", 1)
+    around, crowds = resembling._around, []
+
+    def counted(crowded):
+        crowds.append(crowded.count())
+        return around(crowded)
+
+    monkeypatch.setattr(resembling, "_around", counted)
+    rng = random.Random(13)
+    passage = sentence(rng, 12, 3000)
+    pairs = [(i, f"{sentence(rng, 60, 3000)} {passage} {sentence(rng, 60, 3000)}") for i in range(300)]
+    pairs += [(300 + i, f"{text} more") for i, (_, text) in enumerate(pairs[:40])]
+    root, near = brute_groups(pairs)
+    assert len(near) == 40
+    component = {r.doc_id: r.component for r in resembling.near_groups(documents(spark, pairs)).collect()}
+    assert len(set(component.values())) == len(set(root)) == len({(component[i], r) for i, r in enumerate(root)})
+    assert not crowds
+
+
 def test_runs_over_several_batches():
     import numpy as np
     import pyarrow as pa
