@@ -8,6 +8,7 @@ as empty; a null doc_id is one document that comes after all others.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -106,6 +107,15 @@ def forget(memory: dict, most: int) -> None:
             memory.update(short)
 
 
+def give_back() -> None:
+    """Hands freed memory back to the machine: a Python worker keeps what the stages before have used,
+    and Spark keeps the worker."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc only
+    if trim:
+        trim(0)
+
+
 def slabs(items: list[bytes], most: int) -> Iterator[tuple[int, int]]:
     """Index ranges of consecutive items of at most `most` bytes together, one item at least."""
     start = total = 0

@@ -1,6 +1,8 @@
 """Near duplicates by word shingles against brute force."""
 
+import ctypes
 import random
+from pathlib import Path
 
 import pytest
 from llm_cases import documents, groups_of, odd_pairs, sentence
@@ -135,6 +137,31 @@ def test_passages_that_a_sample_misses_crowd_no_keys(spark, monkeypatch):
     assert not crowds
 
 
+def test_limits_of_what_is_known_to_be_frequent_lose_no_pair(spark, monkeypatch):
+    monkeypatch.setattr(resembling, "SAMPLE", 1)
+    monkeypatch.setattr(resembling, "FREQUENT", 3)
+    pairs = near_copies()
+    root, near = brute_groups(pairs)
+    assert len(near) > 500
+    component = {r.doc_id: r.component for r in resembling.near_groups(documents(spark, pairs)).collect()}
+    assert len(set(component.values())) == len(set(root)) == len({(component[i], r) for i, r in enumerate(root)})
+
+
+def resident():
+    return sum(int(x.split()[1]) for x in Path("/proc/self/smaps_rollup").read_text().splitlines() if x.startswith("Pss_Anon:"))
+
+
+@pytest.mark.skipif(not Path("/proc/self/smaps_rollup").exists() or not hasattr(ctypes.CDLL(None), "malloc_trim"), reason="needs Linux and glibc")
+def test_a_worker_gives_back_what_earlier_stages_used():
+    blocks = [bytes(2000) for _ in range(100_000)]
+    last = blocks.pop()  # holds the heap's end
+    blocks.clear()
+    before = resident()
+    assert list(resembling._hashed([], None)(iter([]))) == []
+    assert before - resident() > 100_000
+    assert len(last) == 2000
+
+
 def test_runs_over_several_batches():
     import numpy as np
     import pyarrow as pa
